@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lawmill.llm import boilerplate, canonical, lookalike, mojibake, residue
-from lawmill.session import read_table
+from lawmill.llm import boilerplate, canonical, lookalike, mojibake, packing, residue, tokens, truncation
+from lawmill.session import read_table, stage
 
 
 def _tables(spark: SparkSession, d: str, *names: str) -> list[DataFrame]:
@@ -48,8 +48,36 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return lookalike.plain_forms(values).select("src", "row_key", "field").join(garbled, ["src", "row_key", "field"], "left_anti")
 
 
+def p8_ids(spark: SparkSession, d: str) -> DataFrame:
+    return tokens.encode_documents(read_table(spark, d, "documents"))
+
+
+def p9_bins(spark: SparkSession, d: str) -> DataFrame:
+    documents, targets = _tables(spark, d, "documents", "pack_targets")
+    return packing.pack(stage(tokens.token_counts(documents), "token-counts"), targets)
+
+
+def p9_usage(spark: SparkSession, d: str) -> DataFrame:
+    return packing.usage(p9_bins(spark, d))
+
+
+def _ends(spark: SparkSession, d: str) -> DataFrame:
+    documents = read_table(spark, d, "documents")
+    leftover = residue.residue_records(residue.corpus_texts(documents=documents)).select(F.col("row_key").alias("doc_id"))
+    return truncation.judge(stage(truncation.measure(documents).join(leftover, "doc_id", "left_anti"), "text-ends"))
+
+
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return _ends(spark, d).where("cut").select("doc_id")
+
+
+def p10_sources(spark: SparkSession, d: str) -> DataFrame:
+    by = _ends(spark, d).groupBy("source").agg(F.count("*").alias("texts"), F.sum(F.col("cut").cast("bigint")).alias("cut"))
+    return by.withColumn("share", F.round(F.col("cut").cast("double") / F.col("texts"), 6))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p2_found, p3_found, p4_found, p4_restored, p7_found)}
+    return {f.__name__: f for f in (p1_found, p2_found, p3_found, p4_found, p4_restored, p7_found, p8_ids, p9_bins, p9_usage, p10_found, p10_sources)}
 
 
 def oracle_sql() -> dict[str, str]:
