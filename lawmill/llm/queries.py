@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lawmill.llm import boilerplate, canonical, lookalike, mojibake, packing, residue, tokens, truncation
+from lawmill.llm import boilerplate, canonical, lookalike, mojibake, neardup, packing, residue, tokens, truncation
 from lawmill.session import read_table, stage
 
 
@@ -41,6 +41,19 @@ def p4_restored(spark: SparkSession, d: str) -> DataFrame:
     return found.select("row_key", "field", "restored", F.concat_ws("+", "chains").alias("chains"), "text")
 
 
+SOURCES = ["vbpl_records", "tvpl_documents", "documents"]
+
+
+def _near(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    texts = residue.corpus_texts(*_tables(spark, d, *SOURCES))
+    sound = texts.join(residue.residue_records(texts), ["src", "row_key"], "left_anti")
+    return neardup.near_duplicates(sound, SOURCES)
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return neardup.expand(*_near(spark, d))
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     vbpl, documents, tvpl = _tables(spark, d, "vbpl_records", "documents", "tvpl_documents")
     garbled = mojibake.repair_tvpl(tvpl, ("title",)).select("src", "row_key", "field")
@@ -77,7 +90,7 @@ def p10_sources(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p2_found, p3_found, p4_found, p4_restored, p7_found, p8_ids, p9_bins, p9_usage, p10_found, p10_sources)}
+    return {f.__name__: f for f in (p1_found, p2_found, p3_found, p4_found, p4_restored, p6_found, p7_found, p8_ids, p9_bins, p9_usage, p10_found, p10_sources)}
 
 
 def oracle_sql() -> dict[str, str]:
