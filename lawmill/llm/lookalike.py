@@ -8,6 +8,9 @@ substituted, and only when the result exists in the corpus vocabulary. A token t
 look-alikes throughout is taken the same way if it has two letters or more, so that "α" and
 «Ладья» stay as they are.
 
+Whether a value has an unusual character is asked in Python, over whole Arrow batches: its
+regular expressions test a large class of characters by bitmap, the JVM's one range after another.
+
 The vocabulary is distributed: the distinct words of every partition, of which only those
 that some repair asks for are kept, by a semi-join. Values without an unusual character are
 passed over; the others are written once to the shared folder and read twice.
@@ -50,7 +53,7 @@ _KEEP = ""
 
 #: Characters of plain Vietnamese text and the signs writers mean: values of these alone are plain.
 PLAIN = "".join(sorted(set(VOWELS + VOWELS.upper()))) + "«»–—“”‘’…°±²³µ½¼¾©·▲"
-JAVA_ODD = f"[^{PLAIN}\\x20-\\x7e\\t\\r\\n]"
+ODD = re.compile(f"[^{re.escape(PLAIN)}\\x20-\\x7e\\t\\r\\n]")
 
 
 def direct(s: str) -> str:
@@ -116,7 +119,8 @@ def plain_spelling(s: str, known: Iterable[str]) -> str:
 
 def _odd_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
-        yield b[["src", "row_key", "field", "value"]].assign(wanted=[wanted_pieces(v) for v in b["value"]])
+        b = b.loc[[ODD.search(v) is not None for v in b["value"]], ["src", "row_key", "field", "value"]]
+        yield b.assign(wanted=[wanted_pieces(v) for v in b["value"]])
 
 
 def _words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -138,7 +142,7 @@ def plain_forms(values: DataFrame) -> DataFrame:
     """Of ``values`` (src, row_key, field, value), those whose plain spelling differs, with it in column ``plain``."""
     values = values.select("src", "row_key", "field", "value").where("value is not null")
     odd = stage(
-        values.where(F.col("value").rlike(JAVA_ODD)).mapInPandas(_odd_rows, "src string, row_key bigint, field string, value string, wanted array<string>"),
+        values.mapInPandas(_odd_rows, "src string, row_key bigint, field string, value string, wanted array<string>"),
         "lookalike-odd",
     )
     asks = odd.select("src", "row_key", "field", F.explode("wanted").alias("piece")).distinct()
