@@ -78,7 +78,8 @@ def is_retryable(status: Column) -> Column:
 def retry_after_seconds(value: Column, now: Column) -> Column:
     """Seconds to wait by a Retry-After header: a number, or an HTTP date against ``now``; never below 0, null if neither."""
     at = F.try_to_timestamp(F.substring(F.trim(value), 6, 25), F.lit("dd MMM yyyy HH:mm:ss z"))
-    return F.coalesce(F.greatest(F.trim(value).try_cast("double"), F.lit(0.0)), F.greatest((F.unix_micros(at) - F.unix_micros(now)) / 1e6, F.lit(0.0)))
+    seconds = F.coalesce(F.trim(value).try_cast("double"), (F.unix_micros(at) - F.unix_micros(now)) / 1e6)
+    return F.when(seconds.isNotNull(), F.greatest(seconds, F.lit(0.0)))  # greatest alone passes over nulls
 
 
 def backoff_seconds(status: Column, attempt: Column, retry_after: Column | None = None) -> Column:
@@ -95,7 +96,6 @@ def exponential_delay(attempt: Column) -> Column:
 def duration_text(seconds: Column) -> Column:
     """mm:ss, or hh:mm:ss from an hour on; "unknown" for null, negative and infinite."""
     s = F.floor(seconds).cast("bigint")
-    h, m, r = F.expr("1"), None, None
     h = F.floor(s / 3600).cast("int")
     m = F.floor((s % 3600) / 60).cast("int")
     r = (s % 60).cast("int")

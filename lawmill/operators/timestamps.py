@@ -58,7 +58,7 @@ _FORMS = [
         rf"(?P<mon>[A-Za-z]{{3}})[a-z]*\.?\s+(?P<d>\d{{1,2}}),?\s+(?P<y>\d{{4}})(?:\s+{_CLOCK}\s*(?P<half>SA|CH|AM|PM)?\s*{_ZONE})?",
     )
 ]
-_NUMBER = re.compile(r"(?:/Date\()?(-?\d{9,19})(?:\.(\d+))?(?:\)/)?")
+_NUMBER = re.compile(r"/Date\((?P<ms>-?\d{1,16})\)/|(?P<n>-?\d{9,19})(?:\.(?P<f>\d+))?")
 
 
 @lru_cache(maxsize=512)
@@ -110,13 +110,13 @@ def _days(g: dict) -> list[date]:
 def _readings(raw: str, kind: str, zone: str | None) -> set:
     """Every instant (kind instant) or day (kind day) that some form reads from the value."""
     out: set = set()
-    if (m := _NUMBER.fullmatch(raw)) and (raw[0] == "/" or not (kind == DAY and len(m[1]) == 8)):
-        n = int(m[1])
-        digits = len(m[1].lstrip("-"))
-        scale = 0 if digits <= 10 and raw[0] != "/" else 3 if digits <= 13 or raw[0] == "/" else 6 if digits <= 16 else 9
+    if m := _NUMBER.fullmatch(raw):
+        n = int(m["ms"] or m["n"])
+        digits = len((m["n"] or "").lstrip("-"))
+        scale = 3 if m["ms"] else 0 if digits <= 10 else 3 if digits <= 13 else 6 if digits <= 16 else 9
         us = n * 10 ** (6 - scale) if scale <= 6 else n // 10 ** (scale - 6)
-        if m[2] and scale == 0:
-            part = int(m[2][:6].ljust(6, "0"))
+        if m["f"] and scale == 0:
+            part = int(m["f"][:6].ljust(6, "0"))
             us += -part if n < 0 else part
         try:
             at = EPOCH + timedelta(microseconds=us)

@@ -149,7 +149,7 @@ SELECT when_utc, stage, url, sitemap_url, error,
        CASE WHEN regexp_matches(sitemap_url, 'resitemap[0-9]+\\.xml') THEN 'resitemap_' || lpad(regexp_extract(sitemap_url, 'resitemap([0-9]+)\\.xml', 1), 4, '0') ELSE printf('sitemap_%04d', sitemap_index) END AS shard,
        CASE WHEN coalesce(sitemap_index, 0) >= 1 THEN printf('resitemap_%04d', sitemap_index) ELSE 'retry_unmapped' END AS retry_shard,
        least(120.0, (CASE WHEN contains(error, '429') THEN 8.0 ELSE 1.0 END) * power(2.0, greatest(coalesce(sitemap_index, 1) % 6 - 1, 0)))::DOUBLE AS backoff,
-       greatest(try_cast(document_index AS DOUBLE), 0.0) AS retry_after, (2.0 * power(2.0, coalesce(sitemap_index, 0) % 4))::DOUBLE AS delay
+       CASE WHEN document_index IS NOT NULL THEN greatest(document_index::DOUBLE, 0.0) END AS retry_after, (2.0 * power(2.0, coalesce(sitemap_index, 0) % 4))::DOUBLE AS delay
 FROM crawl_errors
 """)
 def retry_arithmetic(spark: SparkSession, d: str) -> DataFrame:
