@@ -156,6 +156,7 @@ class Dictionary:
         self.words: dict[int, set[str]] = {}
         self.full: dict[str, list[tuple[int, float]]] = defaultdict(list)
         self.near: dict[str, set[str]] = defaultdict(set)
+        self.longest = 0
         seen: set[str] = set()
         for i, e in sorted(entries):
             if e in seen:
@@ -165,6 +166,7 @@ class Dictionary:
             best: dict[str, float] = {}
             for k, c in spellings(e):
                 best[k] = min(c, best.get(k, 9))
+            self.longest = max([self.longest, *map(len, best)])
             for k, c in best.items():
                 self.full[k].append((i, c))
                 # initials stand no edit: too many words share them
@@ -173,8 +175,8 @@ class Dictionary:
 
     def candidates(self, k: str) -> dict[int, float]:
         """Entries within the bound of edits, with the cost of the spelling that is near."""
-        if not k:
-            return {}
+        if not k or len(k) > self.longest + MAX_EDITS:
+            return {}  # longer than any spelling can become
         if k in self.full:
             return dict(self.full[k])
         out: dict[int, float] = {}

@@ -15,7 +15,7 @@ The vocabulary is distributed: the distinct words of every partition, of which o
 that some repair asks for are kept, by a semi-join. Values without an unusual character are
 passed over; the others are written once to the shared folder and read twice.
 
-Defined results: null values give no row; an empty value is plain; superscripts, fractions,
+Defined results: null values and values without a key give no row; an empty value is plain; superscripts, fractions,
 units, emoji, ellipses, replacement signs, words of other scripts, line ends, tabs and
 repeated blanks stay; a look-alike whose repair the corpus doesn't know stays.
 """
@@ -40,7 +40,7 @@ LOOKALIKES = dict(zip(
 ))
 #: Latin letters that stand for the Vietnamese Đ.
 BARRED = {"Ð": "Đ", "ð": "đ", "Ɖ": "Đ", "ɖ": "đ"}
-INVISIBLE = "­͏؜ᅟᅠ឴឵᠎​‌‍‎‏‪‫‬‭‮⁠⁡⁢⁣⁤﻿"
+INVISIBLE = "­͏؜ᅟᅠ឴឵᠎​‌‎‏‪‫‬‭‮⁠⁡⁢⁣⁤﻿"
 BLANKS = "               　"
 SIGNS = {"‐": "-", "‑": "-", "⁄": "/", "∕": "/"}
 
@@ -48,8 +48,7 @@ _DIRECT = {ord(c): None for c in INVISIBLE} | {ord(c): " " for c in BLANKS} | {o
 _DIRECT |= {c: unicodedata.normalize("NFKC", chr(c)) for r in (range(0xFF01, 0xFF5F), range(0x1D400, 0x1D800), range(0xFB00, 0xFB07)) for c in r if unicodedata.name(chr(c), "")}
 _FOREIGN = re.compile("[Ͱ-ϿЀ-ԯἀ-῿]")
 _LATIN = re.compile("[A-Za-zÀ-ɏḀ-ỿ]")
-_JOINER = re.compile("(?<=[☀-➿\U0001f000-\U0001faff️])‍(?=[☀-➿\U0001f000-\U0001faff])")
-_KEEP = ""
+_STRAY_JOINER = re.compile("(?<![\u2600-\u27bf\U0001f000-\U0001faff\ufe0f])\u200d|\u200d(?![\u2600-\u27bf\U0001f000-\U0001faff])")
 
 #: Characters of plain Vietnamese text and the signs writers mean: values of these alone are plain.
 PLAIN = "".join(sorted(set(VOWELS + VOWELS.upper()))) + "«»–—“”‘’…°±²³µ½¼¾©·▲"
@@ -58,9 +57,9 @@ ODD = re.compile(f"[^{re.escape(PLAIN)}\\x20-\\x7e\\t\\r\\n]")
 
 def direct(s: str) -> str:
     """The value with everything replaced that has one plain form whatever the token."""
-    s = _JOINER.sub(_KEEP, s)
-    s = s.translate(_DIRECT)
-    return unicodedata.normalize("NFC", s).replace(_KEEP, "‍")
+    if "\u200d" in s:
+        s = _STRAY_JOINER.sub("", s)  # those between emoji are part of them
+    return unicodedata.normalize("NFC", s.translate(_DIRECT))
 
 
 def _tokens(s: str) -> Iterator[re.Match]:
@@ -120,7 +119,7 @@ def plain_spelling(s: str, known: Iterable[str]) -> str:
 def _odd_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
         b = b.loc[[ODD.search(v) is not None for v in b["value"]], ["src", "row_key", "field", "value"]]
-        yield b.assign(wanted=[wanted_pieces(v) for v in b["value"]])
+        yield b.assign(wanted=pd.Series([wanted_pieces(v) for v in b["value"]], index=b.index, dtype=object))
 
 
 def _words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -135,12 +134,12 @@ def _words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             seen.clear()
         seen |= fresh
         out = {w.casefold() for t in fresh if not _FOREIGN.search(t) for w in re.findall(r"\w+", t)}
-        yield pd.DataFrame({"piece": sorted(out)})
+        yield pd.DataFrame({"piece": pd.Series(sorted(out), dtype=object)})
 
 
 def plain_forms(values: DataFrame) -> DataFrame:
     """Of ``values`` (src, row_key, field, value), those whose plain spelling differs, with it in column ``plain``."""
-    values = values.select("src", "row_key", "field", "value").where("value is not null")
+    values = values.select("src", "row_key", "field", "value").where("value is not null and row_key is not null")
     odd = stage(
         values.mapInPandas(_odd_rows, "src string, row_key bigint, field string, value string, wanted array<string>"),
         "lookalike-odd",

@@ -71,7 +71,8 @@ class PerfectHash:
                 self.slot[a] = i
 
     def _at(self, h: int, d: int) -> int:
-        return ((h & 0xFFFFFFFF) + d * ((h >> 32 & 0xFFFFFFFF) | 1)) % self.n
+        x = ((h ^ d * 0x9E3779B97F4A7C15) * 0xBF58476D1CE4E5B9) & 0xFFFFFFFFFFFFFFFF
+        return (x >> 24) % self.n
 
     def place(self, key: bytes) -> int:
         """The position of a key; of a string that is no key, the position of some key."""
