@@ -387,3 +387,8 @@ def test_nulls_in_every_column_crash_nothing(spark):
     assert mojibake.repair(values, mojibake.Model({})).count() == 0
     d = frame(spark, [(None, "x y", None), (big, "câu chưa …", None)], "doc_id bigint, text string, source string")
     assert [r.doc_id for r in truncation.judge(truncation.measure(d).cache()).where("cut").collect()] == [big]
+
+
+@pytest.mark.parametrize("text, want", [("Đoạn văn mẫu " * 5, True), ("abc xyz abc xyz abc xyz abc xyz.", True), ("là #REF! không có", True), ("dài dài dài", False), ("Mức chi là 1 đồng. Mức chi là 2 đồng. Mức chi khác là ba đồng.", False)])
+def test_filler_is_a_phrase_again_and_again(text, want):
+    assert bool(residue.evidence_lines(text)) is want
