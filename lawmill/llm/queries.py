@@ -93,5 +93,37 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (p1_found, p2_found, p3_found, p4_found, p4_restored, p6_found, p7_found, p8_ids, p9_bins, p9_usage, p10_found, p10_sources)}
 
 
+_BLANK = r"[\t\n\v\f\r\x{1c}-\x{1f} \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+#: The evidence patterns in RE2's dialect, whose word class is ASCII.
+_EVIDENCE = "(?m)" + residue.EVIDENCE.pattern.replace(r"[\w", r"[\p{L}\p{N}_").replace(r"\w", r"[\p{L}\p{N}_]").replace("'", "''")
+
+
+def _residue_sql(texts: str) -> str:
+    """SQL of residue_records over a subquery of (src, row_key, host, text), line by line."""
+    return rf"""
+    t AS ({texts}),
+    l AS (SELECT src, row_key, host, unnest(string_split(text, chr(10))) AS raw FROM t WHERE text IS NOT NULL),
+    w AS (SELECT *, list_filter(string_split_regex(lower(raw), '[^\p{{L}}\p{{N}}\p{{M}}_]+'), lambda x: x <> '') AS words FROM l),
+    e AS (SELECT DISTINCT src, row_key, host, trim(regexp_replace(regexp_replace(raw, '{_BLANK}+', ' ', 'g'), '[0-9]+', '0', 'g')) AS line FROM w
+          WHERE regexp_matches(raw, '{_EVIDENCE}') OR (len(words) >= {residue.REPEATED_WORDS} AND len(list_distinct(words)) * 3 <= len(words) AND contains(substring(raw, 11, 80), substring(raw, 1, 10)))),
+    n AS (SELECT src, host, count(*) AS records FROM t GROUP BY ALL),
+    b AS (SELECT e.src, e.host, line FROM e JOIN n USING (src, host) GROUP BY e.src, e.host, line HAVING count(*) >= {residue.BOILERPLATE_LEAST} AND count(*) >= {residue.BOILERPLATE_SHARE} * max(records)),
+    residue AS (SELECT DISTINCT src, row_key FROM e WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.src = e.src AND b.host = e.host AND b.line = e.line))"""
+
+
+_TEXTS = """SELECT 'vbpl_records' AS src, record_id AS row_key, coalesce(lower(regexp_extract(url, '://([^/?#]+)', 1)), '') AS host, text FROM vbpl_records
+    UNION ALL SELECT 'tvpl_documents', row_id, coalesce(lower(regexp_extract(url, '://([^/?#]+)', 1)), ''), content_text FROM tvpl_documents
+    UNION ALL SELECT 'documents', doc_id, coalesce(source, ''), text FROM documents"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL for the problems that it can express over whole tables."""
+    p2 = f"WITH {_residue_sql(_TEXTS)} SELECT src, row_key FROM residue"
+    p6 = f"""WITH {_residue_sql(_TEXTS)},
+    words AS (SELECT src, row_key, list_filter(string_split_regex(lower(text), '{_BLANK}+'), lambda x: x <> '') AS w FROM t WHERE text IS NOT NULL AND NOT EXISTS (SELECT 1 FROM residue r WHERE r.src = t.src AND r.row_key = t.row_key)),
+    runs AS (SELECT src, row_key, list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) AS s FROM words WHERE len(w) >= 20),
+    flat AS (SELECT src, row_key, len(s) AS n, unnest(s) AS g FROM runs),
+    both_ AS (SELECT a.src, a.row_key AS key_a, b.row_key AS key_b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS c
+              FROM flat a JOIN flat b ON a.src = b.src AND a.g = b.g AND a.row_key < b.row_key AND least(a.n, b.n) >= 0.6 * greatest(a.n, b.n) GROUP BY ALL)
+    SELECT src, key_a, key_b FROM both_ WHERE c::DOUBLE / (na + nb - c) >= 0.6"""
+    return {"p2_found": p2, "p6_found": p6}
