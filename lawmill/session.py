@@ -22,6 +22,7 @@ def build_session(app: str = "lawmill", master: str | None = None, shuffle_parti
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
         .config("spark.ui.showConsoleProgress", "false")
     )
     if master:
@@ -31,6 +32,17 @@ def build_session(app: str = "lawmill", master: str | None = None, shuffle_parti
     return b.getOrCreate()
 
 
+#: Rows of an Arrow batch: texts of tens of kilobytes pass through Python, and a batch is held whole on both sides.
+BATCH_ROWS = "2000"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Smaller Arrow batches than Spark's default, unless the session says otherwise."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, BATCH_ROWS)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, as the cluster names it in ``spark.checkpoint.dir``.
 
