@@ -241,3 +241,34 @@ def _extract(html: pd.Series) -> pd.DataFrame:
 def page(html: Column) -> Column:
     """The struct of a page; all its fields are null for a null page."""
     return F.pandas_udf(_extract, SCHEMA)(html)
+
+
+def labelled_links(html: str | None, label: str) -> list[dict]:
+    """The links of the list item in which a label stands: (name, href), the label's own link left out."""
+    if html is None:
+        return []
+    for li in parse(html).find("li"):
+        own = [s for x in li.children if not isinstance(x, str) and x.tag in ("a", "span") for s in [x.spaced()]] + [x.strip() for x in li.children if isinstance(x, str)]
+        if label in own:
+            return [{"name": a.spaced(), "href": a.attrs["href"].strip()} for a in li.find("a") if "href" in a.attrs and a.spaced() not in ("", label)]
+    return []
+
+
+def menu_links(html: Column, label: str) -> Column:
+    """array<struct<name, href>> of the links below a label of a page's menu."""
+
+    def run(pages: pd.Series) -> pd.Series:
+        return pd.Series([labelled_links(h, label) for h in pages], dtype=object)
+
+    return F.pandas_udf(run, "array<struct<name: string, href: string>>")(html)
+
+
+def tab_links(html: str | None) -> list[tuple[str, str]]:
+    """(caption, href) of the tabs over a document."""
+    if html is None:
+        return []
+    out = []
+    for box in parse(html).find("div", "ul"):
+        if "tab" in f"{box.attrs.get('id', '')} {box.attrs.get('class', '')}".lower():
+            out += [(a.spaced(), a.attrs["href"]) for a in box.find("a") if "href" in a.attrs and (a.spaced(), a.attrs["href"]) not in out]
+    return out

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lawmill import dims
 from lawmill.functions import text, urls
-from lawmill.functions.html import page
+from lawmill.functions.html import menu_links, page
 from lawmill.operators import dedupe, discover, graph, metadata, reports, sequences
 from lawmill.operators.timestamps import odd_times
 from lawmill.plans import pipelines
@@ -454,6 +454,29 @@ def catalogue_report(spark: SparkSession, d: str) -> DataFrame:
     return reports.catalogue_report(reports.catalogue_entries(_catalogue(spark, d)))
 
 
+@query("SELECT coalesce(metadata['doc_type'], 'none') AS doc_type, 'Page_' || (record_id // 20) AS page, record_id::VARCHAR AS idx, url, coalesce(id, '') AS title FROM vbpl_records WHERE url IS NOT NULL")
+def catalogue_export(spark: SparkSession, d: str) -> DataFrame:
+    return reports.catalogue_entries(sinks.nested_catalogue(reports.catalogue_entries(_catalogue(spark, d))).select("json"))
+
+
+@query("""
+SELECT json_extract_string(detail_json, '$.metadata.loai_van_ban') AS loai, count(*) AS n FROM crawl_state
+WHERE doc_type = 'vbpq' AND detail_json IS NOT NULL AND trim(detail_json) <> '' AND json_valid(detail_json) GROUP BY 1
+""")
+def json_array_export(spark: SparkSession, d: str) -> DataFrame:
+    path = stage_path(spark, "arrays")
+    sinks.json_arrays(sinks.export_records(read_table(spark, d, "crawl_state"), "vbpq"), "detail_json", path)
+    return readers.json_array(spark, path, "metadata struct<loai_van_ban: string>").groupBy(F.col("metadata.loai_van_ban").alias("loai")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT DISTINCT ministry AS name, regexp_replace(url, '^([A-Za-z]+://[^/]+/[^/]+).*$', '\\1') AS href FROM ministry_pages WHERE ministry IS NOT NULL AND url IS NOT NULL")
+def ministry_menu(spark: SparkSession, d: str) -> DataFrame:
+    p = read_table(spark, d, "ministry_pages").where("ministry is not null and url is not null").select("ministry", F.regexp_extract("url", r"^([A-Za-z]+://[^/]+/[^/]+)", 1).alias("home")).distinct()
+    menu = F.concat(F.lit('<ul><li><a href="#">Bộ, ngành</a><ul>'), F.array_join(F.collect_list(F.concat(F.lit('<li><a href="'), "home", F.lit('">'), _escape(F.col("ministry")), F.lit("</a></li>"))), ""), F.lit("</ul></li></ul>"))
+    pages = p.agg(menu.alias("html"))  # a menu: one entry a ministry
+    return pages.select(F.explode(menu_links(F.col("html"), "Bộ, ngành")).alias("m")).select("m.name", "m.href")
+
+
 @query("SELECT record_id AS doc_id, '#/texts/0' AS self_ref, url AS text FROM vbpl_records UNION ALL SELECT record_id, '#/texts/1', id FROM vbpl_records")
 def converter_blocks(spark: SparkSession, d: str) -> DataFrame:
     t = lambda i, c: F.struct(F.lit(f"#/texts/{i}").alias("self_ref"), F.col(c).alias("text"))

@@ -69,3 +69,20 @@ def fetch_all(
             yield pd.DataFrame(rows, columns=["url", "status", "body", "error", "attempts"])
 
     return urls.select("url").distinct().repartition(partitions, "url").mapInPandas(run, SCHEMA)
+
+
+def head(url: str, timeout: float) -> tuple[int, bytes, dict]:
+    """A fetcher that asks whether a page exists and reads none of it."""
+    from urllib.error import HTTPError
+    from urllib.request import Request, urlopen
+
+    try:
+        with urlopen(Request(url, method="HEAD", headers={"User-Agent": "lawmill"}), timeout=timeout) as r:
+            return r.status, b"", dict(r.headers)
+    except HTTPError as e:
+        return e.code, b"", dict(e.headers)
+
+
+def existing(urls: DataFrame, fetch: Fetcher = head, **options) -> DataFrame:
+    """The URLs that answer."""
+    return fetch_all(urls, fetch, **options).where("status < 400").select("url")

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+from pathlib import Path
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -56,3 +61,62 @@ def state_documents(state: DataFrame) -> DataFrame:
 def missing_files(attachments: DataFrame, on_disk: DataFrame) -> DataFrame:
     """Attachments (item_id, filename, ...) that aren't on disk (item_id, filename, length) or are empty there."""
     return attachments.join(on_disk.where("length > 0").select("item_id", "filename"), ["item_id", "filename"], "left_anti")
+
+
+def json_arrays(rows: DataFrame, column: str, folder: str) -> None:
+    """JSON values in order, each part file one whole JSON array; read back with multiLine. No part is held in memory."""
+
+    def wrap(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        yield pd.DataFrame({"value": ["["]})
+        for b in batches:
+            lines = b["value"].tolist()
+            if not lines:
+                continue
+            out = [] if held is None else [held + ","]
+            out += [x + "," for x in lines[:-1]]
+            held = lines[-1]
+            yield pd.DataFrame({"value": pd.Series(out, dtype=object)})
+        yield pd.DataFrame({"value": ["]"] if held is None else [held, "]"]})
+
+    rows.select(rows[column].alias("value")).where("value is not null").mapInPandas(wrap, "value string").write.mode("overwrite").text(folder)
+
+
+def nested_catalogue(entries: DataFrame) -> DataFrame:
+    """(doc_type, page, json) of listing entries (doc_type, page, idx, url, title): one row a page of a type, whose
+    entries a listing page bounds."""
+    x = F.struct(F.col("url").alias("document_url"), F.col("title").alias("document_title"))
+    pages = entries.groupBy("doc_type", "page").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col("idx").alias("k"), x.alias("v"))))).alias("m"))
+    return pages.select("doc_type", "page", F.to_json(F.create_map("doc_type", F.create_map("page", "m"))).alias("json"))
+
+
+def write_files(files: DataFrame, folder: str) -> DataFrame:
+    """Attachments (item_id, filename, content) written under ``folder``/item_id, a folder that all executors mount;
+    (item_id, filename, ok, error) of each. Files that are there and not empty are left alone. Lazy, as a plan."""
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = []
+            for i, name, content in zip(b["item_id"], b["filename"], b["content"]):
+                error = None
+                try:
+                    place = Path(folder) / str(i) / Path(name).name
+                    if not (place.exists() and place.stat().st_size):
+                        place.parent.mkdir(parents=True, exist_ok=True)
+                        part = place.with_name(place.name + f".{uuid.uuid4().hex}")
+                        part.write_bytes(bytes(content))
+                        part.replace(place)  # whole or not at all, if a task is repeated
+                except (OSError, TypeError) as e:
+                    error = str(e)
+                rows.append((i, name, error is None, error))
+            yield pd.DataFrame(rows, columns=["item_id", "filename", "ok", "error"])
+
+    return files.where("item_id is not null and filename is not null").mapInPandas(write, "item_id bigint, filename string, ok boolean, error string")
+
+
+def sitemap_cache(urls: DataFrame, folder: str) -> bool:
+    """The list of sitemaps kept for a run that can't find them; an empty list is not kept."""
+    if urls.isEmpty():
+        return False
+    urls.select("sitemap_index", "url").write.mode("overwrite").json(folder)
+    return True

@@ -188,3 +188,54 @@ def test_resumed_stream_equals_one_run(spark, tmp_path):
         out = resume.resume_files(spark, f"{base}/in", "k string", f"{base}/out", f"{base}/ck", keys=["k"])
     assert sorted(r.k for r in out.collect()) == ["a", "b", "c"]
     assert resume.resume_files(spark, f"{base}/in", "k string", f"{base}/out", f"{base}/ck", keys=["k"]).count() == 3
+
+
+def test_json_arrays_and_nested_catalogues(spark, tmp_path):
+    rows = spark.createDataFrame([(i, json.dumps({"id": str(i)})) for i in range(50)], "i int, j string").repartitionByRange(3, "i")
+    sinks.json_arrays(rows, "j", str(tmp_path / "a"))
+    assert readers.json_array(spark, str(tmp_path / "a"), "id string").count() == 50
+    parts = [json.loads(p.read_text()) for p in (tmp_path / "a").glob("part-*")]
+    assert sum(map(len, parts)) == 50
+    sinks.json_arrays(rows.limit(0), "j", str(tmp_path / "e"))
+    assert readers.json_array(spark, str(tmp_path / "e"), "id string").count() == 0
+    entries = spark.createDataFrame([("Luat", "Page_1", "2", "u", "t"), ("Luat", "Page_1", "1", "v", "s")], "doc_type string, page string, idx string, url string, title string")
+    nested = sinks.nested_catalogue(entries)
+    assert sorted(map(tuple, reports.catalogue_entries(nested.select("json")).collect())) == sorted(map(tuple, entries.collect()))
+
+
+def test_files_are_written_once_and_failures_are_rows(spark, tmp_path):
+    f = spark.createDataFrame([(1, "../a.pdf", bytearray(b"x")), (1, "b", None), (None, "c", bytearray(b"y"))], "item_id bigint, filename string, content binary")
+    for _ in range(2):
+        got = {r.filename: r.ok for r in sinks.write_files(f, str(tmp_path)).collect()}
+    assert got == {"../a.pdf": True, "b": False} and (tmp_path / "1" / "a.pdf").read_bytes() == b"x"
+    assert not sinks.sitemap_cache(spark.createDataFrame([], "sitemap_index int, url string"), str(tmp_path / "c"))
+
+
+def test_menus_tabs_and_existing_pages(spark):
+    from lawmill.functions.html import menu_links, tab_links
+
+    h = '<ul><li><a href="#">Bộ, ngành</a><ul><li><a href="/a">Bộ A</a></li><li><a href="/b">Bộ B</a></li></ul></li></ul><div class="box-tab"><a href="/t">Toàn văn</a></div>'
+    got = spark.createDataFrame([(h,), (None,)], "h string").select(menu_links(F.col("h"), "Bộ, ngành").alias("m")).collect()
+    assert [x.name for x in got[0].m] == ["Bộ A", "Bộ B"] and got[1].m == []
+    assert tab_links(h) == [("Toàn văn", "/t")]
+    u = spark.createDataFrame([("a",), ("b",)], "url string")
+    assert [r.url for r in http.existing(u, lambda url, t: (200 if url == "a" else 404, b"", {}), partitions=1, delay=0, sleep=lambda s: None).collect()] == ["a"]
+
+
+def test_command_line(spark, tmp_path):
+    from lawmill.__main__ import main
+
+    schema = "item_id bigint, scope string, doc_type string, status string, detail_json string, error_message string, discovered_at timestamp, updated_at timestamp"
+    p = lambda n: str(tmp_path / n)
+    spark.createDataFrame([], schema).write.parquet(p("s0"))
+    spark.createDataFrame([(1, '<a href="/x/Pages/vbpq-toanvan.aspx?ItemID=5">d</a>')], "page_no int, html string").write.parquet(p("pages"))
+    main(["discover", p("s0"), p("pages"), p("s1")])
+    spark.createDataFrame([(5, "x", '<div id="toanvan">nội dung</div>')], "item_id bigint, scope string, page string").write.parquet(p("d"))
+    spark.createDataFrame([], "item_id bigint, scope string, page string").write.parquet(p("a"))
+    main(["detail", p("s1"), p("d"), p("a"), p("o")])
+    main(["export", f"{p('o')}/state", p("e")])
+    assert readers.json_array(spark, p("e"), "text string").first().text == "nội dung"
+    main(["stats", f"{p('o')}/state", "--doc-type", "vbpq"])
+    spark.createDataFrame([(1, "<loc>u</loc>")], "sitemap_index int, xml string").write.parquet(p("m"))
+    main(["sitemap", p("m"), p("u"), "--end", "3"])
+    assert spark.read.parquet(p("u")).first().url == "u"
