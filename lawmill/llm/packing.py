@@ -144,12 +144,12 @@ def pack(sizes: DataFrame, targets: DataFrame, salts: int = SALTS) -> DataFrame:
 
     Containers of a target are numbered from 0, those that pieces of full size fill come last.
     """
-    t = targets.where("capacity > 0").select("target_id", "capacity").distinct()
-    if t.count() > MAX_TARGETS:
-        raise ValueError(f"more than {MAX_TARGETS} capacities; they aren't broadcast")
-    t = F.broadcast(t)
+    wanted = targets.where("capacity > 0").select("target_id", "capacity").distinct().limit(MAX_TARGETS + 1).collect()
+    if len(wanted) > MAX_TARGETS:
+        raise ValueError(f"more than {MAX_TARGETS} capacities")
+    each = F.array(*(F.struct(F.lit(r.target_id).cast("int").alias("target_id"), F.lit(r.capacity).cast("int").alias("capacity")) for r in wanted)) if wanted else F.expr("array_remove(array(struct(0 AS target_id, 1 AS capacity)), struct(0 AS target_id, 1 AS capacity))")
     s = sizes.select("doc_id", F.coalesce(F.col("tokens"), F.lit(0)).cast("bigint").alias("tokens"), F.pmod(F.xxhash64("doc_id"), F.lit(salts)).alias("salt"))
-    s = s.crossJoin(t).withColumn("full", F.expr("tokens div capacity")).withColumn("rest", F.col("tokens") % F.col("capacity"))
+    s = s.withColumn("t", F.explode(each)).select("doc_id", "tokens", "salt", "t.*").withColumn("full", F.expr("tokens div capacity")).withColumn("rest", F.col("tokens") % F.col("capacity"))
     rest = s.where("rest > 0")
     held = rest.groupBy("target_id", "capacity", "rest", "salt").agg(F.count("*").alias("n"))
     held = stage(held, "packing-counts")  # at most capacity x salts rows a target
