@@ -37,8 +37,9 @@ def until_successes(attempts: DataFrame, order: Sequence[str], ok: Column, limit
     """Attempts in order up to the one that brings the limit of successes, which is the last kept."""
     ranked = global_rank(attempts.withColumn("_ok", ok), order, "_r")
     success = global_rank(ranked.where("_ok").select("_r"), ["_r"], "_s")
-    end = success.where(F.col("_s") == limit).agg(F.min("_r").alias("_end"))  # one row
-    return ranked.join(F.broadcast(end)).where(F.col("_end").isNull() | (F.col("_r") <= F.col("_end"))).drop("_ok", "_r", "_end")
+    end = success.where(F.col("_s") == limit).agg(F.min("_r").alias("_end")).first()._end  # one number
+    kept = ranked if end is None else ranked.where(F.col("_r") <= end)
+    return kept.drop("_ok", "_r")
 
 
 def retry_queue(errors: DataFrame, stage: str = "document_fetch", order: Sequence[str] = ("when_utc",), limit: int | None = None) -> DataFrame:
