@@ -1,24 +1,20 @@
 """Records that share most of their content: pairs alike by at least a threshold.
 
 Likeness is the Jaccard coefficient of the sets of word runs (three words by default) of the
-lower-cased text. Method: a parity-sketch join.
-
-1. Tokens (hashes of word runs) are XORed into sketches. Two sets that differ in d tokens have
-   sketches that differ in at most d words, and parity bits at Hamming distance of at most d:
-   both bound the symmetric difference from below.
-2. At the threshold t, sets of a and b tokens may differ in (1-t)/(1+t)*(a+b) tokens. Sets are
-   put in bands of size, ratio 1/t, each in its own band and the next, so that any two that can
-   reach t meet in one; in a band, tokens are dealt to slots, each slot's tokens are XORed to
-   a word, and records that share a word are candidates (pigeonhole: with more slots than
-   differing tokens one word is equal). Small sets use all their slots, where the pigeonhole is
-   a proof. For larger ones ``WORDS`` of the slots are joined: with about two and a half tokens
-   of the union in a slot, two sets at the threshold share a given word with a chance of a
-   quarter, and none of all with one of about a thousand; above the threshold it falls fast.
-3. Candidates whose parity bits differ in more than the bound are dropped, which loses nothing,
-   and the rest are verified by the exact coefficient.
-
-Word runs on more than a share of the records (formulas, page furniture) make no words, since
-they would gather unlike records; they count in the bits and in the verification.
+lower-cased text. Method: an exact prefix-filter join with parity sketches.
+
+1. All tokens (hashes of word runs) stand in one order: those on more than a share of the records
+   last, by their counts, the others by hash. Two sets alike by the threshold t share at least
+   t/(1+t)*(a+b) of their a and b tokens. From the first token they share on, both must hold so
+   many, so it stands in both prefixes of (1-t)*n+1 tokens: records that share a word of their
+   prefixes, at places that leave enough, are candidates. This is a proof for any order; the
+   order only keeps the groups small. A record with few rare runs has common ones in its prefix.
+2. The XOR of parity bits has a Hamming distance of at most the symmetric difference. Candidates whose
+   bits differ in more than (1-t)/(1+t)*(a+b) are dropped, which loses nothing.
+3. The rest are verified by the exact coefficient.
+
+Words are dealt to buckets of bounded size by their hash, packed in arrays with the sizes and bits
+of their records; a bucket's candidates are made and tested a chunk at a time.
 
 Records with equal sets are one class, whose smallest key stands for it in the join, so
 that copies, even a third of all rows, meet once. Pairs of a class and between classes are
@@ -42,10 +38,10 @@ from pyspark.sql import functions as F
 from lawmill.session import stage
 
 RUN, THRESHOLD, LEAST_WORDS = 3, 0.6, 20
-#: Slots of a band that are joined, and tokens of a middle-sized set per slot.
-WORDS, PER_SLOT = 28, 1.9
-#: A token on more than this share of the records makes no words, within the bounds given.
+#: A token on more than this share of the records stands last in the order, within the bounds given.
 COMMON_SHARE, COMMON_LEAST, COMMON_MOST = 0.0005, 10, 1000
+#: Words of a bucket on average, words and records packed at once, candidates tested at once.
+BUCKET, PACKED, PACKED_RECORDS, TESTED = 1_500_000, 1_000_000, 60_000, 500_000
 #: Members up to which a class of equal sets is expanded into pairs.
 EXPANDED = 50
 SLICE_CHARS = 600_000
@@ -108,30 +104,27 @@ def bound(a, b, t: float = THRESHOLD):
     return (1 - t) / (1 + t) * (a + b)
 
 
-def band(n: int, t: float = THRESHOLD) -> int:
-    return int(math.floor(math.log(n) / -math.log(t) + 1e-9))
-
-
-def slots(e: int, t: float = THRESHOLD, words: int = WORDS) -> int:
-    """How many slots the tokens of a band are dealt to."""
-    largest = t ** -(e + 1)
-    proof = int(bound(largest, largest, t)) + 1
-    return proof if proof <= words else max(words, int(t**-e / PER_SLOT))
-
-
-def words_of(tokens: np.ndarray, n: int, t: float, words: int, salt: int) -> np.ndarray:
-    """The keys on which a record meets others: one for each slot with tokens, in its two bands."""
-    keys = []
-    high = tokens >> np.uint64(40)
-    for e in (band(n, t), band(n, t) + 1):
-        k = slots(e, t, words)
-        slot = (high * np.uint64(k)) >> np.uint64(24)
-        used = slot < np.uint64(words)
-        w = np.zeros(words, dtype=np.uint64)
-        np.bitwise_xor.at(w, slot[used].astype(np.int64), tokens[used])
-        i = np.flatnonzero(w)
-        keys.append(mix(w[i] + mix(i.astype(np.uint64) + np.uint64((e * 1000 + salt * 100_003) & 0xFFFFFFFF))))
-    return np.concatenate(keys)
+def prefix_length(n, t: float = THRESHOLD):
+    """How many of the first tokens of a set of n hold the first one shared with any set alike by t."""
+    return np.minimum(n, np.floor((1 - t) * n + 1e-6).astype(np.int64) + 1)
+
+
+def prefixes(sets: list[np.ndarray], common: np.ndarray, t: float) -> list[np.ndarray]:
+    """The prefixes of sorted sets in the order of all tokens: ``common``, sorted by hash, with its ranks, comes last."""
+    token, rank = common["token"], common["rank"]
+    ends = np.cumsum([len(s) for s in sets])
+    flat = np.concatenate(sets)
+    at = np.minimum(np.searchsorted(token, flat), max(len(token) - 1, 0))
+    late = token[at] == flat if len(token) else np.zeros(len(flat), dtype=bool)
+    out = []
+    for s, x, y in zip(sets, np.split(late, ends[:-1]), np.split(at, ends[:-1])):
+        m = int(prefix_length(len(s), t))
+        first = s[~x][:m]
+        if len(first) < m:
+            last = s[x][np.argsort(rank[y[x]])]
+            first = np.concatenate((first, last[: m - len(first)]))
+        out.append(first)
+    return out
 
 
 def parity_bits(tokens: np.ndarray) -> bytes:
@@ -164,8 +157,11 @@ def _slices(batch: pa.RecordBatch) -> Iterator[tuple[list, list, list[str]]]:
         yield src[a:], key[a:], text[a:]
 
 
+COMMON = np.dtype([("token", np.uint64), ("rank", np.int64)])
+
+
 def common_tokens(texts: DataFrame, run: int, least: int, share: float = COMMON_SHARE) -> np.ndarray:
-    """Tokens on more than a share of all records, by lossy counting in every partition.
+    """Tokens on more than a share of all records, by lossy counting in every partition, with their ranks by count.
 
     A token on more than ``share`` of the records is over it in some partition; of a partition at most
     (tokens a record / share) can be, so what reaches the driver has a bound that doesn't grow
@@ -203,84 +199,189 @@ def common_tokens(texts: DataFrame, run: int, least: int, share: float = COMMON_
     got = stage(got, "neardup-common")
     total = got.where("token = 0").agg(F.max("n")).first()[0] or 0
     least_n = min(max(COMMON_LEAST, share * total), COMMON_MOST)
-    return np.array([r.token for r in got.where((F.col("token") != 0) & (F.col("n") >= least_n)).select("token").collect()], dtype=np.int64).view(np.uint64)
+    rows = got.where((F.col("token") != 0) & (F.col("n") >= least_n)).select("token", "n").collect()
+    token, n = (np.array([r[c] for r in rows], dtype=np.int64) for c in ("token", "n"))
+    out = np.empty(len(rows), dtype=COMMON)
+    order = np.lexsort((token, n))
+    out["token"], out["rank"] = token.view(np.uint64)[order], np.arange(len(rows))
+    return np.sort(out, order="token")
+
 
+SKETCHES = "src string, row_key bigint, id bigint, n int, sum bigint, xor bigint"
 
-SKETCHES = "src string, row_key bigint, id bigint, n int, sum bigint, xor bigint, bits binary, words array<bigint>"
 
+def _marks(s: np.ndarray) -> tuple[int, int, int]:
+    """The size of a set and two hashes of it: equal for equal sets."""
+    return len(s), int(s.sum()), int(np.bitwise_xor.reduce(mix(s)))
 
-def sketch(texts: DataFrame, sources: list[str], common: np.ndarray, run: int, least: int, t: float, words: int) -> DataFrame:
-    """The sketches of every record of ``texts`` (src, row_key, text)."""
-    shipped = texts.sparkSession.sparkContext.broadcast(np.sort(common))
+
+def sketch(texts: DataFrame, sources: list[str], run: int, least: int) -> DataFrame:
+    """Size and hashes of the set of every record of ``texts`` (src, row_key, text)."""
     number = {s: i for i, s in enumerate(sources)}
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rare = np.ones(1 << 24, dtype=bool)
-        rare[(shipped.value >> np.uint64(40)).astype(np.int64)] = False
         for b in batches:
             for src, key, text in _slices(b):
-                rows = [(s, k, x) for s, k, x in zip(src, key, token_sets(text, run, least)) if x is not None]
-                if not rows:
-                    continue
-                lists, bits = [], []
-                for s, _, x in rows:
-                    lists.append(words_of(x[rare[(x >> np.uint64(40)).astype(np.int64)]], len(x), t, words, number[s]))
-                    bits.append(parity_bits(x))
-                ends = np.concatenate(([0], np.cumsum([len(w) for w in lists]))).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[1] * len(sources) + number[r[0]] for r in rows], pa.int64()),
-                        pa.array([len(r[2]) for r in rows], pa.int32()),
-                        pa.array(np.array([r[2].sum() for r in rows], dtype=np.uint64).view(np.int64)), pa.array(np.array([np.bitwise_xor.reduce(mix(r[2])) for r in rows], dtype=np.uint64).view(np.int64)),
-                        pa.array(bits, pa.binary()), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(lists).view(np.int64))),
-                    ],
-                    names=["src", "row_key", "id", "n", "sum", "xor", "bits", "words"],
-                )
+                rows = [(s, k, k * len(sources) + number[s], *_marks(x)) for s, k, x in zip(src, key, token_sets(text, run, least)) if x is not None]
+                if rows:
+                    src_, key_, id_, n, total, xor = zip(*rows)
+                    hashes = (pa.array(np.array(h, dtype=np.uint64).view(np.int64)) for h in (total, xor))
+                    yield pa.RecordBatch.from_arrays([pa.array(src_), pa.array(key_, pa.int64()), pa.array(id_, pa.int64()), pa.array(n, pa.int32()), *hashes], names=["src", "row_key", "id", "n", "sum", "xor"])
 
     return texts.mapInArrow(make, SKETCHES)
 
 
-def _pairs(t: float):
-    """Pairs of a sorted partition's groups of equal words, as it streams by."""
+BUCKETS = "bucket int, ids binary, sizes binary, sets binary, bits binary, words binary, records binary, left binary"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        left: tuple[np.ndarray, ...] | None = None
-
-        def emit(word: np.ndarray, ids: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
-            first = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
-            size = np.diff(np.concatenate((first, [len(word)])))
-            for step in range(1, int(size.max(initial=1))):
-                # the pairs that stand ``step`` apart in their group, of all groups at once
-                i = np.arange(len(word) - step)
-                i = i[word[i] == word[i + step]]
-                a, b = n[i], n[i + step]
-                ok = (np.minimum(a, b) >= t * np.maximum(a, b) - 1e-9) & (ids[i] != ids[i + step])
-                i = i[ok]
-                if len(i):
-                    x, y = ids[i], ids[i + step]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
 
-        for batch in batches:
-            word, ids, n = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("word", "id", "n"))
-            if left is not None:
-                word, ids, n = (np.concatenate((x, y)) for x, y in zip(left, (word, ids, n)))
-            cut = int(np.searchsorted(word, word[-1])) if len(word) else 0  # the last group may go on
-            left = (word[cut:], ids[cut:], n[cut:])
-            if cut:
-                yield from emit(word[:cut], ids[:cut], n[:cut])
-        if left is not None and len(left[0]):
-            yield from emit(*left)
+def _narrow(a: np.ndarray) -> np.ndarray:
+    return a.astype(np.uint16 if not len(a) or a.max() < 1 << 16 else np.uint32)
 
-    return run
 
+def _wide(blob: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(blob, dtype=np.uint16 if len(blob) == 2 * n else np.uint32).astype(np.int64)
+
+
+def _level(n: np.ndarray) -> np.ndarray:
+    """Bits of the parity sketch of a set of n."""
+    return np.maximum(512, 1 << np.ceil(np.log2(2 * n)).astype(np.int64))
+
+
+def _fold(bits: np.ndarray, m: int) -> np.ndarray:
+    """Rows of parity bits (64 to a number), folded to m bits."""
+    while bits.shape[-1] * 64 > m:
+        half = bits.shape[-1] // 2
+        bits = bits[..., :half] ^ bits[..., half:]
+    return bits
+
+
+def pack(texts: DataFrame, sources: list[str], common: np.ndarray, buckets: int, run: int, least: int, t: float) -> DataFrame:
+    """The words of the records' prefixes by bucket; equal sets that are packed together are packed once, under the least id."""
+    shipped = texts.sparkSession.sparkContext.broadcast(common)
+    number = {s: i for i, s in enumerate(sources)}
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[tuple, int] = {}
+        ids: list[int] = []
+        bits: list[bytes] = []
+        words: list[np.ndarray] = []
+        size = 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            n = np.array([k[1] for k in seen], dtype=np.int64)
+            src, total, xor = (np.array([k[i] for k in seen], dtype=np.uint64) for i in (0, 2, 3))
+            sets, of = mix(total + mix(xor + mix(src + np.uint64(1)))), np.array(ids, dtype=np.int64)
+            counts = np.array([len(w) for w in words])
+            record = np.repeat(np.arange(len(words)), counts)
+            left = n[record] - (np.arange(len(record)) - np.repeat(np.cumsum(counts) - counts, counts))
+            w = mix(np.concatenate(words) + mix(src + np.uint64(1))[record])
+            bucket = ((w >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
+            for k in range(buckets):
+                i = order[edges[k] : edges[k + 1]]
+                if len(i):
+                    r = record[i]
+                    new = np.concatenate(([True], r[1:] != r[:-1]))
+                    u = r[new]
+                    row = (k, of[u].tobytes(), n[u].astype(np.uint32).tobytes(), sets[u].tobytes(), b"".join([bits[x] for x in u]), w[i].astype(np.uint32).tobytes(), _narrow(np.cumsum(new) - 1).tobytes(), _narrow(left[i]).tobytes())
+                    yield pa.RecordBatch.from_arrays([pa.array([row[0]], pa.int32()), *(pa.array([x], pa.binary()) for x in row[1:])], names=["bucket", "ids", "sizes", "sets", "bits", "words", "records", "left"])
 
-def _near(t: float):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            bits_a, bits_b = b.column("bits_a").to_pylist(), b.column("bits_b").to_pylist()
-            most = bound(b.column("n_a").to_numpy(), b.column("n_b").to_numpy(), t)
-            keep = [hamming(x, y) <= m + 1e-9 for x, y, m in zip(bits_a, bits_b, most)]
-            yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            for src, key, text in _slices(b):
+                rows = [(number[s], k, x) for s, k, x in zip(src, key, token_sets(text, run, least)) if x is not None]
+                if not rows:
+                    continue
+                for (s, k, x), w in zip(rows, prefixes([r[2] for r in rows], shipped.value, t)):
+                    i, mark = k * len(sources) + s, (s, *_marks(x))
+                    if mark in seen:
+                        ids[seen[mark]] = min(ids[seen[mark]], i)
+                        continue
+                    seen[mark] = len(ids)
+                    ids.append(i)
+                    bits.append(parity_bits(x))
+                    words.append(w)
+                    size += len(w)
+                if size > PACKED or len(ids) > PACKED_RECORDS:
+                    yield from flush()
+                    seen, ids, bits, words, size = {}, [], [], [], 0
+        if ids:
+            yield from flush()
+
+    return texts.mapInArrow(make, BUCKETS)
+
+
+def _candidates(rows: list[dict], t: float, sources: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Ids of the records of a bucket that share a word of their prefixes and whose parity bits aren't too far apart."""
+    ids = np.concatenate([np.frombuffer(r["ids"], dtype=np.int64) for r in rows])
+    n = np.concatenate([np.frombuffer(r["sizes"], dtype=np.uint32) for r in rows]).astype(np.int64)
+    sets = np.concatenate([np.frombuffer(r["sets"], dtype=np.uint64) for r in rows])
+    bits = np.concatenate([np.frombuffer(r["bits"], dtype=np.uint64) for r in rows])
+    level = _level(n)
+    begin = np.cumsum(level // 64) - level // 64
+    word = [np.frombuffer(r["words"], dtype=np.uint32) for r in rows]
+    starts = np.cumsum([0] + [len(r["ids"]) // 8 for r in rows])
+    record = np.concatenate([_wide(r["records"], len(w)) + a for r, w, a in zip(rows, word, starts)])
+    left = np.concatenate([_wide(r["left"], len(w)) for r, w in zip(rows, word)])
+    word = np.concatenate(word)
+
+    order = np.lexsort((ids, sets, n))  # of equal sets the least id
+    first = np.ones(len(ids), dtype=bool)
+    first[order[1:]] = (sets[order[1:]] != sets[order[:-1]]) | (n[order[1:]] != n[order[:-1]])
+    keep = first[record]
+    word, record, left = word[keep], record[keep], left[keep]
+
+    key = (word.astype(np.uint64) << np.uint64(32)) | n[record].astype(np.uint64)
+    order = np.argsort(key)
+    key, record, left = key[order], record[order], left[order]
+    # of a pair's smaller record: the largest size with which it can still share enough
+    most = np.floor(left * (1 + t) / t - n[record] + 1e-6).astype(np.int64)
+    i = np.flatnonzero(most >= n[record])
+    high = np.uint64(0xFFFFFFFF)
+    end = np.searchsorted(key, (key[i] & ~high) | np.minimum(most[i], int(high)).astype(np.uint64), side="right")
+    i, count = i[end - i > 1], (end - i - 1)[end - i > 1]
+    total = np.cumsum(count)
+    a = 0
+    while a < len(i):
+        b = max(a + 1, int(np.searchsorted(total, total[a] - count[a] + TESTED, side="right")))
+        x = np.repeat(i[a:b], count[a:b])
+        y = x + 1 + np.arange(len(x)) - np.repeat(total[a:b] - count[a:b] - (total[a] - count[a]), count[a:b])
+        a = b
+        p, q = record[x], record[y]
+        ok = (left[y] >= t / (1 + t) * (n[p] + n[q]) - 1e-6) & (ids[p] != ids[q]) & (ids[p] % sources == ids[q] % sources)
+        pair = np.unique(np.minimum(p, q)[ok] * len(ids) + np.maximum(p, q)[ok])
+        p, q = pair // len(ids), pair % len(ids)
+        near = np.zeros(len(p), dtype=bool)
+        combination = level[p] * (1 << 32) + level[q]
+        for c in np.unique(combination):
+            j = np.flatnonzero(combination == c)
+            mp, mq = int(c) >> 32, int(c) & 0xFFFFFFFF
+            for k in range(0, len(j), max(1, TESTED * 1024 // max(mp, mq))):
+                z = j[k : k + max(1, TESTED * 1024 // max(mp, mq))]
+                u, v = (_fold(bits[begin[r[z]][:, None] + np.arange(m // 64)], min(mp, mq)) for r, m in ((p, mp), (q, mq)))
+                near[z] = np.bitwise_count(u ^ v).sum(axis=1, dtype=np.int64) <= bound(n[p[z]], n[q[z]], t) + 1e-9
+        yield np.minimum(ids[p], ids[q])[near], np.maximum(ids[p], ids[q])[near]
+
+
+def _pairs(t: float, sources: int):
+    """Candidates of a partition's buckets, one after the other."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[dict] = []
+
+        def emit() -> Iterator[pa.RecordBatch]:
+            for a, b in _candidates(held, t, sources):
+                if len(a):
+                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                if held and held[0]["bucket"] != row["bucket"]:
+                    yield from emit()
+                    held = []
+                held.append(row)
+        if held:
+            yield from emit()
 
     return run
 
@@ -312,24 +413,21 @@ def _alike(t: float):
     return run
 
 
-def near_duplicates(texts: DataFrame, sources: list[str], threshold: float = THRESHOLD, run: int = RUN, least: int = LEAST_WORDS, words: int = WORDS) -> tuple[DataFrame, DataFrame]:
+def near_duplicates(texts: DataFrame, sources: list[str], threshold: float = THRESHOLD, run: int = RUN, least: int = LEAST_WORDS) -> tuple[DataFrame, DataFrame]:
     """(links, classes) of ``texts`` (src, row_key, text), whose src are among ``sources``.
 
     links: src, key_a, key_b, likeness between representatives of different classes;
     classes: src, row_key, rep, members, of the classes of more than one record.
     """
     texts = texts.select("src", "row_key", "text").where("text is not null and row_key is not null").where(F.col("src").isin(*sources))
-    made = stage(sketch(texts, sources, common_tokens(texts, run, least), run, least, threshold, words), "neardup-sketches")
+    made = stage(sketch(texts, sources, run, least), "neardup-sketches")
     same = made.groupBy("src", "n", "sum", "xor").agg(F.min("row_key").alias("rep"), F.countDistinct("row_key").alias("members")).where("members > 1")
     classes = stage(made.select("src", "n", "sum", "xor", "row_key").distinct().join(same, ["src", "n", "sum", "xor"]).select("src", "row_key", "rep", "members"), "neardup-classes")
-    copies = classes.where("row_key != rep").select("src", "row_key")
-    reps = made.join(copies, ["src", "row_key"], "left_anti")
-    met = reps.select(F.explode("words").alias("word"), "id", "n").repartition("word").sortWithinPartitions("word")
-    pairs = stage(met.mapInArrow(_pairs(threshold), "a bigint, b bigint").distinct(), "neardup-pairs")
-    bits = made.select("id", "n", "bits")
-    with_a = pairs.join(bits.withColumnsRenamed({"id": "a", "n": "n_a", "bits": "bits_a"}), "a")
-    with_b = with_a.join(bits.withColumnsRenamed({"id": "b", "n": "n_b", "bits": "bits_b"}), "b")
-    near = stage(with_b.select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(_near(threshold), "a bigint, b bigint").distinct(), "neardup-near")
+    tokens = made.agg(F.sum("n")).first()[0] or 0
+    buckets = max(1, math.ceil((1 - threshold) * tokens / BUCKET))
+    packed = pack(texts, sources, common_tokens(texts, run, least), buckets, run, least, threshold)
+    met = packed.repartition(max(buckets, 2), "bucket").sortWithinPartitions("bucket")
+    near = stage(met.mapInArrow(_pairs(threshold, len(sources)), "a bigint, b bigint").distinct(), "neardup-near")
     needed = near.select(F.col("a").alias("id")).union(near.select("b")).distinct()
     number = F.element_at(F.create_map(*(x for i, s in enumerate(sources) for x in (F.lit(s), F.lit(i)))), F.col("src"))
     ids = texts.withColumn("id", F.col("row_key") * len(sources) + number).join(needed, "id", "left_semi").dropDuplicates(["id"])

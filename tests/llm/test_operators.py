@@ -355,6 +355,22 @@ def test_pairs_equal_brute_force(spark):
     assert neardup.expand(*empty).count() == 0
 
 
+def test_pairs_whose_shared_runs_are_common_or_copied_are_found(spark):
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(5000)]
+    hot, family = rng.choices(words, k=60), rng.choices(words, k=100)
+
+    def edited(w):
+        return " ".join([*w[: (k := rng.randrange(len(w)))], rng.choice(words), *w[k + 1 :]])
+
+    docs = [" ".join(hot)] * 150 + [edited(hot) for _ in range(10)] + [edited(family) for _ in range(60)] + [" ".join(rng.choices(words, k=80)) for _ in range(230)]
+    links, classes = neardup.near_duplicates(frame(spark, [("a", i, t) for i, t in enumerate(docs)], "src string, row_key bigint, text string"), ["a"])
+    got = sorted((r.key_a, r.key_b) for r in links.collect())
+    firsts = sorted({t: i for i, t in reversed(list(enumerate(docs)))}.values())
+    assert got == [(i, j) for i in firsts for j in firsts if i < j and jaccard(docs[i], docs[j]) >= 0.6]
+    assert (0, 150) in got and classes.count() >= 150
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.text(alphabet="ab \u00a0\u3000\n\x1cĐ", max_size=200))
 def test_word_runs_are_those_of_split(s):
