@@ -371,6 +371,16 @@ def test_pairs_whose_shared_runs_are_common_or_copied_are_found(spark):
     assert (0, 150) in got and classes.count() >= 150
 
 
+def test_no_pair_of_large_sets_at_the_threshold_is_missed(spark):
+    docs = []
+    for seed in (*range(300), 3179, 3185, 6917):  # 270 of 450 runs; of the last three, no joined slot was equal in a sample of 28
+        rng = random.Random(seed)
+        w = [str(rng.randrange(10**9)) for _ in range(452)]
+        docs += [" ".join(w[:272]), " ".join(w)]
+    links, _ = neardup.near_duplicates(frame(spark, [("a", i, t) for i, t in enumerate(docs)], "src string, row_key bigint, text string"), ["a"])
+    assert sorted((r.key_a, r.key_b) for r in links.collect()) == [(i, i + 1) for i in range(0, len(docs), 2)]
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.text(alphabet="ab \u00a0\u3000\n\x1cĐ", max_size=200))
 def test_word_runs_are_those_of_split(s):
