@@ -1,11 +1,12 @@
 """Template residue, filler, error pages, waiting, login and script notices instead of content.
 
 Method: lines that carry evidence are found in one pass; normalised lines (digits folded,
-blanks collapsed) are counted by host over all records; a line that recurs on a large share of
-its host's records is the site's boilerplate and is subtracted; a record whose residual
-lines still carry evidence is excluded. Only evidence lines are counted: a line without
-evidence can't change the outcome, so the shuffle holds a few rows in a hundred records
-instead of every line of the corpus.
+blanks collapsed) are counted by host in distinct documents, told apart by what a record holds besides
+its evidence lines: an error page copied to many rows counts once. A line that recurs on a large share of
+its host's distinct documents is the site's boilerplate and is subtracted; a record whose residual
+lines still carry evidence is excluded, and so is one that holds nothing but evidence lines. Only evidence
+lines are counted: a line without evidence can't change the outcome, so the shuffle holds a few rows
+in a hundred records and a hash a record instead of every line of the corpus.
 
 Evidence in the body of a legal sentence ("the portal must report error 404 ...") isn't
 any: patterns are notices addressed to a reader or marks of a program, never single words.
@@ -17,6 +18,7 @@ one row; a record without a key can't be named and gives none.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 
@@ -26,7 +28,7 @@ from pyspark.sql import functions as F
 
 from lawmill.session import stage
 
-#: A line is boilerplate if it is on this share of its host's records, and on this many at least.
+#: A line is boilerplate if it is on this share of its host's distinct documents, and on this many at least.
 BOILERPLATE_SHARE, BOILERPLATE_LEAST = 0.05, 20
 
 #: Marks of template engines and programs.
@@ -68,7 +70,7 @@ TRIGGERS = (
 
 EVIDENCE = re.compile("|".join((PLACEHOLDERS, FILLER, ERRORS, NOTICES, SCRIPTS)), re.M)
 
-LINES = "src string, row_key bigint, host string, line string"
+LINES = "src string, row_key bigint, host string, line string, rest bigint, bare boolean"
 
 
 def normalise_line(s: str) -> str:
@@ -93,22 +95,34 @@ def evidence_lines(text: str | None) -> list[str]:
     return out
 
 
+def remainder(text: str, evidence: list[str]) -> str:
+    """The lines of a text besides its evidence lines."""
+    return "\n".join(x.strip() for x in text.split("\n") if x.strip() and normalise_line(x) not in evidence)
+
+
 def _scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
-        rows = [(s, k, h, line) for s, k, h, t in zip(b["src"], b["row_key"], b["host"], b["text"]) for line in evidence_lines(t)]
-        yield pd.DataFrame(rows, columns=["src", "row_key", "host", "line"])
+        rows = []
+        for s, k, h, t in zip(b["src"], b["row_key"], b["host"], b["text"]):
+            if found := evidence_lines(t):
+                rest = remainder(t, found)
+                mark = int.from_bytes(hashlib.blake2b(rest.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
+                rows += [(s, k, h, line, mark, not rest) for line in found]
+        yield pd.DataFrame(rows, columns=["src", "row_key", "host", "line", "rest", "bare"])
 
 
 def residue_records(texts: DataFrame, share: float = BOILERPLATE_SHARE, least: int = BOILERPLATE_LEAST) -> DataFrame:
     """(src, row_key) of the records to exclude, of ``texts`` (src, row_key, host, text; other columns are ignored)."""
     t = texts.where("row_key is not null").select("src", "row_key", F.coalesce("host", F.lit("")).alias("host"), "text")
-    lines = t.where(F.trim(F.coalesce("text", F.lit(""))) != "").mapInPandas(_scan, LINES).distinct()
+    t = t.where(F.trim(F.coalesce("text", F.lit(""))) != "")
+    lines = t.mapInPandas(_scan, LINES).distinct()
     lines = stage(lines, "residue-lines")  # few rows, read several times: the texts are scanned once
-    # of each host, how many records there are: one row a host, joined to the few evidence lines
-    sizes = t.groupBy("src", "host").agg(F.count("*").alias("records"))
-    counts = lines.groupBy("src", "host", "line").agg(F.count("*").alias("n"))
-    boilerplate = counts.join(sizes, ["src", "host"]).where((F.col("n") >= least) & (F.col("n") >= share * F.col("records"))).select("src", "host", "line")
-    return lines.join(boilerplate, ["src", "host", "line"], "left_anti").select("src", "row_key").distinct()
+    counts = lines.groupBy("src", "host", "line").agg(F.countDistinct("rest").alias("n")).where(F.col("n") >= least)
+    # of each host, how many distinct texts there are: one row a host, joined to the few lines that recur
+    sizes = t.select("src", "host", F.xxhash64("text").alias("text")).distinct().groupBy("src", "host").agg(F.count("*").alias("documents"))
+    boilerplate = counts.join(sizes, ["src", "host"]).where(F.col("n") >= share * F.col("documents")).select("src", "host", "line", F.lit(True).alias("common"))
+    left = lines.join(boilerplate, ["src", "host", "line"], "left").where("common is null or bare").select("src", "row_key").distinct()
+    return stage(left, "residue-found")  # its written size tells a later join that it is small
 
 
 def host_of(url: Column) -> Column:

@@ -399,6 +399,16 @@ def test_sketches_bound_the_difference():
         assert neardup.hamming(neardup.parity_bits(a), neardup.parity_bits(b)) <= len(np.setxor1d(a, b))
 
 
+def test_copied_error_pages_are_no_boilerplate(spark):
+    page, footer = "Trang thông tin\n502 Bad Gateway\nLiên hệ", "Vui lòng bật JavaScript"
+    texts = [f"{page}\nenable scripts, {i}" for i in range(40)] + [page] * 10 + ["Just a moment..."] * 30
+    rows = [("a", i, "h", t) for i, t in enumerate(texts)]
+    sound = [("a", 100 + i, "h", f"Điều {'x' * i} nêu rõ.\n{footer}") for i in range(60)]
+    alone = [("a", 200, "h", f"{footer}\n\n"), ("a", 201, "h", f"Văn bản {footer[:4]}\n{footer}"), ("a", 202, "h", None)]
+    got = sorted(r.row_key for r in residue.residue_records(frame(spark, rows + sound + alone, TEXTS)).collect())
+    assert got == [*range(80), 200]
+
+
 # --- nulls in every column -----------------------------------------------------------------------
 
 
