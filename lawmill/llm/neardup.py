@@ -1,24 +1,29 @@
 """Records that share most of their content: pairs alike by at least a threshold.
 
 Likeness is the Jaccard coefficient of the sets of word runs (three words by default) of the
-lower-cased text. Method: an exact prefix-filter join with parity sketches.
-
-1. All tokens (hashes of word runs) stand in one order: those on more than a share of the records
-   last, by their counts, the others by hash. Two sets alike by the threshold t share at least
-   t/(1+t)*(a+b) of their a and b tokens. From the first token they share on, both must hold so
-   many, so it stands in both prefixes of (1-t)*n+1 tokens: records that share a word of their
-   prefixes, at places that leave enough, are candidates. This is a proof for any order; the
-   order only keeps the groups small. A record with few rare runs has common ones in its prefix.
-2. The XOR of parity bits has a Hamming distance of at most the symmetric difference. Candidates whose
+lower-cased text. Method: an exact pigeonhole join over slots, with parity sketches.
+
+1. The hash of a token (a word run) puts it into one of the slots of the set's size band. If two sets are alike by t,
+   their parts in at least one slot are alike by t too: were every slot's shared tokens fewer than t times its
+   joint ones, so would be their sums. Each slot of a record is joined on its own. Sets meet in the band of the smaller
+   one: a set that can have partners in the band below is dealt to its slots as well.
+2. All tokens stand in one order: the most frequent ones last, by their counts, the others by hash. Two parts of a
+   and b tokens alike by t share at least t/(1+t)*(a+b). From the first token they share on, both must
+   hold so many, so it stands in both prefixes of (1-t)*n+1 tokens: records that share a word of a slot's
+   prefix, at places that leave enough, are candidates. This is a proof for any order, which
+   only keeps the groups small; no token is left out.
+3. The XOR of a slot's parity bits has a Hamming distance of at most the symmetric difference. Candidates whose
    bits differ in more than (1-t)/(1+t)*(a+b) are dropped, which loses nothing.
-3. The rest are verified by the exact coefficient.
+4. The rest are verified by the exact coefficient of their whole texts.
 
-Words are dealt to buckets of bounded size by their hash, packed in arrays with the sizes and bits
-of their records; a bucket's candidates are made and tested a chunk at a time.
+Words are dealt to buckets of bounded size by slot and hash. What a word carries (its record's code, the size and the
+few parity bits of one slot) doesn't grow with the number of buckets; a bucket's candidates are made
+and tested a chunk at a time.
 
 Records with equal sets are one class, whose smallest key stands for it in the join, so
-that copies, even a third of all rows, meet once. Pairs of a class and between classes are
-expanded to their members up to ``EXPANDED`` members; a larger class is given as pairs of its
+that copies, even a third of all rows, meet once. A code names a class by some bits of its hash; classes
+that share a code are told apart when codes are turned into keys, and compared with each other too. Pairs of a class
+and between classes are expanded to their members up to ``EXPANDED`` members; a larger class is given as pairs of its
 representative with each member, and its links as links of the representative.
 
 Defined results: null texts, records without a key or of no listed source, and texts below the least number of words have no pairs; ties
@@ -38,10 +43,18 @@ from pyspark.sql import functions as F
 from lawmill.session import stage
 
 RUN, THRESHOLD, LEAST_WORDS = 3, 0.6, 20
-#: A token on more than this share of the records stands last in the order, within the bounds given.
-COMMON_SHARE, COMMON_LEAST, COMMON_MOST = 0.0005, 10, 1000
+#: Size bands: the least size of each, and how many first bits of a token's hash name its slot.
+BANDS = ((0, 0), (32, 2), (128, 4), (512, 6))
+_FLOORS = np.array([b for b, _ in BANDS])
+_SLOT_BITS = np.array([k for _, k in BANDS])
+_FIRST = np.cumsum(1 << _SLOT_BITS) - (1 << _SLOT_BITS)
+SLOTS = int((1 << _SLOT_BITS).sum())
+#: A token on more than this share of a partition's records is counted, and the most frequent ones found stand last in the order.
+COMMON_SHARE, COMMON_LEAST, COMMON_TOKENS = 0.0005, 10, 1_000_000
 #: Words of a bucket on average, words and records packed at once, candidates tested at once.
 BUCKET, PACKED, PACKED_RECORDS, TESTED = 1_500_000, 1_000_000, 60_000, 500_000
+#: Records up to which 32 bits name a class; beyond, 64.
+NARROW_CODES = 1 << 26
 #: Members up to which a class of equal sets is expanded into pairs.
 EXPANDED = 50
 SLICE_CHARS = 600_000
@@ -109,38 +122,69 @@ def prefix_length(n, t: float = THRESHOLD):
     return np.minimum(n, np.floor((1 - t) * n + 1e-6).astype(np.int64) + 1)
 
 
-def prefixes(sets: list[np.ndarray], common: np.ndarray, t: float) -> list[np.ndarray]:
-    """The prefixes of sorted sets in the order of all tokens: ``common``, sorted by hash, with its ranks, comes last."""
-    token, rank = common["token"], common["rank"]
-    ends = np.cumsum([len(s) for s in sets])
-    flat = np.concatenate(sets)
-    at = np.minimum(np.searchsorted(token, flat), max(len(token) - 1, 0))
-    late = token[at] == flat if len(token) else np.zeros(len(flat), dtype=bool)
-    out = []
-    for s, x, y in zip(sets, np.split(late, ends[:-1]), np.split(at, ends[:-1])):
-        m = int(prefix_length(len(s), t))
-        first = s[~x][:m]
-        if len(first) < m:
-            last = s[x][np.argsort(rank[y[x]])]
-            first = np.concatenate((first, last[: m - len(first)]))
-        out.append(first)
-    return out
+#: Whole sizes are compared in steps of this ratio, so that they fit a byte.
+SIZE_STEP = 1.05
+
+
+def size_level(n: np.ndarray) -> np.ndarray:
+    return np.minimum(np.floor(np.log(np.maximum(n, 1)) / math.log(SIZE_STEP)), 255).astype(np.int64)
+
 
+def level(n: np.ndarray) -> np.ndarray:
+    """Bits of the parity sketch of a set of n."""
+    return np.maximum(32, 1 << np.ceil(np.log2(3 * n)).astype(np.int64))
 
-def parity_bits(tokens: np.ndarray) -> bytes:
-    """A parity sketch of 512 bits or more, by the size of the set; folding halves compares different sizes."""
-    m = max(512, 1 << math.ceil(math.log2(max(1, len(tokens)) * 2)))
-    return np.packbits((np.bincount((tokens & np.uint64(m - 1)).astype(np.int64), minlength=m) & 1).astype(np.uint8), bitorder="little").tobytes()
 
+def fold(bits: np.ndarray, m: int) -> np.ndarray:
+    """Rows of parity bits (32 to a number), folded to m bits."""
+    while bits.shape[-1] * 32 > m:
+        half = bits.shape[-1] // 2
+        bits = bits[..., :half] ^ bits[..., half:]
+    return bits
 
-def hamming(a: bytes, b: bytes) -> int:
-    """Hamming distance of two parity sketches, the longer one folded to the length of the shorter."""
-    x, y = np.frombuffer(a, dtype=np.uint64), np.frombuffer(b, dtype=np.uint64)
-    if len(x) < len(y):
-        x, y = y, x
-    while len(x) > len(y):
-        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
-    return int(np.bitwise_count(x ^ y).sum())
+
+def bands(n, t: float = THRESHOLD) -> tuple[np.ndarray, np.ndarray]:
+    """The band of a set of n, and that of its smallest partner."""
+    return np.searchsorted(_FLOORS, n, side="right") - 1, np.searchsorted(_FLOORS, np.ceil(t * np.asarray(n) - 1e-6), side="right") - 1
+
+
+class Parts:
+    """The parts of sets in their slots: of each its set, slot, size and parity bits, and the words of its prefix.
+
+    ``common``, sorted by token, gives the tokens that stand last with their ranks.
+    """
+
+    def __init__(self, sets: list[np.ndarray], common: np.ndarray, t: float):
+        own, low = bands([len(s) for s in sets], t)
+        dealt = [(i, b) for i, (lo, hi) in enumerate(zip(low.tolist(), own.tolist())) for b in range(lo, hi + 1)]
+        flat = np.concatenate([sets[i] for i, _ in dealt])
+        which = np.repeat(np.arange(len(dealt)), [len(sets[i]) for i, _ in dealt])
+        k = _SLOT_BITS[[b for _, b in dealt]]
+        slot = np.where(k[which] > 0, (flat >> (64 - np.maximum(k, 1)).astype(np.uint64)[which]).astype(np.int64), 0)
+        group = which * SLOTS + slot  # sets are sorted by hash, so groups are runs
+        start = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
+        self.n = np.diff(np.concatenate((start, [len(flat)])))
+        which = which[start]
+        self.owner = np.array([i for i, _ in dealt])[which]
+        self.slot = slot[start] + _FIRST[[b for _, b in dealt]][which]
+        self.whole = size_level(np.array([len(sets[i]) for i, _ in dealt]))[which]
+        part = np.repeat(np.arange(len(start)), self.n)
+        token, rank = common["token"], common["rank"]
+        place = (flat >> np.uint64(20)) & np.uint64((1 << 39) - 1)
+        if len(token):
+            at = np.minimum(np.searchsorted(token, flat), len(token) - 1)
+            late = token[at] == flat
+            place[late] = rank[at[late]].astype(np.uint64) | np.uint64(1 << 39)
+        order = np.argsort((part.astype(np.uint64) << np.uint64(40)) | place, kind="stable")  # equal places keep the order of hashes
+        nth = np.arange(len(flat)) - start[part]
+        keep = nth < prefix_length(self.n, t)[part]
+        self.word, self.part = flat[order[keep]], part[keep]
+        self.left = self.n[self.part] - nth[keep]
+        m = level(self.n)
+        begin = np.cumsum(m) - m
+        self.begin, self.length = begin // 32, m // 32
+        parity = np.bincount(begin[part] + (flat & (m[part] - 1).astype(np.uint64)).astype(np.int64), minlength=int(m.sum())) & 1
+        self.bits = np.packbits(parity.astype(np.uint8), bitorder="little").view(np.uint32)
 
 
 def _slices(batch: pa.RecordBatch) -> Iterator[tuple[list, list, list[str]]]:
@@ -158,17 +202,41 @@ def _slices(batch: pa.RecordBatch) -> Iterator[tuple[list, list, list[str]]]:
 
 
 COMMON = np.dtype([("token", np.uint64), ("rank", np.int64)])
+SURVEY = "src string, row_key bigint, n int, sum bigint, xor bigint, code bigint, token bigint, hits bigint"
+_SURVEY = pa.schema([("src", pa.string()), ("row_key", pa.int64()), ("n", pa.int32()), *((c, pa.int64()) for c in ("sum", "xor", "code", "token", "hits"))])
 
 
-def common_tokens(texts: DataFrame, run: int, least: int, share: float = COMMON_SHARE) -> np.ndarray:
-    """Tokens on more than a share of all records, by lossy counting in every partition, with their ranks by count.
+def _marks(s: np.ndarray) -> tuple[int, int, int]:
+    """The size of a set and two hashes of it: equal for equal sets."""
+    return len(s), int(s.sum()), int(np.bitwise_xor.reduce(mix(s)))
+
+
+def _codes(src: np.ndarray, n: np.ndarray, total: np.ndarray, xor: np.ndarray) -> np.ndarray:
+    """The hash of a class: of a source's number and the marks of a set, as uint64."""
+    return mix(total + mix(xor + mix(n + mix(src + np.uint64(1)))))
+
+
+def _columns(rows: list[tuple]) -> list[np.ndarray]:
+    """Columns of (source number, *marks) as uint64."""
+    return [np.array(c, dtype=np.uint64) for c in zip(*rows)]
+
 
-    A token on more than ``share`` of the records is over it in some partition; of a partition at most
-    (tokens a record / share) can be, so what reaches the driver has a bound that doesn't grow
-    with the corpus. The tokens found steer the join's cost, never its result's exactness.
+def survey(texts: DataFrame, sources: list[str], run: int, least: int, share: float = COMMON_SHARE) -> DataFrame:
+    """One pass over ``texts`` (src, row_key, text): a row of size, hashes and code for every record, and rows (token, hits)
+    of the tokens that lossy counting finds on many records of a partition.
+
+    A token on more than ``share`` of the records is over it in some partition; of a partition at most (tokens a
+    record / share) can be. The tokens found steer the join's cost, never its result's exactness.
     """
+    number = {s: i for i, s in enumerate(sources)}
+
+    def rows_of(rows: int, **given: pa.Array) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([given.get(f.name, pa.nulls(rows, f.type)) for f in _SURVEY], schema=_SURVEY)
+
+    def signed(a: np.ndarray) -> pa.Array:
+        return pa.array(a.view(np.int64))
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = (np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64))
         fresh: list[np.ndarray] = []
         size = records = 0
@@ -184,159 +252,146 @@ def common_tokens(texts: DataFrame, run: int, least: int, share: float = COMMON_
             return k[keep], n[keep]
 
         for b in batches:
-            for _, _, text in _slices(b):
-                sets = [s for s in token_sets(text, run, least) if s is not None]
-                records += len(sets)
-                fresh += sets
-                size += sum(map(len, sets))
+            for src, key, text in _slices(b):
+                found = [(s, k, x) for s, k, x in zip(src, key, token_sets(text, run, least)) if x is not None]
+                if not found:
+                    continue
+                records += len(found)
+                fresh += [x for _, _, x in found]
+                size += sum(len(x) for _, _, x in found)
+                s, n, total, xor = _columns([(number[s], *_marks(x)) for s, _, x in found])
+                yield rows_of(
+                    len(found), src=pa.array([x[0] for x in found]), row_key=pa.array([x[1] for x in found], pa.int64()), n=pa.array(n.astype(np.int32)),
+                    sum=signed(total), xor=signed(xor), code=signed(_codes(s, n, total, xor)),
+                )
                 if size > 2_000_000:
                     held, fresh, size = merge(), [], 0
         k, n = merge()
-        top = n >= share * records / 2
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate((k[top], [np.uint64(0)])).view(np.int64)), pa.array(np.concatenate((n[top], [records])))], names=["token", "n"])
-
-    got = texts.mapInArrow(count, "token bigint, n bigint").groupBy("token").agg(F.sum("n").alias("n"))
-    got = stage(got, "neardup-common")
-    total = got.where("token = 0").agg(F.max("n")).first()[0] or 0
-    least_n = min(max(COMMON_LEAST, share * total), COMMON_MOST)
-    rows = got.where((F.col("token") != 0) & (F.col("n") >= least_n)).select("token", "n").collect()
-    token, n = (np.array([r[c] for r in rows], dtype=np.int64) for c in ("token", "n"))
-    out = np.empty(len(rows), dtype=COMMON)
-    order = np.lexsort((token, n))
-    out["token"], out["rank"] = token.view(np.uint64)[order], np.arange(len(rows))
-    return np.sort(out, order="token")
-
-
-SKETCHES = "src string, row_key bigint, id bigint, n int, sum bigint, xor bigint"
-
-
-def _marks(s: np.ndarray) -> tuple[int, int, int]:
-    """The size of a set and two hashes of it: equal for equal sets."""
-    return len(s), int(s.sum()), int(np.bitwise_xor.reduce(mix(s)))
+        top = n >= max(4, share * records / 2)
+        if top.any():
+            yield rows_of(int(top.sum()), token=signed(k[top]), hits=pa.array(n[top]))
 
+    return texts.mapInArrow(make, SURVEY)
 
-def sketch(texts: DataFrame, sources: list[str], run: int, least: int) -> DataFrame:
-    """Size and hashes of the set of every record of ``texts`` (src, row_key, text)."""
-    number = {s: i for i, s in enumerate(sources)}
 
-    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for src, key, text in _slices(b):
-                rows = [(s, k, k * len(sources) + number[s], *_marks(x)) for s, k, x in zip(src, key, token_sets(text, run, least)) if x is not None]
-                if rows:
-                    src_, key_, id_, n, total, xor = zip(*rows)
-                    hashes = (pa.array(np.array(h, dtype=np.uint64).view(np.int64)) for h in (total, xor))
-                    yield pa.RecordBatch.from_arrays([pa.array(src_), pa.array(key_, pa.int64()), pa.array(id_, pa.int64()), pa.array(n, pa.int32()), *hashes], names=["src", "row_key", "id", "n", "sum", "xor"])
-
-    return texts.mapInArrow(make, SKETCHES)
+def common_tokens(surveyed: DataFrame) -> np.ndarray:
+    """The most frequent tokens found, ``COMMON_TOKENS`` at most, sorted by token, with their ranks by count."""
+    got = surveyed.where("token is not null").groupBy("token").agg(F.sum("hits").alias("hits")).where(F.col("hits") >= COMMON_LEAST)
+    table = got.orderBy(F.desc("hits"), "token").limit(COMMON_TOKENS).toPandas()  # the bound of what is broadcast; the others keep their place by hash
+    token = table["token"].to_numpy(dtype=np.int64).view(np.uint64)
+    out = np.empty(len(token), dtype=COMMON)
+    out["token"], out["rank"] = token, np.arange(len(token))[::-1]
+    return np.sort(out, order="token")
 
 
-BUCKETS = "bucket int, ids binary, sizes binary, sets binary, bits binary, words binary, records binary, left binary"
+BUCKETS = "bucket int, codes binary, wholes binary, sizes binary, counts binary, bits binary, words binary, left binary"
+_BUCKETS = ("bucket", "codes", "wholes", "sizes", "counts", "bits", "words", "left")
 
 
-def _narrow(a: np.ndarray) -> np.ndarray:
-    return a.astype(np.uint16 if not len(a) or a.max() < 1 << 16 else np.uint32)
+def _narrow(a: np.ndarray) -> bytes:
+    top = int(a.max()) if len(a) else 0
+    return a.astype(np.uint8 if top < 1 << 8 else np.uint16 if top < 1 << 16 else np.uint32).tobytes()
 
 
 def _wide(blob: bytes, n: int) -> np.ndarray:
-    return np.frombuffer(blob, dtype=np.uint16 if len(blob) == 2 * n else np.uint32).astype(np.int64)
+    return np.frombuffer(blob, dtype={0: np.uint8, 1: np.uint8, 2: np.uint16, 4: np.uint32}[len(blob) // n if n else 0]).astype(np.int64)
 
 
-def _level(n: np.ndarray) -> np.ndarray:
-    """Bits of the parity sketch of a set of n."""
-    return np.maximum(512, 1 << np.ceil(np.log2(2 * n)).astype(np.int64))
+def _ragged(begin: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The places of runs that begin and are as long as given, one after the other."""
+    return np.repeat(begin - (np.cumsum(length) - length), length) + np.arange(int(length.sum()))
 
 
-def _fold(bits: np.ndarray, m: int) -> np.ndarray:
-    """Rows of parity bits (64 to a number), folded to m bits."""
-    while bits.shape[-1] * 64 > m:
-        half = bits.shape[-1] // 2
-        bits = bits[..., :half] ^ bits[..., half:]
-    return bits
-
-
-def pack(texts: DataFrame, sources: list[str], common: np.ndarray, buckets: int, run: int, least: int, t: float) -> DataFrame:
-    """The words of the records' prefixes by bucket; equal sets that are packed together are packed once, under the least id."""
+def pack(texts: DataFrame, sources: list[str], common: np.ndarray, split: list[int], wide: bool, run: int, least: int, t: float) -> DataFrame:
+    """The prefixes of the records' parts by bucket, as many a slot as ``split`` says of its band; equal sets that are packed together are packed once."""
     shipped = texts.sparkSession.sparkContext.broadcast(common)
     number = {s: i for i, s in enumerate(sources)}
+    splits = np.repeat(split, 1 << _SLOT_BITS)
+    firsts = np.cumsum(splits) - splits
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[tuple, int] = {}
-        ids: list[int] = []
-        bits: list[bytes] = []
-        words: list[np.ndarray] = []
+        seen: set[tuple] = set()
+        held: list[tuple] = []
         size = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            n = np.array([k[1] for k in seen], dtype=np.int64)
-            src, total, xor = (np.array([k[i] for k in seen], dtype=np.uint64) for i in (0, 2, 3))
-            sets, of = mix(total + mix(xor + mix(src + np.uint64(1)))), np.array(ids, dtype=np.int64)
-            counts = np.array([len(w) for w in words])
-            record = np.repeat(np.arange(len(words)), counts)
-            left = n[record] - (np.arange(len(record)) - np.repeat(np.cumsum(counts) - counts, counts))
-            w = mix(np.concatenate(words) + mix(src + np.uint64(1))[record])
-            bucket = ((w >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+            parts, words = np.cumsum([0] + [len(p.n) for p, _, _ in held]), np.cumsum([0] + [len(p.bits) for p, _, _ in held])
+            n, whole = np.concatenate([p.n for p, _, _ in held]), np.concatenate([p.whole for p, _, _ in held])
+            slot = np.concatenate([p.slot for p, _, _ in held])
+            code = np.concatenate([c[p.owner] for p, _, c in held])
+            salt = np.concatenate([mix(s + np.uint64(1))[p.owner] for p, s, _ in held])
+            begin, length = np.concatenate([p.begin + a for (p, _, _), a in zip(held, words)]), np.concatenate([p.length for p, _, _ in held])
+            bits = np.concatenate([p.bits for p, _, _ in held])
+            part = np.concatenate([p.part + a for (p, _, _), a in zip(held, parts)])
+            left = np.concatenate([p.left for p, _, _ in held])
+            w = mix(np.concatenate([p.word for p, _, _ in held]) + salt[part])
+            slot = slot[part]
+            bucket = firsts[slot] + ((w >> np.uint64(32)) % splits[slot].astype(np.uint64)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
-            edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            for k in range(buckets):
+            edges = np.searchsorted(bucket[order], np.arange(int(splits.sum()) + 1))
+            for k in np.flatnonzero(edges[1:] > edges[:-1]):
                 i = order[edges[k] : edges[k + 1]]
-                if len(i):
-                    r = record[i]
-                    new = np.concatenate(([True], r[1:] != r[:-1]))
-                    u = r[new]
-                    row = (k, of[u].tobytes(), n[u].astype(np.uint32).tobytes(), sets[u].tobytes(), b"".join([bits[x] for x in u]), w[i].astype(np.uint32).tobytes(), _narrow(np.cumsum(new) - 1).tobytes(), _narrow(left[i]).tobytes())
-                    yield pa.RecordBatch.from_arrays([pa.array([row[0]], pa.int32()), *(pa.array([x], pa.binary()) for x in row[1:])], names=["bucket", "ids", "sizes", "sets", "bits", "words", "records", "left"])
+                p = part[i]
+                new = np.flatnonzero(np.concatenate(([True], p[1:] != p[:-1])))
+                u = p[new]
+                row = (
+                    (code[u] if wide else code[u].astype(np.uint32)).tobytes(), whole[u].astype(np.uint8).tobytes(), _narrow(n[u]), _narrow(np.diff(np.concatenate((new, [len(p)])))), bits[_ragged(begin[u], length[u])].tobytes(),
+                    w[i].astype(np.uint32).view(np.uint8).reshape(-1, 4)[:, :3].tobytes(), _narrow(left[i]),
+                )
+                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), *(pa.array([x], pa.binary()) for x in row)], names=list(_BUCKETS))
 
         for b in batches:
-            for src, key, text in _slices(b):
-                rows = [(number[s], k, x) for s, k, x in zip(src, key, token_sets(text, run, least)) if x is not None]
-                if not rows:
+            for src, _, text in _slices(b):
+                found = [(number[s], x) for s, x in zip(src, token_sets(text, run, least)) if x is not None]
+                if not found:
                     continue
-                for (s, k, x), w in zip(rows, prefixes([r[2] for r in rows], shipped.value, t)):
-                    i, mark = k * len(sources) + s, (s, *_marks(x))
-                    if mark in seen:
-                        ids[seen[mark]] = min(ids[seen[mark]], i)
-                        continue
-                    seen[mark] = len(ids)
-                    ids.append(i)
-                    bits.append(parity_bits(x))
-                    words.append(w)
-                    size += len(w)
-                if size > PACKED or len(ids) > PACKED_RECORDS:
+                marks = [(s, *_marks(x)) for s, x in found]
+                fresh = [i for i, c in enumerate(marks) if not (c in seen or seen.add(c))]
+                if not fresh:
+                    continue
+                p = Parts([found[i][1] for i in fresh], shipped.value, t)
+                s, n, total, xor = _columns([marks[i] for i in fresh])
+                held.append((p, s, _codes(s, n, total, xor)))
+                size += len(p.word)
+                if size > PACKED or len(seen) > PACKED_RECORDS:
                     yield from flush()
-                    seen, ids, bits, words, size = {}, [], [], [], 0
-        if ids:
+                    seen, held, size = set(), [], 0
+        if held:
             yield from flush()
 
     return texts.mapInArrow(make, BUCKETS)
 
 
-def _candidates(rows: list[dict], t: float, sources: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Ids of the records of a bucket that share a word of their prefixes and whose parity bits aren't too far apart."""
-    ids = np.concatenate([np.frombuffer(r["ids"], dtype=np.int64) for r in rows])
-    n = np.concatenate([np.frombuffer(r["sizes"], dtype=np.uint32) for r in rows]).astype(np.int64)
-    sets = np.concatenate([np.frombuffer(r["sets"], dtype=np.uint64) for r in rows])
-    bits = np.concatenate([np.frombuffer(r["bits"], dtype=np.uint64) for r in rows])
-    level = _level(n)
-    begin = np.cumsum(level // 64) - level // 64
-    word = [np.frombuffer(r["words"], dtype=np.uint32) for r in rows]
-    starts = np.cumsum([0] + [len(r["ids"]) // 8 for r in rows])
-    record = np.concatenate([_wide(r["records"], len(w)) + a for r, w, a in zip(rows, word, starts)])
-    left = np.concatenate([_wide(r["left"], len(w)) for r, w in zip(rows, word)])
-    word = np.concatenate(word)
-
-    order = np.lexsort((ids, sets, n))  # of equal sets the least id
-    first = np.ones(len(ids), dtype=bool)
-    first[order[1:]] = (sets[order[1:]] != sets[order[:-1]]) | (n[order[1:]] != n[order[:-1]])
-    keep = first[record]
-    word, record, left = word[keep], record[keep], left[keep]
-
-    key = (word.astype(np.uint64) << np.uint64(32)) | n[record].astype(np.uint64)
+def _candidates(rows: list[dict], t: float, wide: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Codes of the records of a bucket that share a word of a prefix and whose slots' parity bits aren't too far apart."""
+    code = np.concatenate([np.frombuffer(r["codes"], dtype=np.uint64 if wide else np.uint32) for r in rows]).astype(np.uint64)
+    held = [len(r["codes"]) // (8 if wide else 4) for r in rows]
+    n = np.concatenate([_wide(r["sizes"], k) for r, k in zip(rows, held)])
+    whole = np.concatenate([np.frombuffer(r["wholes"], dtype=np.uint8) for r in rows]).astype(np.int64)
+    apart = math.floor(-math.log(t) / math.log(SIZE_STEP)) + 1  # levels of sets whose sizes are t to 1; the last level is open
+    count = np.concatenate([_wide(r["counts"], k) for r, k in zip(rows, held)])
+    bits = np.concatenate([np.frombuffer(r["bits"], dtype=np.uint32) for r in rows])
+    m = level(n)
+    begin = np.cumsum(m // 32) - m // 32
+    b3 = np.frombuffer(b"".join(r["words"] for r in rows), dtype=np.uint8).reshape(-1, 3)
+    word = np.zeros((len(b3), 4), dtype=np.uint8)
+    word[:, :3] = b3
+    word = word.view(np.uint32)[:, 0].astype(np.uint64)
+    left = np.concatenate([_wide(r["left"], len(r["words"]) // 3) for r in rows])
+    # of equal sets one: the same code with the same words here
+    content = mix(code) + np.add.reduceat(mix(word + np.uint64(1)), np.cumsum(count) - count)
+    only = np.zeros(len(code), dtype=bool)
+    only[np.unique(content, return_index=True)[1]] = True
+    part = np.repeat(np.arange(len(code)), count)
+    keep = only[part]
+    word, part, left = word[keep], part[keep], left[keep]
+
+    key = (word << np.uint64(32)) | n[part].astype(np.uint64)
     order = np.argsort(key)
-    key, record, left = key[order], record[order], left[order]
-    # of a pair's smaller record: the largest size with which it can still share enough
-    most = np.floor(left * (1 + t) / t - n[record] + 1e-6).astype(np.int64)
-    i = np.flatnonzero(most >= n[record])
+    key, part, left = key[order], part[order], left[order]
+    # of a pair's smaller part: the largest size with which it can still share enough
+    most = np.floor(left * (1 + t) / t - n[part] + 1e-6).astype(np.int64)
+    i = np.flatnonzero(most >= n[part])
     high = np.uint64(0xFFFFFFFF)
     end = np.searchsorted(key, (key[i] & ~high) | np.minimum(most[i], int(high)).astype(np.uint64), side="right")
     i, count = i[end - i > 1], (end - i - 1)[end - i > 1]
@@ -347,32 +402,34 @@ def _candidates(rows: list[dict], t: float, sources: int) -> Iterator[tuple[np.n
         x = np.repeat(i[a:b], count[a:b])
         y = x + 1 + np.arange(len(x)) - np.repeat(total[a:b] - count[a:b] - (total[a] - count[a]), count[a:b])
         a = b
-        p, q = record[x], record[y]
-        ok = (left[y] >= t / (1 + t) * (n[p] + n[q]) - 1e-6) & (ids[p] != ids[q]) & (ids[p] % sources == ids[q] % sources)
-        pair = np.unique(np.minimum(p, q)[ok] * len(ids) + np.maximum(p, q)[ok])
-        p, q = pair // len(ids), pair % len(ids)
+        p, q = part[x], part[y]
+        ok = (left[y] >= t / (1 + t) * (n[p] + n[q]) - 1e-6) & ((np.abs(whole[p] - whole[q]) <= apart) | (whole[p] == 255) | (whole[q] == 255))
+        p, q = p[ok], q[ok]
         near = np.zeros(len(p), dtype=bool)
-        combination = level[p] * (1 << 32) + level[q]
+        combination = m[p] * (1 << 32) + m[q]
         for c in np.unique(combination):
             j = np.flatnonzero(combination == c)
             mp, mq = int(c) >> 32, int(c) & 0xFFFFFFFF
-            for k in range(0, len(j), max(1, TESTED * 1024 // max(mp, mq))):
-                z = j[k : k + max(1, TESTED * 1024 // max(mp, mq))]
-                u, v = (_fold(bits[begin[r[z]][:, None] + np.arange(m // 64)], min(mp, mq)) for r, m in ((p, mp), (q, mq)))
+            step = max(1, TESTED * 512 // max(mp, mq))
+            for k in range(0, len(j), step):
+                z = j[k : k + step]
+                u, v = (fold(bits[begin[r[z]][:, None] + np.arange(o // 32)], min(mp, mq)) for r, o in ((p, mp), (q, mq)))
                 near[z] = np.bitwise_count(u ^ v).sum(axis=1, dtype=np.int64) <= bound(n[p[z]], n[q[z]], t) + 1e-9
-        yield np.minimum(ids[p], ids[q])[near], np.maximum(ids[p], ids[q])[near]
+        p, q = code[p[near]], code[q[near]]
+        pair = np.unique(np.stack((np.minimum(p, q), np.maximum(p, q)), axis=1)[p != q], axis=0)
+        yield pair[:, 0], pair[:, 1]
 
 
-def _pairs(t: float, sources: int):
+def _pairs(t: float, wide: bool):
     """Candidates of a partition's buckets, one after the other."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict] = []
 
         def emit() -> Iterator[pa.RecordBatch]:
-            for a, b in _candidates(held, t, sources):
+            for a, b in _candidates(held, t, wide):
                 if len(a):
-                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+                    yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in (a.copy(), b.copy())], names=["a", "b"])
 
         for batch in batches:
             for row in batch.to_pylist():
@@ -386,29 +443,28 @@ def _pairs(t: float, sources: int):
     return run
 
 
-def _sets(run_length: int, least: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            ids = b.column("id").to_pylist()
-            at = 0
-            for _, _, text in _slices(b):
-                sets = token_sets(text, run_length, least)
-                yield pa.RecordBatch.from_arrays([pa.array(ids[at : at + len(text)], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["id", "tokens"])
-                at += len(text)
-
-    return run
-
+def _alike(t: float, run_length: int, least: int):
+    """The exact likeness of pairs of texts; each text of a batch is read once."""
 
-def _alike(t: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
+            text = {}
+            for side in "ab":
+                text.update(zip(b.column(f"key_{side}").to_pylist(), b.column(f"text_{side}").to_pylist()))
+            keys, sets, size, first = list(text), {}, 0, 0
+            for i, k in enumerate(keys):
+                size += len(text[k])
+                if size > SLICE_CHARS or i == len(keys) - 1:
+                    part = keys[first : i + 1]
+                    sets.update(zip(part, token_sets([text[x] for x in part], run_length, least)))
+                    first, size = i + 1, 0
             score = []
-            for x, y in zip(b.column("tokens_a").to_pylist(), b.column("tokens_b").to_pylist()):
-                p, q = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
-                both = len(np.intersect1d(p, q, assume_unique=True))
-                score.append(both / (len(p) + len(q) - both))
+            for x, y in zip(b.column("key_a").to_pylist(), b.column("key_b").to_pylist()):
+                p, q = sets[x], sets[y]
+                both = len(np.intersect1d(p, q, assume_unique=True)) if p is not None and q is not None else -1
+                score.append(both / (len(p) + len(q) - both) if both >= 0 else -1.0)
             keep = pa.array([s >= t - 1e-12 for s in score], pa.bool_())
-            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(score)], names=["a", "b", "likeness"]).filter(keep)
+            yield pa.RecordBatch.from_arrays([b.column("src"), b.column("key_a"), b.column("key_b"), pa.array(score, pa.float64())], names=["src", "key_a", "key_b", "likeness"]).filter(keep)
 
     return run
 
@@ -420,25 +476,32 @@ def near_duplicates(texts: DataFrame, sources: list[str], threshold: float = THR
     classes: src, row_key, rep, members, of the classes of more than one record.
     """
     texts = texts.select("src", "row_key", "text").where("text is not null and row_key is not null").where(F.col("src").isin(*sources))
-    made = stage(sketch(texts, sources, run, least), "neardup-sketches")
-    same = made.groupBy("src", "n", "sum", "xor").agg(F.min("row_key").alias("rep"), F.countDistinct("row_key").alias("members")).where("members > 1")
-    classes = stage(made.select("src", "n", "sum", "xor", "row_key").distinct().join(same, ["src", "n", "sum", "xor"]).select("src", "row_key", "rep", "members"), "neardup-classes")
-    tokens = made.agg(F.sum("n")).first()[0] or 0
-    buckets = max(1, math.ceil((1 - threshold) * tokens / BUCKET))
-    packed = pack(texts, sources, common_tokens(texts, run, least), buckets, run, least, threshold)
-    met = packed.repartition(max(buckets, 2), "bucket").sortWithinPartitions("bucket")
-    near = stage(met.mapInArrow(_pairs(threshold, len(sources)), "a bigint, b bigint").distinct(), "neardup-near")
-    needed = near.select(F.col("a").alias("id")).union(near.select("b")).distinct()
-    number = F.element_at(F.create_map(*(x for i, s in enumerate(sources) for x in (F.lit(s), F.lit(i)))), F.col("src"))
-    ids = texts.withColumn("id", F.col("row_key") * len(sources) + number).join(needed, "id", "left_semi").dropDuplicates(["id"])
-    sets = ids.mapInArrow(_sets(run, least), "id bigint, tokens binary")
-    sets = stage(sets, "neardup-sets")
-    both = near.join(sets.withColumnsRenamed({"id": "a", "tokens": "tokens_a"}), "a").join(sets.withColumnsRenamed({"id": "b", "tokens": "tokens_b"}), "b")
-    alike = both.select("a", "b", "tokens_a", "tokens_b").mapInArrow(_alike(threshold), "a bigint, b bigint, likeness double")
-    n = len(sources)
-    src = F.element_at(F.array(*(F.lit(s) for s in sources)), (F.pmod("a", F.lit(n)) + 1).cast("int"))
-    links = alike.select(src.alias("src"), F.expr(f"a div {n}").alias("key_a"), F.expr(f"b div {n}").alias("key_b"), "likeness")
-    return links, classes
+    made = stage(survey(texts, sources, run, least), "neardup-survey")
+    records = made.where("row_key is not null")
+    marks = ["src", "n", "sum", "xor"]
+    reps = records.groupBy(*marks).agg(F.min("row_key").alias("rep"), F.max("code").alias("code"), F.countDistinct("row_key").alias("members"))
+    reps = stage(reps, "neardup-classes")
+    classes = records.select(*marks, "row_key").distinct().join(reps.where("members > 1"), marks).select("src", "row_key", "rep", "members")
+    ends = [*_FLOORS[1:].tolist(), 1 << 62]
+    tokens = [F.coalesce(F.sum(F.when((F.col("n") >= int(lo)) & (F.col("n") * threshold < hi), F.col("n"))), F.lit(0)).alias(f"t{b}") for b, (lo, hi) in enumerate(zip(_FLOORS.tolist(), ends))]
+    size = records.agg(F.count("*").alias("records"), *tokens).first()
+    split = [max(1, math.ceil((1 - threshold) * size[f"t{b}"] / (1 << k) / BUCKET)) for b, (_, k) in enumerate(BANDS)]
+    wide = size["records"] > NARROW_CODES
+    packed = pack(texts, sources, common_tokens(made), split, wide, run, least, threshold)
+    met = packed.repartition(sum(s << k for s, (_, k) in zip(split, BANDS)), "bucket").sortWithinPartitions("bucket")
+    codes = stage(met.mapInArrow(_pairs(threshold, wide), "a bigint, b bigint").distinct(), "neardup-codes")
+    named = reps.select("src", "rep", "n", (F.col("code") if wide else F.col("code").bitwiseAND(F.lit(0xFFFFFFFF).cast("bigint"))).alias("code"))
+    # classes that share a code are candidates of each other
+    shared = named.groupBy("code").agg(F.count("*").alias("sharers")).where("sharers > 1").select(F.col("code").alias("a"), F.col("code").alias("b"))
+    side = lambda c: named.select(F.col("code").alias(c), F.col("src").alias(f"src_{c}"), F.col("rep").alias(f"rep_{c}"), F.col("n").alias(f"n_{c}"))
+    near = codes.unionByName(shared).join(side("a"), "a").join(side("b"), "b").where((F.col("src_a") == F.col("src_b")) & (F.col("rep_a") != F.col("rep_b")) & (F.least("n_a", "n_b") >= threshold * F.greatest("n_a", "n_b") - 1e-6))
+    near = stage(near.select(F.col("src_a").alias("src"), F.least("rep_a", "rep_b").alias("key_a"), F.greatest("rep_a", "rep_b").alias("key_b")).distinct(), "neardup-near")
+    needed = near.select("src", F.col("key_a").alias("row_key")).union(near.select("src", "key_b")).distinct()
+    kept = stage(texts.join(needed, ["src", "row_key"], "left_semi"), "neardup-texts")
+    text = lambda c: kept.select("src", F.col("row_key").alias(f"key_{c}"), F.col("text").alias(f"text_{c}"))
+    both = near.join(text("a"), ["src", "key_a"]).join(text("b"), ["src", "key_b"]).select("src", "key_a", "key_b", "text_a", "text_b")
+    links = both.mapInArrow(_alike(threshold, run, least), "src string, key_a bigint, key_b bigint, likeness double")
+    return links.groupBy("src", "key_a", "key_b").agg(F.max("likeness").alias("likeness")), classes
 
 
 def expand(links: DataFrame, classes: DataFrame, most: int = EXPANDED) -> DataFrame:

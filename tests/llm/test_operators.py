@@ -391,12 +391,38 @@ def test_word_runs_are_those_of_split(s):
     assert (got[0] is None) == (got[2] is None) and (got[0] is None or (got[0] == got[2]).all())
 
 
-def test_sketches_bound_the_difference():
+def test_sketches_bound_the_difference_and_a_slot_is_alike():
     rng = np.random.default_rng(1)
+    none = np.empty(0, dtype=neardup.COMMON)
     for _ in range(50):
-        a = np.unique(rng.integers(0, 2**63, rng.integers(10, 900), dtype=np.uint64))
-        b = np.unique(np.concatenate((a[: len(a) * 2 // 3], rng.integers(0, 2**63, rng.integers(1, 600), dtype=np.uint64))))
-        assert neardup.hamming(neardup.parity_bits(a), neardup.parity_bits(b)) <= len(np.setxor1d(a, b))
+        a = np.unique(rng.integers(0, 2**64, rng.integers(10, 900), dtype=np.uint64))
+        b = np.unique(np.concatenate((a[: len(a) * 2 // 3], rng.integers(0, 2**64, rng.integers(1, 600), dtype=np.uint64))))
+        p = neardup.Parts([a, b], none, 0.6)
+        at = {(int(o), int(s)): i for i, (o, s) in enumerate(zip(p.owner, p.slot))}
+        band = int(neardup.bands(min(len(a), len(b)))[0])
+        bits, first = int(neardup.BANDS[band][1]), int(neardup._FIRST[band])
+        best = 0.0
+        for s in range(first, first + (1 << bits)):
+            x, y = (c[(c >> np.uint64(64 - max(bits, 1))) == s - first] if bits else c for c in (a, b))
+            best = max(best, len(np.intersect1d(x, y)) / max(1, len(np.union1d(x, y))))
+            if (0, s) in at and (1, s) in at:
+                i, j = at[0, s], at[1, s]
+                m = int(min(p.length[i], p.length[j])) * 32
+                u, v = (neardup.fold(p.bits[p.begin[k] : p.begin[k] + p.length[k]], m) for k in (i, j))
+                assert np.bitwise_count(u ^ v).sum() <= len(np.setxor1d(x, y))
+        likeness = len(np.intersect1d(a, b)) / len(np.union1d(a, b))
+        assert best >= likeness
+        assert likeness < 0.6 or any((0, s) in at and (1, s) in at for s in range(first, first + (1 << bits)))
+
+
+def test_classes_that_share_a_code_are_compared(spark, monkeypatch):
+    codes = neardup._codes
+    monkeypatch.setattr(neardup, "_codes", lambda *a: codes(*a) & np.uint64(7))
+    rng = random.Random(2)
+    base = [rng.choices([f"w{i}" for i in range(900)], k=60) for _ in range(20)]
+    docs = [" ".join(w) for w in base] + [" ".join([*w[:30], "khác", *w[31:]]) for w in base]
+    links, _ = neardup.near_duplicates(frame(spark, [("a", i, t) for i, t in enumerate(docs)], "src string, row_key bigint, text string"), ["a"])
+    assert sorted((r.key_a, r.key_b) for r in links.collect()) == [(i, i + 20) for i in range(20)]
 
 
 def test_copied_error_pages_are_no_boilerplate(spark):
