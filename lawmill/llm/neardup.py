@@ -12,8 +12,9 @@ lower-cased text. Method: an exact pigeonhole join over slots, with parity sketc
    hold so many, so it stands in both prefixes of (1-t)*n+1 tokens: records that share a word of a slot's
    prefix, at places that leave enough, are candidates. This is a proof for any order, which
    only keeps the groups small; no token is left out.
-3. The XOR of a slot's parity bits has a Hamming distance of at most the symmetric difference. Candidates whose
-   bits differ in more than (1-t)/(1+t)*(a+b) are dropped, which loses nothing.
+3. The XOR of parity bits has a Hamming distance of at most the symmetric difference. Candidates whose
+   bits differ in more than (1-t)/(1+t)*(a+b) are dropped, which loses nothing: by the bits of the slot at once, by those of the
+   whole records when the pairs of all slots are gathered.
 4. The rest are verified by the exact coefficient of their whole texts.
 
 Words are dealt to buckets of bounded size by slot and hash. What a word carries (its record's code, the size and the
@@ -130,9 +131,16 @@ def size_level(n: np.ndarray) -> np.ndarray:
     return np.minimum(np.floor(np.log(np.maximum(n, 1)) / math.log(SIZE_STEP)), 255).astype(np.int64)
 
 
-def level(n: np.ndarray) -> np.ndarray:
-    """Bits of the parity sketch of a set of n."""
-    return np.maximum(32, 1 << np.ceil(np.log2(3 * n)).astype(np.int64))
+def level(n: np.ndarray, bits: float = 3) -> np.ndarray:
+    """Bits of the parity sketch of a set of n, ``bits`` for each token or more."""
+    return np.maximum(32, 1 << np.ceil(np.log2(bits * n)).astype(np.int64))
+
+
+def parity(flat: np.ndarray, part: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The parity bits of parts of m bits each, 32 to a number, and where each part's begin."""
+    begin = np.cumsum(m) - m
+    odd = np.bincount(begin[part] + (flat & (m[part] - 1).astype(np.uint64)).astype(np.int64), minlength=int(m.sum())) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint32), begin // 32
 
 
 def fold(bits: np.ndarray, m: int) -> np.ndarray:
@@ -180,11 +188,8 @@ class Parts:
         keep = nth < prefix_length(self.n, t)[part]
         self.word, self.part = flat[order[keep]], part[keep]
         self.left = self.n[self.part] - nth[keep]
-        m = level(self.n)
-        begin = np.cumsum(m) - m
-        self.begin, self.length = begin // 32, m // 32
-        parity = np.bincount(begin[part] + (flat & (m[part] - 1).astype(np.uint64)).astype(np.int64), minlength=int(m.sum())) & 1
-        self.bits = np.packbits(parity.astype(np.uint8), bitorder="little").view(np.uint32)
+        self.length = level(self.n) // 32
+        self.bits, self.begin = parity(flat, part, self.length * 32)
 
 
 def _slices(batch: pa.RecordBatch) -> Iterator[tuple[list, list, list[str]]]:
@@ -202,8 +207,10 @@ def _slices(batch: pa.RecordBatch) -> Iterator[tuple[list, list, list[str]]]:
 
 
 COMMON = np.dtype([("token", np.uint64), ("rank", np.int64)])
-SURVEY = "src string, row_key bigint, n int, sum bigint, xor bigint, code bigint, token bigint, hits bigint"
-_SURVEY = pa.schema([("src", pa.string()), ("row_key", pa.int64()), ("n", pa.int32()), *((c, pa.int64()) for c in ("sum", "xor", "code", "token", "hits"))])
+SURVEY = "src string, row_key bigint, n int, bits binary, sum bigint, xor bigint, code bigint, token bigint, hits bigint"
+_SURVEY = pa.schema([("src", pa.string()), ("row_key", pa.int64()), ("n", pa.int32()), ("bits", pa.binary()), *((c, pa.int64()) for c in ("sum", "xor", "code", "token", "hits"))])
+#: Bits a token of the sketch of a whole record.
+WHOLE_BITS = 1.5
 
 
 def _marks(s: np.ndarray) -> tuple[int, int, int]:
@@ -222,7 +229,7 @@ def _columns(rows: list[tuple]) -> list[np.ndarray]:
 
 
 def survey(texts: DataFrame, sources: list[str], run: int, least: int, share: float = COMMON_SHARE) -> DataFrame:
-    """One pass over ``texts`` (src, row_key, text): a row of size, hashes and code for every record, and rows (token, hits)
+    """One pass over ``texts`` (src, row_key, text): a row of size, parity bits, hashes and code for every record, and rows (token, hits)
     of the tokens that lossy counting finds on many records of a partition.
 
     A token on more than ``share`` of the records is over it in some partition; of a partition at most (tokens a
@@ -260,9 +267,11 @@ def survey(texts: DataFrame, sources: list[str], run: int, least: int, share: fl
                 fresh += [x for _, _, x in found]
                 size += sum(len(x) for _, _, x in found)
                 s, n, total, xor = _columns([(number[s], *_marks(x)) for s, _, x in found])
+                m = level(n.astype(np.int64), WHOLE_BITS)
+                bits, begin = parity(np.concatenate([x for _, _, x in found]), np.repeat(np.arange(len(found)), n.astype(np.int64)), m)
                 yield rows_of(
                     len(found), src=pa.array([x[0] for x in found]), row_key=pa.array([x[1] for x in found], pa.int64()), n=pa.array(n.astype(np.int32)),
-                    sum=signed(total), xor=signed(xor), code=signed(_codes(s, n, total, xor)),
+                    bits=pa.array([bits[a : a + k].tobytes() for a, k in zip(begin, m // 32)], pa.binary()), sum=signed(total), xor=signed(xor), code=signed(_codes(s, n, total, xor)),
                 )
                 if size > 2_000_000:
                     held, fresh, size = merge(), [], 0
@@ -443,6 +452,24 @@ def _pairs(t: float, wide: bool):
     return run
 
 
+def _close(t: float):
+    """The pairs whose whole records' parity bits aren't too far apart."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            n = [b.column(f"n_{c}").to_numpy(zero_copy_only=False).astype(np.int64) for c in "ab"]
+            bits = [b.column(f"bits_{c}").to_pylist() for c in "ab"]
+            keep = np.zeros(b.num_rows, dtype=bool)
+            size = np.stack([[len(x) for x in side] for side in bits]) if b.num_rows else np.zeros((2, 0), dtype=np.int64)
+            for i, j in {(int(i), int(j)) for i, j in size.T}:
+                z = np.flatnonzero((size[0] == i) & (size[1] == j))
+                u, v = (fold(np.frombuffer(b"".join([side[k] for k in z]), dtype=np.uint32).reshape(len(z), -1), 8 * min(i, j)) for side in bits)
+                keep[z] = np.bitwise_count(u ^ v).sum(axis=1, dtype=np.int64) <= bound(n[0][z], n[1][z], t) + 1e-9
+            yield b.select(["src", "key_a", "key_b"]).filter(pa.array(keep))
+
+    return run
+
+
 def _alike(t: float, run_length: int, least: int):
     """The exact likeness of pairs of texts; each text of a batch is read once."""
 
@@ -479,7 +506,7 @@ def near_duplicates(texts: DataFrame, sources: list[str], threshold: float = THR
     made = stage(survey(texts, sources, run, least), "neardup-survey")
     records = made.where("row_key is not null")
     marks = ["src", "n", "sum", "xor"]
-    reps = records.groupBy(*marks).agg(F.min("row_key").alias("rep"), F.max("code").alias("code"), F.countDistinct("row_key").alias("members"))
+    reps = records.groupBy(*marks).agg(F.min("row_key").alias("rep"), F.max("code").alias("code"), F.max("bits").alias("bits"), F.countDistinct("row_key").alias("members"))
     reps = stage(reps, "neardup-classes")
     classes = records.select(*marks, "row_key").distinct().join(reps.where("members > 1"), marks).select("src", "row_key", "rep", "members")
     ends = [*_FLOORS[1:].tolist(), 1 << 62]
@@ -490,12 +517,13 @@ def near_duplicates(texts: DataFrame, sources: list[str], threshold: float = THR
     packed = pack(texts, sources, common_tokens(made), split, wide, run, least, threshold)
     met = packed.repartition(sum(s << k for s, (_, k) in zip(split, BANDS)), "bucket").sortWithinPartitions("bucket")
     codes = stage(met.mapInArrow(_pairs(threshold, wide), "a bigint, b bigint").distinct(), "neardup-codes")
-    named = reps.select("src", "rep", "n", (F.col("code") if wide else F.col("code").bitwiseAND(F.lit(0xFFFFFFFF).cast("bigint"))).alias("code"))
+    named = reps.select("src", "rep", "n", "bits", (F.col("code") if wide else F.col("code").bitwiseAND(F.lit(0xFFFFFFFF).cast("bigint"))).alias("code"))
     # classes that share a code are candidates of each other
     shared = named.groupBy("code").agg(F.count("*").alias("sharers")).where("sharers > 1").select(F.col("code").alias("a"), F.col("code").alias("b"))
-    side = lambda c: named.select(F.col("code").alias(c), F.col("src").alias(f"src_{c}"), F.col("rep").alias(f"rep_{c}"), F.col("n").alias(f"n_{c}"))
+    side = lambda c: named.select(F.col("code").alias(c), F.col("src").alias(f"src_{c}"), F.col("rep").alias(f"rep_{c}"), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}"))
     near = codes.unionByName(shared).join(side("a"), "a").join(side("b"), "b").where((F.col("src_a") == F.col("src_b")) & (F.col("rep_a") != F.col("rep_b")) & (F.least("n_a", "n_b") >= threshold * F.greatest("n_a", "n_b") - 1e-6))
-    near = stage(near.select(F.col("src_a").alias("src"), F.least("rep_a", "rep_b").alias("key_a"), F.greatest("rep_a", "rep_b").alias("key_b")).distinct(), "neardup-near")
+    near = near.select(F.col("src_a").alias("src"), F.least("rep_a", "rep_b").alias("key_a"), F.greatest("rep_a", "rep_b").alias("key_b"), "n_a", "n_b", "bits_a", "bits_b")
+    near = stage(near.mapInArrow(_close(threshold), "src string, key_a bigint, key_b bigint").distinct(), "neardup-near")
     needed = near.select("src", F.col("key_a").alias("row_key")).union(near.select("src", "key_b")).distinct()
     kept = stage(texts.join(needed, ["src", "row_key"], "left_semi"), "neardup-texts")
     text = lambda c: kept.select("src", F.col("row_key").alias(f"key_{c}"), F.col("text").alias(f"text_{c}"))
