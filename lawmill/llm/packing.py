@@ -3,9 +3,13 @@
 Method: bin completion. Around the largest text not yet packed, a branch-and-bound search
 enumerates the undominated fillings of the room it leaves, largest text first, prunes what
 can't waste less than the incumbent (at first the best-fit filling), and closes the
-container. Texts of one size are alike, so the search runs on the histogram of sizes:
-a filling is repeated as often as the counts allow, and the histogram has at most as many rows
-as the capacity has tokens, whatever the corpus. One task packs one capacity; which texts go
+container. A filling is dominated if one more text goes in, if a larger text
+goes into the place of one of its own, or if two of its texts could give way to one of their joint size. Where
+the containers so filled are more than the lower bound, the search goes back over the choice of fillings,
+pruned by the waste that one container fewer allows. Both searches end after a number of nodes (``NODES``,
+``CONTAINERS``; None: never, which is exact), and the incumbent is taken. Texts of one size are alike, so the search runs on the
+histogram of sizes, size by multiplicity and without recursion: a filling is repeated as often as the counts allow, and the
+histogram has at most as many rows as the capacity has tokens, whatever the corpus. One task packs one capacity; which texts go
 where is a join of every text's rank within its size with the ranges of the fillings.
 
 Ranks are numbered in two steps (within a salt, plus the counts of the salts before), so that a
@@ -20,7 +24,7 @@ columns named like the result's are replaced.
 from __future__ import annotations
 
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -31,114 +35,198 @@ from lawmill.session import stage
 
 SALTS = 64
 MAX_TARGETS = 1000
-#: Fillings looked at around one largest text before the incumbent is taken.
-NODES = 3_000
-
-
-def complete(sizes: list[int], counts: dict[int, int], room: int, nodes: int = NODES) -> list[int]:
-    """The filling of ``room`` that wastes least, as sizes in falling order; ``sizes`` rise."""
-    best: list[int] = []
-    r, left = room, bisect_right(sizes, room) - 1
-    used: dict[int, int] = {}
-    while left >= 0 and r >= sizes[0]:  # best fit: the largest that goes in, again and again
-        s = sizes[left]
-        if s <= r and used.get(s, 0) < counts[s]:
-            best.append(s)
-            used[s] = used.get(s, 0) + 1
-            r -= s
-        else:
-            left -= 1
-    best_waste = r
-    if not best_waste or not sizes:
-        return best
-    seen = 0
-    chosen: list[int] = []
-
-    def search(hi: int, r: int) -> bool:
-        """Extend the choice by sizes up to index ``hi``; True when nothing better can come."""
-        nonlocal best, best_waste, seen
-        i = min(hi, bisect_right(sizes, r) - 1)
-        if i < 0:
-            if r < best_waste:
-                best, best_waste = list(chosen), r
-            return best_waste == 0
-        fits = False
-        while i >= 0:
-            seen += 1
-            if seen > nodes:
-                return True
-            s = sizes[i]
-            n = chosen.count(s) if i == hi and chosen and chosen[-1] == s else 0
-            if n < counts[s]:
-                fits = True
-                # beside s only sizes up to s follow: what they can fill at most bounds the waste
-                if r - s * min(counts[s] - n, r // s) - _below(i, r) >= best_waste:
-                    break
-                chosen.append(s)
-                done = search(i, r - s)
-                chosen.pop()
-                if done:
-                    return True
-            i -= 1
-        if not fits and r < best_waste:
-            best, best_waste = list(chosen), r
-        return best_waste == 0
-
-    totals: list[int] = [0]
+#: Nodes looked at around one largest text, and containers chosen anew, before the incumbent is taken.
+NODES, CONTAINERS = 3_000, 2_000
+
+
+def best_fit(sizes: list[int], counts: dict[int, int], room: int) -> tuple[list[tuple[int, int]], int]:
+    """The filling that takes the largest size that goes in, again and again, as (size, how many), and its waste; ``sizes`` rise."""
+    out, i = [], bisect_right(sizes, room) - 1
+    while i >= 0:
+        n = min(counts[sizes[i]], room // sizes[i])
+        if n:
+            out.append((sizes[i], n))
+            room -= sizes[i] * n
+        i = min(i - 1, bisect_right(sizes, room) - 1)
+    return out, room
+
+
+def _open(sizes: list[int], counts: dict[int, int], used: dict[int, int], rest: int) -> bool:
+    """Whether one more text would go into the rest, or a larger one into the place of one that is in."""
+    return any(counts[s] > used.get(s, 0) for c in (0, *used) for s in sizes[bisect_right(sizes, c) : bisect_right(sizes, c + rest)])
+
+
+def fillings(sizes: list[int], counts: dict[int, int], room: int, most_waste: Callable[[], int], nodes: int | None) -> Iterator[tuple[list[tuple[int, int]], int]]:
+    """The undominated fillings of ``room`` that waste at most what ``most_waste`` says at the time, largest sizes first."""
+    below = [0]
     for s in sizes:
-        totals.append(min(room, totals[-1] + s * counts[s]))
+        below.append(min(room, below[-1] + s * counts[s]))
+    chosen: list[tuple[int, int]] = []
+    stack = [[bisect_right(sizes, room) - 1, 0, room]]  # a size's place, how many of it are tried (0: none yet), the room there
+    seen = 0
+    while stack:
+        i, m, r = frame = stack[-1]
+        if m:
+            chosen.pop()
+            m -= 1
+        elif i < 0 or r - below[i + 1] > most_waste():
+            stack.pop()
+            continue
+        else:
+            m = min(counts[sizes[i]], r // sizes[i])
+        seen += 1
+        if nodes is not None and seen > nodes:
+            return
+        if not m:
+            frame[0], frame[1] = i - 1, 0
+            continue
+        s, rest = sizes[i], r - sizes[i] * m
+        if rest - below[i] > most_waste():  # fewer of this size waste more still
+            frame[0], frame[1] = -1, 0
+            continue
+        frame[1] = m
+        used = dict(chosen)
+        dominated = any(counts.get(c + s, 0) > used.get(c + s, 0) for c in used) or m > 1 and counts.get(2 * s, 0) > used.get(2 * s, 0)
+        chosen.append((s, m))
+        if dominated:
+            continue
+        j = min(i - 1, bisect_right(sizes, rest) - 1)
+        if j >= 0:
+            stack.append([j, 0, rest])
+        elif rest <= most_waste() and not _open(sizes, counts, dict(chosen), rest):
+            yield list(chosen), rest
 
-    def _below(i: int, r: int) -> int:
-        return min(r, totals[i])
 
-    search(len(sizes) - 1, room)
+def complete(sizes: list[int], counts: dict[int, int], room: int, nodes: int | None = NODES) -> list[tuple[int, int]]:
+    """The filling of ``room`` that wastes least, as (size, how many)."""
+    best, waste = best_fit(sizes, counts, room)
+    if waste:
+        for best, waste in fillings(sizes, counts, room, lambda: waste - 1, nodes):
+            if not waste:
+                break
     return best
 
 
-def pack_sizes(counts: dict[int, int], capacity: int, nodes: int = NODES) -> list[tuple[tuple[int, ...], int]]:
-    """(sizes of a container, how many containers are filled so), for texts no longer than the capacity."""
-    counts = {s: n for s, n in counts.items() if s > 0 and n > 0}
+def lower_bound(counts: dict[int, int], capacity: int) -> int:
+    """Containers that any packing needs: by the sum of sizes, and by the texts that can't share a container."""
+    sizes = sorted(s for s, n in counts.items() if n)
+    number, total = [0], [0]
+    for s in sizes:
+        number.append(number[-1] + counts[s])
+        total.append(total[-1] + s * counts[s])
+    half = bisect_right(sizes, capacity // 2)
+    best = -(-total[-1] // capacity)
+    for k in range(half + 1):  # texts below sizes[k] are left out
+        alone = max(half, bisect_right(sizes, capacity - sizes[k]) if k < half else len(sizes))  # beyond, nothing of size k or more goes beside
+        room = (number[alone] - number[half]) * capacity - (total[alone] - total[half])
+        best = max(best, number[-1] - number[half] + max(0, -(-(total[half] - total[k] - room) // capacity)))
+    return best
+
+
+Packed = list[tuple[tuple[tuple[int, int], ...], int]]
+
+
+def _descend(counts: dict[int, int], capacity: int, nodes: int | None) -> Packed:
     sizes = sorted(counts)
-    out = []
+    out: Packed = []
     while sizes:
         top = sizes[-1]
         counts[top] -= 1
         if not counts[top]:
             sizes.pop()
-        filling = [top, *complete(sizes, counts, capacity - top, nodes)]
-        counts[top] = counts.get(top, 0) + 1
-        need: dict[int, int] = {}
-        for s in filling:
-            need[s] = need.get(s, 0) + 1
-        times = min(counts[s] // n for s, n in need.items())
-        for s, n in need.items():
-            counts[s] -= n * times
-        sizes = [s for s in sizes if counts[s]] if top in sizes or not counts[top] else sorted({*sizes, top} - {s for s in sizes if not counts[s]})
-        if counts.get(top) and top not in sizes:
+        filling = dict(complete(sizes, counts, capacity - top, nodes))
+        filling[top] = filling.get(top, 0) + 1
+        counts[top] += 1
+        if sizes[-1:] != [top]:
             sizes.append(top)
-        out.append((tuple(filling), times))
+        times = min(counts[s] // n for s, n in filling.items())
+        for s, n in filling.items():
+            counts[s] -= n * times
+            if not counts[s]:
+                sizes.pop(bisect_right(sizes, s) - 1)
+        out.append((tuple(sorted(filling.items(), reverse=True)), times))
     return out
 
 
+def _search(counts: dict[int, int], capacity: int, spare: int, nodes: int | None, containers: int | None) -> Packed | None:
+    """A packing that wastes no more than ``spare`` in all, if the search finds one: a choice of filling a container, gone back on."""
+    sizes = sorted(counts)
+
+    def take(filling: dict[int, int], sign: int) -> None:
+        for s, n in filling.items():
+            if sign < 0 and counts[s] == n:
+                sizes.pop(bisect_right(sizes, s) - 1)
+            if sign > 0 and not counts[s]:
+                sizes.insert(bisect_right(sizes, s), s)
+            counts[s] += sign * n
+
+    def choices(left: int) -> Iterator[tuple[dict[int, int], int]]:
+        top = sizes[-1]
+        take({top: 1}, -1)
+        found = sorted(fillings(list(sizes), dict(counts), capacity - top, lambda: left, nodes), key=lambda f: f[1]) if sizes and sizes[0] <= capacity - top else [([], capacity - top)]
+        take({top: 1}, 1)
+        for filling, waste in found:
+            if waste <= left:
+                f = dict(filling)
+                f[top] = f.get(top, 0) + 1
+                yield f, waste
+
+    path: list[tuple[dict[int, int], int]] = []
+    stack = [choices(spare)]
+    seen = 0
+    while sizes:
+        step = next(stack[-1], None)
+        seen += 1
+        if containers is not None and seen > containers:
+            return None
+        if step is None:
+            stack.pop()
+            if not path:
+                return None
+            f, waste = path.pop()
+            take(f, 1)
+            spare += waste
+            continue
+        path.append(step)
+        take(step[0], -1)
+        spare -= step[1]
+        if sizes:
+            stack.append(choices(spare))
+    return [(tuple(sorted(f.items(), reverse=True)), 1) for f, _ in path]
+
+
+def pack_sizes(counts: dict[int, int], capacity: int, nodes: int | None = NODES, containers: int | None = CONTAINERS) -> Packed:
+    """(sizes of a container as (size, how many), how many containers are filled so), for texts no longer than the capacity."""
+    counts = {s: n for s, n in counts.items() if s > 0 and n > 0}
+    best = _descend(dict(counts), capacity, nodes)
+    total, least = sum(s * n for s, n in counts.items()), lower_bound(counts, capacity)
+    while (bins := sum(n for _, n in best)) > least:
+        better = _search(dict(counts), capacity, (bins - 1) * capacity - total, nodes, containers)
+        if better is None:
+            break
+        best = better
+    return best
+
+
 RANGES = "target_id int, tokens bigint, first bigint, last bigint, per_bin bigint, first_bin bigint"
 
 
-def _pack(group: pd.DataFrame) -> pd.DataFrame:
-    target, capacity = int(group["target_id"].iloc[0]), int(group["capacity"].iloc[0])
-    rows, at, bins = [], {}, 0
-    for filling, times in pack_sizes(dict(zip(group["tokens"].tolist(), group["n"].tolist())), capacity):
-        need: dict[int, int] = {}
-        for s in filling:
-            need[s] = need.get(s, 0) + 1
-        for s, n in need.items():
-            a = at.get(s, 0)
-            rows.append((target, s, a, a + n * times - 1, n, bins))
-            at[s] = a + n * times
-        bins += times
-    return pd.DataFrame(rows, columns=["target_id", "tokens", "first", "last", "per_bin", "first_bin"])
+def _pack(nodes: int | None, containers: int | None):
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        target, capacity = int(group["target_id"].iloc[0]), int(group["capacity"].iloc[0])
+        rows, at, bins = [], {}, 0
+        for filling, times in pack_sizes(dict(zip(group["tokens"].tolist(), group["n"].tolist())), capacity, nodes, containers):
+            for s, n in filling:
+                a = at.get(s, 0)
+                rows.append((target, s, a, a + n * times - 1, n, bins))
+                at[s] = a + n * times
+            bins += times
+        return pd.DataFrame(rows, columns=["target_id", "tokens", "first", "last", "per_bin", "first_bin"])
+
+    return run
 
 
-def pack(sizes: DataFrame, targets: DataFrame, salts: int = SALTS) -> DataFrame:
+def pack(sizes: DataFrame, targets: DataFrame, salts: int = SALTS, nodes: int | None = NODES, containers: int | None = CONTAINERS) -> DataFrame:
     """(target_id, capacity, doc_id, piece_no, tokens, bin_id): every piece of every text of ``sizes``
     (doc_id, tokens) in a container of each capacity in ``targets`` (target_id, capacity).
 
@@ -155,7 +243,9 @@ def pack(sizes: DataFrame, targets: DataFrame, salts: int = SALTS) -> DataFrame:
     held = stage(held, "packing-counts")  # at most capacity x salts rows a target
     before = held.withColumn("before", F.coalesce(F.sum("n").over(W.partitionBy("target_id", "rest").orderBy("salt").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
     histogram = held.groupBy("target_id", "capacity", F.col("rest").alias("tokens")).agg(F.sum("n").alias("n"))
-    ranges = stage(histogram.groupBy("target_id").applyInPandas(_pack, RANGES), "packing-ranges")
+    # a number of partitions that is asked for isn't folded: each capacity is a task of its own
+    ranges = histogram.repartition(4 * max(1, len(wanted)), "target_id").groupBy("target_id").applyInPandas(_pack(nodes, containers), RANGES)
+    ranges = stage(ranges, "packing-ranges")
     ranked = rest.withColumn("k", F.row_number().over(W.partitionBy("target_id", "rest", "salt").orderBy("doc_id")) - 1)
     ranked = ranked.join(before.select("target_id", "rest", "salt", "before"), ["target_id", "rest", "salt"]).withColumn("rank", F.col("k") + F.col("before"))
     r = ranges.alias("r")
@@ -179,6 +269,6 @@ def pack(sizes: DataFrame, targets: DataFrame, salts: int = SALTS) -> DataFrame:
 
 
 def usage(packed: DataFrame) -> DataFrame:
-    """(target_id, capacity, bins, tokens, least_bins, fill): how well each capacity is used."""
+    """(target_id, capacity, bins, tokens, least_bins, fill): how well each capacity is used. The least number is by the sum of sizes."""
     u = packed.where("bin_id is not null").groupBy("target_id", "capacity").agg((F.max("bin_id") + 1).alias("bins"), F.sum("tokens").alias("tokens"))
     return u.withColumn("least_bins", F.ceil(F.col("tokens") / F.col("capacity"))).withColumn("fill", F.round(F.col("tokens").cast("double") / (F.col("bins") * F.col("capacity")), 6))

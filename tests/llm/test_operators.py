@@ -264,9 +264,9 @@ def test_packing_is_whole_and_tight(sizes):
     packed = packing.pack_sizes(counts, 30)
     used = {}
     for filling, times in packed:
-        assert sum(filling) <= 30
-        for s in filling:
-            used[s] = used.get(s, 0) + times
+        assert sum(s * n for s, n in filling) <= 30
+        for s, n in filling:
+            used[s] = used.get(s, 0) + n * times
     assert used == counts
     bins, first_fit = sum(t for _, t in packed), []
     for s in sorted(sizes, reverse=True):
@@ -276,7 +276,50 @@ def test_packing_is_whole_and_tight(sizes):
                 break
         else:
             first_fit.append(30 - s)
-    assert bins <= len(first_fit) + 1
+    assert packing.lower_bound(counts, 30) <= bins <= len(first_fit)
+
+
+def fewest(items, capacity):
+    """The fewest containers, by trying every place for every item."""
+    items, best, rooms = sorted(items, reverse=True), [len(items)], []
+
+    def place(i):
+        if len(rooms) >= best[0]:
+            return
+        if i == len(items):
+            best[0] = len(rooms)
+            return
+        for k in {r: j for j, r in enumerate(rooms)}.values():
+            if rooms[k] >= items[i]:
+                rooms[k] -= items[i]
+                place(i + 1)
+                rooms[k] += items[i]
+        rooms.append(capacity - items[i])
+        place(i + 1)
+        rooms.pop()
+
+    place(0)
+    return best[0]
+
+
+def test_search_without_end_is_optimal():
+    rng = random.Random(5)
+    for _ in range(150):
+        items = [rng.randint(3, 25) for _ in range(rng.randint(1, 11))]
+        counts = {s: items.count(s) for s in items}
+        assert sum(n for _, n in packing.pack_sizes(counts, 30, None, None)) == fewest(items, 30)
+        assert packing.lower_bound(counts, 30) <= fewest(items, 30)
+
+
+def test_many_small_texts_fill_their_containers():
+    for counts in ({3: 50_000, 5: 50_000, 7: 20_000}, {i: 100_000 * i for i in range(1, 9)}, {1: 1_000_000}):
+        total = sum(s * n for s, n in counts.items())
+        assert sum(n for _, n in packing.pack_sizes(counts, 8192)) == -(-total // 8192)
+
+
+def test_dominated_fillings_are_left_out():
+    got = [dict(f) for f, _ in packing.fillings([2, 3, 5], {2: 1, 3: 1, 5: 1}, 5, lambda: 5, None)]
+    assert got == [{5: 1}]  # 3 and 2 give way to 5
 
 
 def test_every_piece_has_its_place(spark):
@@ -313,6 +356,33 @@ def test_endings(text, want):
     assert truncation.ending(text) == want
 
 
+@pytest.mark.parametrize(
+    "text, held",
+    [
+        ("Điều 1. (mở ngoặc ở đây\nvà câu này đã xong.", ["("]), ('Ông nói "đây là hết câu.', ['"']), ("<div><p>Nội dung đầy đủ của trang.", ["div"]), ("“Trích dẫn\nnhiều dòng.", ["“"]), ("a) một; b) hai.", []),
+        ("(một) [hai] «ba» “bốn” \"năm\".", []), ("<div>\n<p>x<br></div>.", []), ("x <!-- ghi chú.", ["<!--"]), ("(Đã ký）", []), ("<s> x.", []), ("(" + "dài " * 5000 + "xong.", ["("]), ("([x)", []),
+    ],
+)
+def test_automaton_reads_the_whole_text(text, held):
+    assert truncation.left_open(text) == held
+    if held and text.endswith("."):
+        assert truncation.ending(text) == "held"
+
+
+def test_open_signs_are_cut_unless_they_are_the_source_s_style(spark):
+    rows = [(i, f"Mục {i} (xem thêm\nđã xong.", "loose") for i in range(30)] + [(100 + i, f"Mục {i} đã xong.", "strict") for i in range(30)] + [(200, "Mục (mở\nđã xong.", "strict")]
+    d = frame(spark, rows, "doc_id bigint, text string, source string")
+    assert [r.doc_id for r in truncation.judge(truncation.measure(d).cache()).where("cut").collect()] == [200]
+
+
+def test_a_longer_text_hides_no_limit(spark):
+    rows = [(i, ("chữ " * 60)[: 150 - 1] + "x", "s") for i in range(40)] + [(100 + i, "Câu " + "dài " * (i % 30) + "xong.", "s") for i in range(100)]
+    rows += [(300, "Đã trọn " * 100 + "vẹn.", "s"), (301, "A" * 149 + ".", "s")]
+    d = frame(spark, rows, "doc_id bigint, text string, source string")
+    got = sorted(r.doc_id for r in truncation.judge(truncation.measure(d).cache()).where("cut").collect())
+    assert got == [*range(40), 301]
+
+
 def test_limits_of_a_source(spark):
     rows = [(i, ("chữ " * 40)[:100] if i % 3 == 0 else f"Câu số {i} đã xong.", "cut") for i in range(60)]
     rows += [(100 + i, f"không có dấu chấm câu {'nào cả ' * i}số", "bare") for i in range(30)]
