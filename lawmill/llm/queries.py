@@ -94,21 +94,23 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 _BLANK = r"[\t\n\v\f\r\x{1c}-\x{1f} \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
-#: The evidence patterns in RE2's dialect, whose word class is ASCII.
-_EVIDENCE = "(?m)" + residue.EVIDENCE.pattern.replace(r"[\w", r"[\p{L}\p{N}_").replace(r"\w", r"[\p{L}\p{N}_]").replace("'", "''")
+#: What leftover records of this project's tables hold, written down on its own, without the operator's grammar.
+_LEFTOVER = "|".join((
+    r"\{\{|\{%|<%|[$#]!?\{|%%[A-Z]|\[\[[A-Z]|__[A-Z]{4,}__|@Model\.|«[^ »]*_|\{\d\}/|undefined/NaN|NaN/undefined|#REF!|<TÊN |\[SỐ |\[Nhập |System\.Data|\[object O|Lorem ipsum",
+    r"HTTP Error|Bad Gateway|Temporarily Unavailable|Access Denied|You don.t have permission|The page you are looking|Object reference not|\.java:|Exception: |mysqli|Fatal error|\{.code.:\d+,|Page_Load",
+    r"Không tìm thấy trang|Đường dẫn bạn|Trang bạn tìm|Lỗi: không nạp|Lỗi! Tệp|Quá nhiều yêu cầu từ|Just a moment|Checking if the|bạn không phải là người máy|Đang tải dữ liệu|đang được cập nhật\.\.\.",
+    r"chưa có nội dung tiếng|đang bảo trì từ|Phiên làm việc đã hết hạn|Mật khẩu\n|Mật khẩu$|Bạn chưa đăng ký gói|bật JavaScript|enable scripts|Trình duyệt không chạy|Trình duyệt của bạn không",
+    r"(?m:^(?:[a-z]+ )*(?:congue|mollis|vitae|risus) (?:[a-z]+ )*(?:elit|dolor|quis|nulla|amet|magnis)[ .])",
+))
 
 
 def _residue_sql(texts: str) -> str:
-    """SQL of residue_records over a subquery of (src, row_key, host, text), line by line."""
+    """SQL of the records to exclude, over a subquery of (src, row_key, host, text); no line recurs so often that it is boilerplate."""
     return rf"""
     t AS ({texts}),
-    l AS (SELECT src, row_key, host, unnest(string_split(text, chr(10))) AS raw FROM t WHERE text IS NOT NULL),
-    w AS (SELECT *, list_filter(string_split_regex(lower(raw), '[^\p{{L}}\p{{N}}\p{{M}}_]+'), lambda x: x <> '') AS words FROM l),
-    e AS (SELECT DISTINCT src, row_key, host, trim(regexp_replace(regexp_replace(raw, '{_BLANK}+', ' ', 'g'), '[0-9]+', '0', 'g')) AS line FROM w
-          WHERE regexp_matches(raw, '{_EVIDENCE}') OR (len(words) >= {residue.REPEATED_WORDS} AND len(list_distinct(words)) * 3 <= len(words) AND contains(substring(raw, 11, 80), substring(raw, 1, 10)))),
-    n AS (SELECT src, host, count(*) AS records FROM t GROUP BY ALL),
-    b AS (SELECT e.src, e.host, line FROM e JOIN n USING (src, host) GROUP BY e.src, e.host, line HAVING count(*) >= {residue.BOILERPLATE_LEAST} AND count(*) >= {residue.BOILERPLATE_SHARE} * max(records)),
-    residue AS (SELECT DISTINCT src, row_key FROM e WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.src = e.src AND b.host = e.host AND b.line = e.line))"""
+    l AS (SELECT src, row_key, unnest(string_split(text, chr(10))) AS raw FROM t WHERE text IS NOT NULL),
+    w AS (SELECT src, row_key, list_filter(string_split_regex(lower(raw), '[^\p{{L}}\p{{N}}\p{{M}}_]+'), lambda x: x <> '') AS words FROM l),
+    residue AS (SELECT src, row_key FROM t WHERE row_key IS NOT NULL AND regexp_matches(text, '{_LEFTOVER}') UNION SELECT src, row_key FROM w WHERE len(words) >= 8 AND len(list_distinct(words)) * 3 <= len(words))"""
 
 
 _TEXTS = """SELECT 'vbpl_records' AS src, record_id AS row_key, coalesce(lower(regexp_extract(url, '://([^/?#]+)', 1)), '') AS host, text FROM vbpl_records

@@ -8,8 +8,11 @@ lines still carry evidence is excluded, and so is one that holds nothing but evi
 lines are counted: a line without evidence can't change the outcome, so the shuffle holds a few rows
 in a hundred records and a hash a record instead of every line of the corpus.
 
-Evidence in the body of a legal sentence ("the portal must report error 404 ...") isn't
-any: patterns are notices addressed to a reader or marks of a program, never single words.
+Evidence is of two kinds. Marks of template engines and programs (placeholders, stack traces, bodies of failed calls) and
+filler count wherever they stand. Notices (status lines, errors, waiting, login, scripts required) count by
+their grammar, and only in a sentence that lays nothing down: a sentence of the law ("the portal must report error 404 ...",
+"whoever ... shall ...") merely speaks of such matters. Filler is a line of the customary pseudo-Latin words, or
+one phrase set again and again.
 
 Defined results: null, empty and blank texts aren't cases; a text of any length is
 scanned whole; a record with several kinds of evidence gives one row; repeated keys give
@@ -21,7 +24,9 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
+import ahocorasick
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,64 +40,120 @@ BOILERPLATE_SHARE, BOILERPLATE_LEAST = 0.05, 20
 _UP = "A-ZÀÁÂÃÈÉÊÌÍÒÓÔÕÙÚÝĂĐĨŨƠƯ" + "".join(chr(c) for c in range(0x1EA0, 0x1EFA, 2))
 PLACEHOLDERS = (
     r"\{\{[^{}\n]*\}\}|\{%[^%\n]*%\}|<%[^%\n]*%>|[$#]!?\{[A-Za-z_][\w.]*\}|%%\w+%%|\[{2}\w+\]{2}|__[A-Z0-9_]{3,}__"
-    rf"|@Model\.\w|«[^«»\s]*_[^«»\s]*»|<[{_UP}]{{2,}}(?: [{_UP}]{{2,}})+>|\[[{_UP}]{{2,}}(?: [{_UP}]{{2,}})+\]|\[Nhập [^\]\n]*\]"
+    rf"|@Model\.\w|«[^«»\s]*_[^«»\s]*»|<[{_UP}]{{2,}}(?: [{_UP}]{{2,}})+>|\[[{_UP}]{{2,}}(?: [{_UP}]{{2,}})+\]"
+    r"|\[(?:[Nn]hập|[Đđ]iền|[Ii]nsert|[Ee]nter|[Yy]our) [^\]\n]*\]|\$[A-Z][A-Z_]{2,}\$"
     r"|#(?:REF!|N/A|VALUE!|NAME\?|DIV/0!|NULL!|NUM!)|\$\$\w+\$\$|<\?php|<\w+_\w+>|\{[A-Za-z]+_\w+\}|\(null\)"
     r"|\{\d\}/\{\d\}|undefined/NaN|NaN/undefined|\[object Object\]|System\.Data\.DataRowView"
 )
-#: Text that stands where content should.
-FILLER = r"[Ll]orem ipsum"
-#: A line is filler too if it has so many words and so few different ones: a phrase set again and again.
-REPEATED_WORDS, REPEATED_SHARE = 8, 1 / 3
-#: Messages of servers, gateways and programs.
+#: What setters put in for text, and servers and programs write when they fail.
+PROGRAMS = (
+    r"[Ll]orem ipsum|"
+    r"\bat [\w.$]+\([\w.: ]*\)|\b[\w.]*\w\.\w*(?:Exception|Error): |\b(?:Warning|Fatal error|Notice): \w+\(|Fatal error:|Traceback \(most recent"
+    r"|\{\"code\":\d+,\"message\"|Object reference not set|\bORA-\d{5}:|SQLSTATE\["
+)
+#: Reason phrases of failed requests.
+REASON = (
+    "Bad Request|Unauthori[sz]ed|Forbidden|(?:Page )?[Nn]ot [Ff]ound|Method Not Allowed|Request Time-?out|Gone|Too Many Requests|Internal (?:Server )?Error|Not Implemented|Bad Gateway"
+    "|Service (?:Temporarily )?Unavailable|Gateway Time-?out|Không tìm thấy(?: trang| nội dung)?|Access [Dd]enied|Truy cập bị từ chối"
+)
+STATUS = rf"\b[45]\d\d\b\s*[-–—:.|]?\s*(?:{REASON})\b|HTTP(?:/\d\.\d)? (?:Error )?[45]\d\d\b|^(?:Error:? |Lỗi:? )?(?:{REASON})[.!]*$"
+#: Errors told to a reader.
 ERRORS = (
-    r"HTTP Error \d|\b50\d (?:Bad Gateway|Service|Gateway|Internal)|Service Temporarily Unavailable|Access Denied"
-    r"|You don't have permission to (?:view|access)|The page you are looking for|Object reference not set|\bat [\w.$]+\([\w.: ]*\)"
-    r"|java\.\w+\.\w*Exception|Warning: \w+\(\)|Fatal error:|Traceback \(most recent|\{\"code\":\d+,\"message\""
-    r"|Không tìm thấy trang|Đường dẫn bạn yêu cầu|Trang bạn tìm|Lỗi: không|Lỗi! |Quá nhiều yêu cầu từ"
+    r"You don't have permission to (?:view|access)|The page you (?:are looking for|requested)|^Không tìm thấy trang|[Đđ]ường dẫn bạn (?:yêu cầu|truy cập)|[Tt]rang bạn (?:tìm|yêu cầu)"
+    r"|^Lỗi(?:!|: không) |Quá nhiều yêu cầu từ|[Ss]omething went wrong|[Đđ]ã (?:có|xảy ra) lỗi\b"
 )
 #: Waiting, login and maintenance messages.
 NOTICES = (
-    r"Just a moment\.\.\.|Checking if the connection|xác minh bạn không phải|Đang tải dữ liệu|Nội dung đang được cập nhật"
-    r"|chưa có nội dung tiếng|Nhấn F\d để tải lại|Hệ thống đang bảo trì|Mong quý vị thông cảm|Phiên làm việc đã hết hạn"
-    r"|Hãy đăng nhập lại|^(?:Tên đăng nhập|Mật khẩu|Quên mật khẩu\?)$|Bạn chưa đăng ký gói|[Tt]hử lại sau \d"
+    r"Just a moment\.\.\.|Checking (?:if the connection|your browser)|[Vv]erify(?:ing)? (?:that )?you are (?:a )?human|xác minh (?:rằng )?bạn không phải|Đang tải (?:dữ liệu|trang|nội dung)|^Loading(?:\.\.\.|…)"
+    r"|[Nn]ội dung đang được cập nhật|[Tt]rang (?:web |này )?(?:đang|chưa) (?:được )?(?:xây dựng|hoàn thiện|bảo trì)|chưa có nội dung tiếng|Nhấn F\d+ để|Hệ thống đang bảo trì|Mong quý vị thông cảm"
+    r"|[Pp]hiên làm việc (?:của bạn )?đã hết hạn|[Ss]ession (?:has )?(?:expired|timed out)|Hãy đăng nhập|[Vv]ui lòng đăng nhập|[Pp]lease (?:log|sign) in|^(?:Tên đăng nhập|Mật khẩu|Quên mật khẩu\?)$|Bạn chưa đăng ký gói"
+    r"|[Tt]hử lại sau \d|^(?:(?:This )?(?:[Ss]ite|[Pp]age) (?:is )?)?[Uu]nder (?:[Cc]onstruction|[Mm]aintenance)\b|^Coming [Ss]oon\b"
 )
-#: Notices that scripts are required.
-SCRIPTS = r"bật JavaScript|enable (?:scripts|JavaScript)|[Tt]rình duyệt (?:của bạn )?không (?:chạy|hỗ trợ)|tắt tập lệnh"
+#: That scripts are off, or are wanted.
+_SCRIPT, _WANTED = r"(?:[Jj]ava[Ss]cript|\bscripts?\b|tập lệnh)", r"(?:[Ee]nabled?|[Tt]urn(?:ed)? (?:on|off)|[Dd]isabled|[Rr]equires?|[Nn]eeds?|[Ss]upport|bật|tắt|không (?:hỗ trợ|chạy))"
+SCRIPTS = rf"{_WANTED}[^.!?\n]{{0,30}}{_SCRIPT}|{_SCRIPT}[^.!?\n]{{0,30}}{_WANTED}|[Tt]rình duyệt (?:của bạn )?không (?:chạy|hỗ trợ)"
+#: Words of sentences that lay something down.
+NORM = re.compile(r"(?<!không )\bphải\b|\bthì\b|có trách nhiệm|\bkhông được\b|theo (?:hướng dẫn|quy định)|\bshall\b|\b(?:portal|site|office|authority|agency|provider)s? must\b|^(?:Điều|Article|Khoản) \d", re.I)
+#: The customary filler words of four letters or more; a line is filler if so many of its words, and this share, are among them.
+LATIN = frozenset((
+    "lorem ipsum dolor amet consectetur adipiscing elit eiusmod tempor incididunt labore dolore magna aliqua enim minim veniam quis nostrud exercitation ullamco laboris nisi aliquip commodo consequat "
+    "duis aute irure reprehenderit voluptate velit esse cillum fugiat nulla pariatur excepteur sint occaecat cupidatat proident sunt culpa officia deserunt mollit anim laborum "
+    "vitae congue mollis risus magnis orci turpis tempus sodales bibendum fringilla lacus ornare pharetra porttitor vestibulum pellentesque curabitur maecenas phasellus"
+).split())
+LATIN_WORDS, LATIN_SHARE = 4, 1 / 4
+#: A line is filler too if it has so many words and so few different ones: a phrase set again and again.
+REPEATED_WORDS, REPEATED_SHARE = 8, 1 / 3
 
-#: A string that each alternative above contains: a text with none of them is passed over by plain searches.
+#: Strings one of which each alternative above contains: only lines with one of them are looked at.
 TRIGGERS = (
-    "{", "<", "[[", "__", "%%", "@Model.", "«", "[", "undefined", "System.Data.DataRowView", "orem ipsum", "#REF!", "#N/A", "#VALUE!", "#NAME?", "#DIV/0!", "#NULL!", "#NUM!", "$$", "(null)",
-    "HTTP Error", "Bad Gateway", " Service", " Gateway", " Internal", "Access Denied", "You don't", "The page you", "Object reference", "at ", "java.",
-    "Warning: ", "Fatal error:", "Traceback", "Không tìm thấy trang", "Đường dẫn bạn", "Trang bạn", "Lỗi", "Quá nhiều yêu", "Just a moment", "Checking if",
-    "xác minh bạn", "Đang tải", "đang được cập", "chưa có nội dung", "Nhấn F", "Hệ thống đang", "Mong quý", "Phiên làm", "Hãy đăng", "Tên đăng nhập",
-    "Mật khẩu", "Quên mật", "Bạn chưa", "hử lại sau", "bật JavaScript", "enable ", "rình duyệt", "tắt tập",
+    "{", "<", "[", "__", "%%", "@Model.", "«", "$", "(", "undefined/", "/undefined", "System.Data.DataRowView", "#REF!", "#N/A", "#VALUE!", "#NAME?", "#DIV/0!", "#NULL!", "#NUM!", "ORA-", "SQLSTATE",
+    "orem ipsum", "xception: ", "rror", "Traceback", "Object reference", "Bad Request", "nauthori", "orbidden", "ot Found", "ot found", "ot Allowed", "imeout", "ime-out", "Gone", "Too Many", "ot Implemented", "Bad Gateway", "navailable", "ccess Denied", "ccess denied", "HTTP",
+    "You don't", "The page you", "hông tìm thấy", "ruy cập bị", "ường dẫn bạn", "rang bạn", "Lỗi", " lỗi", "Quá nhiều yêu", "omething went", "Just a moment", "Checking ", "erify", "xác minh", "Đang tải", "Loading", "đang được cập", "chưa có nội dung",
+    "rang web ", "rang này ", "rang đang ", "rang chưa ", "đang bảo trì", "Nhấn F", "Mong quý", "hiên làm", "ession ", "ăng nhập", "lease log", "lease sign", "Mật khẩu", "Quên mật", "Bạn chưa", "hử lại sau", "nder con", "nder Con", "nder main", "nder Main", "Coming", "cript", "tập lệnh", "rình duyệt",
 )
 
-EVIDENCE = re.compile("|".join((PLACEHOLDERS, FILLER, ERRORS, NOTICES, SCRIPTS)), re.M)
+MARKS = re.compile("|".join((PLACEHOLDERS, PROGRAMS)), re.M)
+NOTICE = re.compile("|".join((STATUS, ERRORS, NOTICES, SCRIPTS)), re.M)
+_SENTENCE = re.compile(r"(?<=[.!?;])\s+")
 
 LINES = "src string, row_key bigint, host string, line string, rest bigint, bare boolean"
 
 
+@lru_cache(maxsize=1)
+def _triggers() -> ahocorasick.Automaton:
+    a = ahocorasick.Automaton()
+    for x in TRIGGERS:
+        a.add_word(x, x)
+    a.make_automaton()
+    return a
+
+
 def normalise_line(s: str) -> str:
     return re.sub(r"\d+", "0", re.sub(r"\s+", " ", s)).strip()
 
 
-def repeated(line: str) -> bool:
-    words = re.findall(r"\w+", line.lower())
+def repeated(words: list[str]) -> bool:
     return len(words) >= REPEATED_WORDS and len(set(words)) <= len(words) * REPEATED_SHARE
 
 
+def filler(line: str) -> bool:
+    """Whether a line is a phrase set again and again, or pseudo-Latin."""
+    raw = line.split()
+    if line.isascii() and len(raw) >= LATIN_WORDS:
+        words = re.findall(r"[a-z]+", line.lower())
+        latin = sum(w in LATIN for w in words)
+        if latin >= LATIN_WORDS and latin >= len(words) * LATIN_SHARE:
+            return True
+    return len(raw) >= REPEATED_WORDS and len(set(raw)) * 2 <= len(raw) and repeated(re.findall(r"\w+", line.lower()))
+
+
+def notice(line: str, m: re.Match) -> bool:
+    """Whether the sentence of a line around a match lays nothing down."""
+    a = b = 0
+    for cut in _SENTENCE.finditer(line):
+        if cut.start() >= m.end():
+            b = cut.start()
+            break
+        if cut.end() <= m.start():
+            a = cut.end()
+    return not NORM.search(line[a : b or len(line)])
+
+
 def evidence_lines(text: str | None) -> list[str]:
     """The normalised lines of a text that carry evidence."""
     if not text:
         return []
-    out = [normalise_line(x) for x in text.split("\n") if x.find(x[:10], 10, 90) > 0 and repeated(x)]
-    if not any(x in text for x in TRIGGERS):
-        return out
-    for m in EVIDENCE.finditer(text):
-        a, b = text.rfind("\n", 0, m.start()) + 1, text.find("\n", m.end())
-        out.append(normalise_line(text[a : b if b >= 0 else len(text)]))
-    return out
+    # a line of few words is no filler
+    found = [x for x in text.split("\n") if x.count(" ") >= LATIN_WORDS - 1 and filler(x)]
+    end = -1
+    for last, _ in _triggers().iter(text):
+        if last >= end:
+            a, b = text.rfind("\n", 0, last) + 1, text.find("\n", last)
+            end = b if b >= 0 else len(text)
+            line = text[a:end]
+            if MARKS.search(line) or any(notice(line, m) for m in NOTICE.finditer(line)):
+                found.append(line)
+    return [normalise_line(x) for x in found]
 
 
 def remainder(text: str, evidence: list[str]) -> str:

@@ -79,6 +79,34 @@ def test_evidence(text, want):
     assert bool(residue.evidence_lines(text)) is want
 
 
+@pytest.mark.parametrize(
+    "text",
+    [
+        "404 Not Found", "404 - Page not found", "This page requires JavaScript", "JavaScript is disabled in your browser", "Please turn on JavaScript", "Internal Server Error", "Under construction", "Coming soon",
+        "[insert name]", "Dear $NAME$,", "Trang web đang được xây dựng", "Verify you are human", "quis elit porro mollis sedo dolor vitae risus.", "Theo mẫu sau đây: " + "đoạn văn mẫu rất dài để thử " * 4, "500 Internal Server Error",
+        "HTTP/1.1 403 Forbidden", "Session expired", "SQLSTATE[HY000]", "Lời dẫn rồi lặp: " + "một câu rất dài được chép lại nhiều lần cho đủ chữ trong khung trang này để thử độ dài " * 4,
+    ],
+)
+def test_evidence_by_grammar(text):
+    assert residue.evidence_lines(f"Điều 1. Nội dung\n{text}\nĐiều 2.") == [residue.normalise_line(text)]
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "Cổng thông tin điện tử phải trả về HTTP Error 404 khi trang không tồn tại.", "Hệ thống đang bảo trì thì cơ quan phải thông báo trước ba ngày.", "Người dùng phải bật JavaScript theo hướng dẫn tại Phụ lục.",
+        "The portal shall report an Internal Server Error to the office.", "Article 4. A page under maintenance", "Cơ quan có trách nhiệm bật tập lệnh trên máy chủ.", "Mức phạt từ 400 đến 404 đồng.",
+    ],
+)
+def test_legal_sentences_are_no_evidence(text):
+    assert residue.evidence_lines(text) == []
+
+
+def test_every_pattern_has_its_trigger():
+    for line in ("at a.B(c:1)", "x.YError: z", "Warning: f(", "ORA-00001: x", "Lỗi: không nạp", "Đã xảy ra lỗi", "Checking your browser", "502 Bad Gateway", "Truy cập bị từ chối", "Vui lòng đăng nhập", "Please log in", "Site under maintenance", "Something went wrong", "[Your name]"):
+        assert residue.evidence_lines(line) == [residue.normalise_line(line)], line
+
+
 def test_recurrent_lines_of_a_host_are_boilerplate(spark):
     rows = [("t", i, "h", f"Văn bản {i}.\nTrình duyệt của bạn không hỗ trợ hoặc đã tắt tập lệnh.") for i in range(30)]
     rows += [("t", 100, "other", "Trình duyệt của bạn không hỗ trợ hoặc đã tắt tập lệnh."), ("t", 5, "h", "{{x}}"), ("t", 5, "h", "{{x}}"), ("t", 200, None, None), ("t", 201, None, LONG + "{{x}}")]
