@@ -41,6 +41,34 @@ def test_ties_go_to_the_frequent_entry():
     assert canonical.Dictionary(ISSUERS, {2: 5, 3: 1}).resolve("uy ban nhan dan tinh ha lam") == 2
 
 
+def test_accents_and_blanks_rank_the_candidates():
+    d = canonical.distance
+    assert d("hà lâm", "hạ lâm", 9) == canonical.ACCENT_COST and d("hà lâm", "hàlâm", 9) == canonical.SPACE_COST and d("hà lâm", "hà lấm", 9) == canonical.ACCENT_COST
+    assert d("ca", "abc", 9) == 2 and d("ab", "ba", 9) == 1 and d("", "ab", 9) == 2 and d("đ", "d", 9) == canonical.ACCENT_COST  # full distance: restricted transpositions would give 3
+    accents = canonical.Dictionary([(1, "Sở Tân Mỹ"), (2, "Sở Tấn Mý")], {1: 1, 2: 9})
+    assert [accents.resolve(x) for x in ("Sở Tân Mỷ", "Sở Tấn Mỷ", "So Tan My")] == [1, 2, 2]  # without accents the frequent one
+    blanks = canonical.Dictionary([(1, "an hoa sa"), (2, "anh oasa")], {2: 9})
+    assert [blanks.resolve(x) for x in ("an hoasa", "anh oa sa")] == [1, 2]
+
+
+def test_joined_lists_equal_broadcast_ones(spark, monkeypatch):
+    rng = random.Random(4)
+    typed = ["BO HOC VU", "UBND T. Hà Lâm", "UBND Hạ Lam", "Bộ Học vụ", "Hà Lâm - Hội đồng nhân dân tỉnh", "uy ban nhan dan tinh ha lam", "", "-", "x" * 5000, "Booj Hocj vuj"]
+    for _, e in ISSUERS:
+        for _ in range(12):
+            w = list(e)
+            for _ in range(rng.randint(0, 3)):
+                i = rng.randrange(len(w))
+                w[i : i + rng.randint(0, 1)] = rng.choice("abc ạ")
+            typed.append("".join(w))
+    v = frame(spark, [("issuer", x) for x in typed] + [("none", "Bộ Học vụ"), ("issuer", None)], "list_name string, value string")
+    canon = frame(spark, [(i, "issuer", e) for i, e in ISSUERS], "canon_id bigint, list_name string, canon_value string")
+    rows = lambda: sorted((r.value or "", r.canon_id if r.canon_id is not None else -9) for r in canonical.resolve_values(v, canon).collect())
+    want = rows()
+    monkeypatch.setattr(canonical, "MAX_ENTRIES", 0)
+    assert rows() == want and any(i > 0 for _, i in want)
+
+
 def test_lookup_equals_brute_force():
     entries = dict(enumerate(["thongtu", "nghidinh", "quyetdinh", "congvanchung"]))
     d = canonical.Dictionary(entries.items())
