@@ -3,9 +3,10 @@
 Method: full-width and mathematical forms, special blanks, hyphens and slashes, invisible
 characters and decomposed accents have one plain form each and are replaced wherever they
 stand. Greek and Cyrillic look-alikes are a matter of the token: its dominant script is
-determined, and only in tokens of mixed script are look-alikes of the other script
-substituted, and only when the result exists in the corpus vocabulary. A token that is
-look-alikes throughout is taken the same way if it has two letters or more, so that "α" and
+determined, the one that has most of its letters and into which all the others can go, and in tokens of mixed script the look-alikes of the other
+script are substituted, either way ("Νghị" and "Mосква"), and only when the result exists in the corpus vocabulary; where it doesn't, the other
+script is tried. A token that is
+look-alikes throughout is taken as Latin if it has two letters or more (this project's data hold such), so that "α" and
 «Ладья» stay as they are.
 
 Whether a value has an unusual character is asked in Python, over whole Arrow batches: its
@@ -38,6 +39,9 @@ LOOKALIKES = dict(zip(
     "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧαικνορτυχ" "АВЕЗКМНОРСТУХІЈЅаекорсухіјѕԁһԛԝԍ",
     "ABEZHIKMNOPTYXaikvoptux" "AB" "E3KMHOPCTYXIJSaekopcyxijsdhqwg",
 ))
+#: The look-alikes of Latin letters in either script.
+TO_GREEK = {v: k for k, v in LOOKALIKES.items() if k < "Ѐ"}
+TO_CYRILLIC = {v: k for k, v in LOOKALIKES.items() if k >= "Ѐ"}
 #: Latin letters that stand for the Vietnamese Đ.
 BARRED = {"Ð": "Đ", "ð": "đ", "Ɖ": "Đ", "ɖ": "đ"}
 INVISIBLE = "­͏؜ᅟᅠ឴឵᠎​‌‎‏‪‫‬‭‮⁠⁡⁢⁣⁤﻿"
@@ -66,28 +70,26 @@ def _tokens(s: str) -> Iterator[re.Match]:
     return re.finditer(r"[^\s«»\"(),;:]+", s)
 
 
-def _swap(token: str) -> str:
-    return unicodedata.normalize("NFC", "".join(LOOKALIKES.get(c, BARRED.get(c, c)) for c in token))
-
-
-def mixed(token: str) -> bool:
-    """True where look-alikes may be substituted: a token of mixed script whose foreign letters are
-    all look-alikes, or one made of look-alikes alone."""
-    foreign = _FOREIGN.findall(token)
-    if not foreign or any(c not in LOOKALIKES for c in foreign):
-        return False
-    return bool(_LATIN.search(token)) or len(foreign) > 1
+def readings(token: str) -> list[str]:
+    """The token in each script that it may be meant in, the dominant one first; none if it isn't mixed."""
+    foreign, latin = _FOREIGN.findall(token), _LATIN.findall(token)
+    if not foreign or not latin and len(foreign) < 2:
+        return []
+    out = []
+    if all(c in LOOKALIKES for c in foreign):
+        out.append((len(latin), unicodedata.normalize("NFC", "".join(LOOKALIKES.get(c, BARRED.get(c, c)) for c in token))))
+    cyrillic = [c >= "Ѐ" for c in foreign]
+    if latin and (all(cyrillic) or not any(cyrillic)):
+        into = TO_CYRILLIC if cyrillic[0] else TO_GREEK
+        if all(c in into for c in latin):
+            out.append((len(foreign), "".join(into.get(c, c) for c in token)))
+    return [t for _, t in sorted(out, key=lambda x: -x[0])]  # of equals Latin
 
 
-def pieces(token: str) -> list[str]:
+def pieces(token: str, fixed: str) -> list[str]:
     """The words of a repaired token whose letters were changed, folded, as the vocabulary has them."""
-    fixed = _swap(token)
-    out = []
     if len(fixed) == len(token):
-        for m in re.finditer(r"\w+", fixed):
-            if token[m.start() : m.end()] != m[0]:
-                out.append(m[0].casefold())
-        return out
+        return [m[0].casefold() for m in re.finditer(r"\w+", fixed) if token[m.start() : m.end()] != m[0]]
     return [w.casefold() for w in re.findall(r"\w+", fixed)]
 
 
@@ -95,7 +97,7 @@ def wanted_pieces(s: str) -> list[str]:
     d = direct(s)
     if not _FOREIGN.search(d):
         return []
-    return sorted({p for m in _tokens(d) if mixed(m[0]) for p in pieces(m[0])})
+    return sorted({p for m in _tokens(d) for fixed in readings(m[0]) for p in pieces(m[0], fixed)})
 
 
 def plain_spelling(s: str, known: Iterable[str]) -> str:
@@ -105,8 +107,9 @@ def plain_spelling(s: str, known: Iterable[str]) -> str:
 
     def token(m: re.Match) -> str:
         t = m[0]
-        if mixed(t) and all(p in known for p in pieces(t)):
-            return _swap(t)
+        for fixed in readings(t):
+            if all(p in known for p in pieces(t, fixed)):
+                return fixed
         if any(c in BARRED for c in t) and not _FOREIGN.search(t):
             return "".join(BARRED.get(c, c) for c in t)
         return t
@@ -133,7 +136,7 @@ def _words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         if len(seen) > 500_000:  # a word may then come twice; the join doesn't mind
             seen.clear()
         seen |= fresh
-        out = {w.casefold() for t in fresh if not _FOREIGN.search(t) for w in re.findall(r"\w+", t)}
+        out = {w.casefold() for t in fresh if not (_FOREIGN.search(t) and _LATIN.search(t)) for w in re.findall(r"\w+", t)}
         yield pd.DataFrame({"piece": pd.Series(sorted(out), dtype=object)})
 
 
