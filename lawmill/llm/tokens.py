@@ -14,9 +14,11 @@ byte for byte.
 from __future__ import annotations
 
 import base64
+import os
 import re
 from array import array
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
 import numpy as np
@@ -183,9 +185,16 @@ class Encoder(dict):
         return np.frombuffer(self.flat, dtype=np.int32)[at], total[ends].astype(np.int32)
 
 
+@lru_cache(maxsize=4)
+def load_vocabulary(path: str, changed: int) -> Vocabulary:
+    """The vocabulary of a file, built once a driver for every state of the file."""
+    return Vocabulary.load(path)
+
+
 def share_vocabulary(spark: SparkSession, tokenizer_dir: str, name: str):
     """The vocabulary, built once and broadcast: its size is the tokenizer's, whatever the corpus."""
-    return spark.sparkContext.broadcast(Vocabulary.load(f"{tokenizer_dir}/{name}.tiktoken"))
+    path = f"{tokenizer_dir}/{name}.tiktoken"
+    return spark.sparkContext.broadcast(load_vocabulary(path, os.stat(path).st_mtime_ns))
 
 
 def encode_documents(documents: DataFrame, tokenizer_dir: str = TOKENIZER_DIR, name: str = "byte_bpe_50k") -> DataFrame:
