@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import argparse
+from dataclasses import replace
 
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from lawmill.operators import reports
 from lawmill.plans import pipelines
-from lawmill.session import build_session
-from lawmill.sources import sinks
+from lawmill.session import build_session, stage
+from lawmill.sources import readers, sinks
 
 
 def parser() -> argparse.ArgumentParser:
@@ -22,6 +25,17 @@ def parser() -> argparse.ArgumentParser:
             c.add_argument(x)
         return c
 
+    def wire(c: argparse.ArgumentParser) -> None:
+        d = pipelines.Options()
+        c.add_argument("--max-documents", type=int)
+        c.add_argument("--timeout", type=float, default=d.timeout)
+        c.add_argument("--retries", type=int, default=d.retries)
+        c.add_argument("--sleep", type=float, default=d.sleep, help="seconds between two requests of a task")
+        c.add_argument("--transport", choices=("auto", "urllib", "requests", "cloudscraper"), default=d.transport)
+        c.add_argument("--concurrency", "--workers", type=int, default=d.concurrency, help="tasks that fetch at once")
+        c.add_argument("--resume", action=argparse.BooleanOptionalAction, default=True)
+        c.add_argument("--verbose", action="store_true", help="log the counts of each phase")
+
     command("stats", "counts and shares of the state table", "state").add_argument("--doc-type")
     c = command("discover", "search pages into the state table", "state", "pages", "out")
     c.add_argument("--doc-type", default="vbpq")
@@ -34,18 +48,71 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--start", type=int, default=1)
     c.add_argument("--end", type=int)
     c.add_argument("--done", help="table of (sitemap_index, next_url_index) to resume from")
+    c = command("crawl", "the phases of a crawl over the wire, from a state table", "state", "out")
+    c.add_argument("--phase", choices=("all", *pipelines.PHASES), default="all")
+    c.add_argument("--doc-type", choices=tuple(pipelines.SEARCH))
+    c.add_argument("--no-attachments", action="store_true")
+    c.add_argument("--stats", action="store_true", help="counts and shares at the end")
+    wire(c)
+    c = command("sitemap-crawl", "documents of a site's sitemaps over the wire", "out")
+    c.add_argument("--sitemap-index-url", required=True)
+    c.add_argument("--start-sitemap", type=int, default=1)
+    c.add_argument("--end-sitemap", type=int)
+    c.add_argument("--fallback-sitemap-count", type=int)
+    c.add_argument("--include-html", action=argparse.BooleanOptionalAction, default=False)
+    c.add_argument("--retry-errors-file", help="replay the document failures of an error log instead")
+    c.add_argument("--retry-max-urls", type=int)
+    wire(c)
     c = command("retry", "the queue of failed documents", "errors", "out")
     c.add_argument("--stage", default="document_fetch")
     c.add_argument("--limit", type=int)
     return p
 
 
-def main(argv: list[str] | None = None) -> None:
+def options(a: argparse.Namespace) -> pipelines.Options:
+    """The options of the commands that fetch."""
+    o = pipelines.Options(base=a.base, max_documents=a.max_documents, timeout=a.timeout, retries=a.retries, sleep=a.sleep, transport=a.transport, concurrency=a.concurrency, resume=a.resume)
+    if a.command == "crawl":
+        return replace(o, phase=a.phase, doc_type=a.doc_type, attachments=not a.no_attachments)
+    return replace(o, sitemap_start=a.start_sitemap, sitemap_end=a.end_sitemap, fallback_sitemaps=a.fallback_sitemap_count, include_html=a.include_html, retry_limit=a.retry_max_urls)
+
+
+def fetch_commands(spark: SparkSession, a: argparse.Namespace, now: Column, fetch=None) -> None:
+    """The commands that go over the wire; ``fetch`` stands in for it in tests."""
+    o = options(a)
+    if a.command == "crawl":
+        before = spark.read.parquet(a.state)
+        state = pipelines.crawl(before, o, a.out, now, fetch)
+        state, seen = reports.observed(state, "crawl", failed=F.col("status") == "failed", done=F.col("status").endswith("_done"))
+        state.write.mode("overwrite").parquet(f"{a.out}/table")
+        if a.verbose or a.stats:
+            print(seen.get)
+        if a.stats:
+            pipelines.report(spark.read.parquet(f"{a.out}/table")).orderBy("doc_type", F.desc("n")).show(100, truncate=False)
+    elif a.retry_errors_file:
+        errors = readers.jsonl(spark, a.retry_errors_file, readers.ERROR_SCHEMA)
+        pipelines.retry_crawl(errors, o, a.out, now, fetch).write.mode("overwrite").json(f"{a.out}/errors-left")
+    else:
+        left = f"{a.out}/left-at"
+        done = readers.table_or_none(spark, left) if o.resume else None
+        cached = readers.table_or_none(spark, f"{a.out}/sitemaps", "json")
+        sitemaps = pipelines.sitemap_index(spark, o, a.sitemap_index_url, cached, fetch, **o.fetching())
+        if cached is None:
+            sinks.sitemap_cache(sitemaps, f"{a.out}/sitemaps")
+        reached = pipelines.sitemap_crawl(sitemaps, o, a.out, now, done, fetch)
+        if done is not None:
+            reached = reached.unionByName(done).groupBy("sitemap_index").agg(F.max("next_url_index").alias("next_url_index"))
+        stage(reached, "left-at").write.mode("overwrite").parquet(left)
+
+
+def main(argv: list[str] | None = None, fetch=None) -> None:
     a = parser().parse_args(argv)
     spark = build_session()
     read = spark.read.parquet
     now = F.current_timestamp()
-    if a.command == "stats":
+    if a.command in ("crawl", "sitemap-crawl"):
+        fetch_commands(spark, a, now, fetch)
+    elif a.command == "stats":
         state = read(a.state)
         pipelines.report(state.where(F.col("doc_type") == a.doc_type) if a.doc_type else state).orderBy("doc_type", F.desc("n")).show(100, truncate=False)
     elif a.command == "discover":

@@ -12,6 +12,8 @@ DEPARTMENTS = (
     "bongoaigiao", "boquocphong", "botaichinh", "botainguyen", "botuphap", "bothongtin", "bovanhoathethao", "boxaydung", "boyte", "kiemtoannhanuoc",
     "nganhangnhanuoc", "toaannhandantoicao", "thanhtrachinhphu", "uybandantoc", "vanphongchinhphu", "vienkiemsatnhandantoicao",
 )
+#: Fixed value: the unit whose listings are read by department and type.
+UNIT = 213
 #: Fixed value: the scope that stands in for the central one.
 CENTRAL_SCOPE, FALLBACK_SCOPE = "tw", "botaichinh"
 COLLECTIONS = {"vbpq": "van_ban_phap_quy", "vbhn": "van_ban_hop_nhat"}

@@ -35,8 +35,11 @@ TABLE_LABELS = {
 
 SCHEMA = (
     "title string, heading string, anchors array<struct<href: string, text: string, in_list: boolean>>, clean_text string, lines_text string, "
-    "content string, attribute_blocks array<string>, metadata map<string,string>, list_items int, pager array<string>"
+    "content string, attribute_blocks array<string>, metadata map<string,string>, list_items int, pager array<string>, "
+    "listing array<struct<item: int, href: string, text: string>>, listing_items int"
 )
+#: Fixed value: the container of a listing page, whose items lie below its second div.
+LISTING = "tabVB_lv1"
 
 
 class Node:
@@ -189,58 +192,99 @@ def table_metadata(root: Node) -> dict[str, str]:
     return out
 
 
-def extract(html: str | None) -> dict | None:
+def _children(node: Node, tag: str) -> list[Node]:
+    return [x for x in node.children if not isinstance(x, str) and x.tag == tag]
+
+
+def listing(root: Node) -> list[Node]:
+    """The items of a listing page's list."""
+    box = next((x for x in root.walk() if not isinstance(x, str) and x.attrs.get("id") == LISTING), None)
+    second = _children(box, "div")[1:2] if box is not None else []
+    return [li for d in second for ul in _children(d, "ul") for li in _children(ul, "li")]
+
+
+class Page:
+    """A parsed page: one walk sorts its nodes by tag; each field is made only if it is asked for."""
+
+    def __init__(self, html: str):
+        self.root = parse(html)
+        self.nodes = [x for x in self.root.walk() if not isinstance(x, str)]
+        self.tags: dict[str, list[Node]] = {}
+        for x in self.nodes:
+            self.tags.setdefault(x.tag, []).append(x)
+
+    def of(self, tag: str) -> list[Node]:
+        return self.tags.get(tag, [])
+
+    def title(self) -> str | None:
+        found = self.of("title")
+        return found[0].spaced() if found else None
+
+    def heading(self) -> str:
+        if h1 := self.of("h1"):
+            return h1[0].spaced()
+        named = (x for x in self.nodes if x.tag in ("h2", "strong", "b"))
+        return next((t for x in named if any(w in (t := x.spaced()) for w in TITLE_WORDS)), "")
+
+    def anchors(self) -> list[dict]:
+        listed = {id(a) for li in self.of("li") for a in li.find("a")}
+        return [{"href": a.attrs["href"].strip(), "text": a.spaced(), "in_list": id(a) in listed} for a in self.of("a") if "href" in a.attrs]
+
+    def clean_text(self) -> str:
+        node = full_text_node(self.root)
+        return clean_text(node) if node is not None else ""
+
+    def lines_text(self) -> str:
+        return "\n".join(self.root.strings())
+
+    def content(self) -> str:
+        candidates = [x.spaced() for kind, value in CONTENT for x in self.nodes if x.has(kind, value)]
+        body = self.of("body")
+        return max(candidates, key=len, default="") or (body[0] if body else self.root).spaced()
+
+    def attribute_blocks(self) -> list[str]:
+        return list(dict.fromkeys(x.spaced() for kind, value in ATTRIBUTES for x in self.nodes if x.has(kind, value)))
+
+    def metadata(self) -> dict[str, str]:
+        return table_metadata(self.root)
+
+    def list_items(self) -> int:
+        return len(self.of("li"))
+
+    def pager(self) -> list[str]:
+        return [h for d in self.of("div") if d.has("class", "paging") for a in d.find("a") if (h := a.attrs.get("href"))]
+
+    def listing(self) -> list[dict]:
+        return [
+            {"item": i, "href": a.attrs.get("href", "").strip(), "text": a.spaced()}
+            for i, li in enumerate(listing(self.root), 1) for d in _children(li, "div") for p in _children(d, "p") for a in _children(p, "a")
+        ]
+
+    def listing_items(self) -> int:
+        return len(listing(self.root))
+
+
+_TYPES = dict(re.findall(r"(\w+) (string|int|map<string,string>|array<string>|array<struct<[^>]*>>)(?:, |$)", SCHEMA))
+FIELDS = tuple(_TYPES)
+
+
+def extract(html: str | None, *fields: str) -> dict | None:
+    """The fields of a page, all of them unless some are named."""
     if html is None:
         return None
-    root = parse(html)
-    titles = root.find("title")
-    h1 = root.find("h1")
-    if h1:
-        heading = h1[0].spaced()
-    else:
-        heading = next((t for x in root.find("h2", "strong", "b") if any(w in (t := x.spaced()) for w in TITLE_WORDS)), "")
-    anchors = []
-    for a in root.find("a"):
-        if "href" in a.attrs:
-            p, inside = a.parent, False
-            while p is not None:
-                inside |= p.tag == "li"
-                p = p.parent
-            anchors.append({"href": a.attrs["href"].strip(), "text": a.spaced(), "in_list": inside})
-    node = full_text_node(root)
-    candidates = [x.spaced() for kind, value in CONTENT for x in root.walk() if not isinstance(x, str) and x.has(kind, value)]
-    body = root.find("body")
-    content = max(candidates, key=len, default="") or (body[0] if body else root).spaced()
-    blocks = []
-    for kind, value in ATTRIBUTES:
-        for x in root.walk():
-            if not isinstance(x, str) and x.has(kind, value) and (t := x.spaced()) not in blocks:
-                blocks.append(t)
-    return {
-        "title": titles[0].spaced() if titles else None,
-        "heading": heading,
-        "anchors": anchors,
-        "clean_text": clean_text(node) if node is not None else "",
-        "lines_text": "\n".join(root.strings()),
-        "content": content,
-        "attribute_blocks": blocks,
-        "metadata": table_metadata(root),
-        "list_items": len(root.find("li")),
-        "pager": [h for d in root.find("div") if d.has("class", "paging") for a in d.find("a") if (h := a.attrs.get("href"))],
-    }
-
-
-_KEYS = [f.split()[0] for f in re.sub(r"<[^<>]*(?:<[^<>]*>)*[^<>]*>", "", SCHEMA).split(", ")]
-
-
-def _extract(html: pd.Series) -> pd.DataFrame:
-    rows = [extract(h) or dict.fromkeys(_KEYS) for h in html]
-    return pd.DataFrame(rows, columns=_KEYS)
-
-
-def page(html: Column) -> Column:
-    """The struct of a page; all its fields are null for a null page."""
-    return F.pandas_udf(_extract, SCHEMA)(html)
+    p = Page(html)
+    return {f: getattr(p, f)() for f in fields or FIELDS}
+
+
+def page(html: Column, *fields: str) -> Column:
+    """The struct of a page's fields, all of them unless some are named; all are null for a null page."""
+    wanted = fields or FIELDS
+
+    def run(html: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([extract(h, *wanted) or dict.fromkeys(wanted) for h in html], columns=list(wanted))
+
+    run.__annotations__ = {"html": pd.Series, "return": pd.DataFrame}  # the types themselves, which the UDF reads
+    return F.pandas_udf(run, ", ".join(f"{f} {_TYPES[f]}" for f in wanted))(html)
 
 
 def labelled_links(html: str | None, label: str) -> list[dict]:

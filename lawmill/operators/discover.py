@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lawmill import dims
 from lawmill.functions import urls
 from lawmill.functions.text import looks_like_html, strip_bom
 from lawmill.operators.dedupe import first_wins
@@ -28,13 +29,11 @@ def fallback_sitemaps(spark: SparkSession, base: str, n: int) -> DataFrame:
 
 
 def first_nonempty(candidates: list[DataFrame]) -> DataFrame:
-    """The rows of the first candidate list that has any."""
-    tagged = [c.withColumn("_priority", F.lit(i)) for i, c in enumerate(candidates)]
-    every = tagged[0]
-    for t in tagged[1:]:
-        every = every.unionByName(t)
-    best = every.agg(F.min("_priority").alias("_best"))  # one row
-    return every.join(F.broadcast(best), F.col("_priority") == F.col("_best")).drop("_priority", "_best")
+    """The rows of the first candidate list that has any; later lists aren't evaluated."""
+    for c in candidates[:-1]:
+        if not c.isEmpty():
+            return c
+    return candidates[-1]
 
 
 def search_hits(pages: DataFrame) -> DataFrame:
@@ -57,10 +56,30 @@ def total_pages(pager: Column) -> Column:
 
 
 def listing_links(pages: DataFrame, base: str) -> DataFrame:
-    """(page_no, url, title) of every document in the list of a listing page, each URL once a page."""
-    a = pages.select("page_no", F.posexplode("anchors").alias("pos", "a")).where("a.in_list")
-    a = a.select("page_no", "pos", urls.absolutise(F.col("a.href"), base).alias("url"), F.col("a.text").alias("title")).where(urls.is_detail(F.col("url")))
-    return first_wins(a, ["page_no", "url"], ["pos"]).select("page_no", "url", "title")
+    """(..., pos, url, title) of every document in the list of listing pages (..., listing), in order; links elsewhere on the page don't count."""
+    keys = [c for c in pages.columns if c != "listing"]
+    a = pages.select(*keys, F.posexplode("listing").alias("pos", "a")).where(F.col("a.href") != "")
+    return a.select(*keys, "pos", urls.absolutise(F.col("a.href"), base).alias("url"), F.col("a.text").alias("title")).where(urls.is_detail(F.col("url")))
+
+
+def result_count(listing: Column, base: str) -> Column:
+    """How many documents a listing page's list links to; a page with none has no results, whatever its menus hold."""
+    return F.size(F.filter(listing, lambda a: (a["href"] != "") & urls.is_detail(urls.absolutise(a["href"], base))))
+
+
+def listing_items(pages: DataFrame, base: str) -> DataFrame:
+    """(..., item, url, title): of every item of listing pages (..., listing) the first link, the host put before it unchecked."""
+    keys = [c for c in pages.columns if c != "listing"]
+    a = pages.select(*keys, F.posexplode("listing").alias("pos", "a"))
+    a = a.select(*keys, "pos", F.col("a.item").alias("item"), urls.prefix_host(F.col("a.href"), base).alias("url"), F.col("a.text").alias("title"))
+    return first_wins(a, [*keys, "item"], ["pos"]).drop("pos")
+
+
+def department_jobs(spark: SparkSession, base: str, page: int = 1) -> DataFrame:
+    """(department, doc_type_id, doc_type_name, url) of every department and document type: a product of two fixed lists."""
+    types = F.explode(F.array(*(F.struct(F.lit(i).alias("doc_type_id"), F.lit(n).alias("doc_type_name")) for i, n in dims.DOC_TYPES.items())))
+    d = dims.departments(spark).select("department", types.alias("t")).select("department", "t.*")
+    return d.withColumn("url", urls.listing_url(base, F.col("department"), F.col("doc_type_id"), F.lit(dims.UNIT), F.lit(page)))
 
 
 def jobs(pages: DataFrame) -> DataFrame:

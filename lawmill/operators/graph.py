@@ -16,7 +16,8 @@ def reachable(edges: DataFrame, start: DataFrame, max_depth: int, leaf: Column |
     ``max_discovered`` nodes are known; each level is a written table, so a lost executor costs no
     recomputation of earlier levels, and only counts reach the driver.
     """
-    edges = edges.select("src", "dst").where("src is not null and dst is not null").distinct()
+    # every level reads the links: distinct once, and written
+    edges = stage(edges.select("src", "dst").where("src is not null and dst is not null").distinct(), "bfs-edges")
     seen = stage(start.select("node", F.lit(0).alias("depth")).distinct(), "bfs")
     frontier = seen
     known = seen.count()

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lawmill.functions.text import percent
+from lawmill.operators.dedupe import global_rank
+
+#: Batches whose running sums one task makes.
+GROUP = 10_000
 
 
 def status_counts(state: DataFrame) -> DataFrame:
@@ -24,12 +29,35 @@ def status_share(state: DataFrame) -> DataFrame:
     return shares.unionByName(totals.select("doc_type", F.lit("TOTAL").alias("status"), F.col("total").alias("n"), F.lit(100.0).alias("share")))
 
 
-def progress(errors: DataFrame, started: Column, target: int) -> DataFrame:
-    """Attempts, elapsed seconds, rate and seconds left to ``target`` by stage."""
-    a = errors.groupBy("stage").agg(F.count("*").alias("attempts"), F.max("at").alias("last"))
+def progress(errors: DataFrame, started: Column, target: int, saved: Column | None = None, max_documents: int | None = None) -> DataFrame:
+    """Attempts, elapsed seconds, rate and seconds left by stage: to ``target`` attempts by their rate, or to ``max_documents``
+    saved ones by theirs, if that many are wanted; ``eta_scope`` says which. ``saved`` tells the attempts that were."""
+    ok = F.lit(True) if saved is None else F.coalesce(saved, F.lit(False))
+    a = errors.groupBy("stage").agg(F.count("*").alias("attempts"), F.count_if(ok).alias("saved"), F.max("at").alias("last"))
     a = a.withColumn("elapsed", (F.unix_micros("last") - F.unix_micros(started)) / 1e6)
-    rate = F.when(F.col("elapsed") > 0, F.col("attempts") / F.col("elapsed")).otherwise(0.0)
-    return a.withColumn("rate", rate).withColumn("eta", F.when(F.col("rate") > 0, F.greatest(F.lit(target) - F.col("attempts"), F.lit(0)) / F.col("rate"))).drop("last")
+    per = lambda c: F.when(F.col("elapsed") > 0, F.col(c) / F.col("elapsed")).otherwise(0.0)
+    a = a.withColumn("rate", per("attempts")).withColumn("saved_rate", per("saved"))
+    goal, counted, rate, scope = (target, "attempts", "rate", "sitemap") if max_documents is None else (max_documents, "saved", "saved_rate", "max_documents")
+    left = F.greatest(F.lit(goal) - F.col(counted), F.lit(0))
+    return a.withColumn("eta", F.when(F.col(rate) > 0, left / F.col(rate))).withColumn("eta_scope", F.lit(scope)).drop("last")
+
+
+def batch_counts(results: DataFrame, batch: Column, ok: Column) -> DataFrame:
+    """(batch, done, failed, done_so_far, failed_so_far) of the results of a phase, by batch number: one row a batch."""
+    b = results.groupBy(batch.alias("batch")).agg(F.count_if(ok).alias("done"), F.count_if(~ok).alias("failed"))
+    ranked = global_rank(b, ["batch"], "_r")
+    w = W.partitionBy(F.floor((F.col("_r") - 1) / GROUP)).orderBy("_r").rowsBetween(W.unboundedPreceding, W.currentRow)
+    inside = ranked.withColumn("_g", F.floor((F.col("_r") - 1) / GROUP)).withColumn("_d", F.sum("done").over(w)).withColumn("_f", F.sum("failed").over(w))
+    sums = inside.groupBy("_g").agg(F.sum("done").alias("_sd"), F.sum("failed").alias("_sf"))
+    before = W.orderBy("_g").rowsBetween(W.unboundedPreceding, -1)  # one row for every GROUP batches
+    sums = sums.select("_g", F.coalesce(F.sum("_sd").over(before), F.lit(0)).alias("_sd"), F.coalesce(F.sum("_sf").over(before), F.lit(0)).alias("_sf"))
+    return inside.join(sums, "_g").select("batch", "done", "failed", (F.col("_d") + F.col("_sd")).alias("done_so_far"), (F.col("_f") + F.col("_sf")).alias("failed_so_far"))
+
+
+def observed(df: DataFrame, name: str, **counts: Column) -> tuple[DataFrame, Observation]:
+    """The plan with counters that cost no pass of their own: whatever action runs it fills the observation."""
+    o = Observation(name)
+    return df.observe(o, F.count(F.lit(1)).alias("rows"), *(F.count_if(c).alias(k) for k, c in counts.items())), o
 
 
 def catalogue_entries(text: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lawmill.operators.dedupe import first_wins, global_rank
+from lawmill.session import stage
 
 
 def until_first_empty(pages: DataFrame, job: Sequence[str], page: str, size: str) -> DataFrame:
@@ -35,7 +36,7 @@ def batches(df: DataFrame, order: Sequence[str], size: int) -> DataFrame:
 
 def until_successes(attempts: DataFrame, order: Sequence[str], ok: Column, limit: int) -> DataFrame:
     """Attempts in order up to the one that brings the limit of successes, which is the last kept."""
-    ranked = global_rank(attempts.withColumn("_ok", ok), order, "_r")
+    ranked = stage(global_rank(attempts.withColumn("_ok", ok), order, "_r"), "ranked")  # read for the count and for the cut
     success = global_rank(ranked.where("_ok").select("_r"), ["_r"], "_s")
     end = success.where(F.col("_s") == limit).agg(F.min("_r").alias("_end")).first()._end  # one number
     kept = ranked if end is None else ranked.where(F.col("_r") <= end)

@@ -33,9 +33,10 @@ INSTANT, DAY = "instant", "day"
 DAY_ZONE = timezone(timedelta(hours=7))
 EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 
-#: Zone abbreviations that stand for one offset in this data's part of the world, in minutes.
+#: Zone abbreviations that stand for one offset, in minutes; those of several zones (CST, BST, IST) determine none.
 ABBREVIATIONS = {
     "UTC": 0, "GMT": 0, "Z": 0, "ICT": 420, "CET": 60, "CEST": 120, "EST": -300, "EDT": -240, "AEST": 600, "AEDT": 660, "JST": 540,
+    "EET": 120, "EEST": 180, "MSK": 180, "WIB": 420, "SGT": 480, "HKT": 480, "KST": 540, "CDT": -300, "MST": -420, "MDT": -360, "PST": -480, "PDT": -420,
 }
 MONTHS = {m: i + 1 for i, m in enumerate("jan feb mar apr may jun jul aug sep oct nov dec".split())}
 WEEKDAYS = ("mon", "tue", "wed", "thu", "fri", "sat", "sun")
@@ -236,7 +237,8 @@ def normalise_times(values: DataFrame, dictionary: TimestampDictionary) -> DataF
     usual = F.when(F.col("kind") == INSTANT, usual_instant(F.col("raw"))).otherwise(usual_day(F.col("raw")))
     values = values.withColumn("usual", F.coalesce(usual, F.lit(False)))
     odd = values.where(~F.col("usual") & F.col("raw").isNotNull())
-    found = dictionary.extend(odd).withColumnRenamed("norm", "_norm").withColumnsRenamed({"kind": "_k", "raw": "_r", "zone": "_z"})
+    # two runs that append at once may both bring a key: one row of it joins
+    found = dictionary.extend(odd).groupBy(F.col("kind").alias("_k"), F.col("raw").alias("_r"), F.col("zone").alias("_z")).agg(F.min("norm").alias("_norm"))
     # usual values carry no key into the join: they can't gather in one task
     on = (F.when(~F.col("usual"), F.col("raw")) == F.col("_r")) & (F.col("kind") == F.col("_k")) & F.coalesce("zone", F.lit("")).eqNullSafe(F.coalesce("_z", F.lit("")))
     hit = odd.join(found, on, "left").withColumn("norm", F.col("_norm")).drop("_k", "_r", "_z", "_norm")

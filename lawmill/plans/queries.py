@@ -418,7 +418,7 @@ def doc_type_lookup(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""
-WITH w AS (SELECT DISTINCT item_id, CASE WHEN scope = 'trunguong' THEN 'tw' ELSE scope END AS scope FROM crawl_state WHERE item_id % 3 <> 0),
+WITH w AS (SELECT DISTINCT item_id, CASE WHEN scope = 'trunguong' THEN 'tw' ELSE scope END AS scope FROM crawl_state),
      p AS (SELECT DISTINCT item_id, scope, 'page ' || item_id || scope AS page FROM (SELECT item_id, CASE WHEN scope = 'trunguong' THEN 'botaichinh' ELSE scope END AS scope FROM crawl_state WHERE item_id % 2 = 0))
 SELECT w.item_id, w.scope, coalesce(o.page, CASE WHEN w.scope = 'tw' THEN f.page END) AS page, CASE WHEN o.page IS NOT NULL THEN w.scope WHEN w.scope = 'tw' AND f.page IS NOT NULL THEN 'botaichinh' END AS scope_used
 FROM w LEFT JOIN p o ON w.item_id = o.item_id AND w.scope = o.scope LEFT JOIN p f ON w.item_id = f.item_id AND f.scope = 'botaichinh'
@@ -426,7 +426,7 @@ FROM w LEFT JOIN p o ON w.item_id = o.item_id AND w.scope = o.scope LEFT JOIN p
 def fallback_scope_fetch(spark: SparkSession, d: str) -> DataFrame:
     s = read_table(spark, d, "crawl_state")
     moved = lambda to: F.when(F.col("scope") == "trunguong", to).otherwise(F.col("scope"))
-    wanted = s.where("item_id % 3 <> 0").select("item_id", moved("tw").alias("scope")).distinct()
+    wanted = s.select("item_id", moved("tw").alias("scope")).distinct()
     pages = s.where("item_id % 2 = 0").select("item_id", moved("botaichinh").alias("scope")).distinct()
     pages = pages.withColumn("page", F.concat(F.lit("page "), F.col("item_id").cast("string"), F.col("scope")))
     return metadata.with_fallback(wanted, pages, dims.CENTRAL_SCOPE, dims.FALLBACK_SCOPE)
@@ -503,20 +503,22 @@ def _detail_pages(spark: SparkSession, d: str) -> DataFrame:
         F.lit("<html><head><title>"), s(F.col("id")), F.lit("</title><script>if (a < b) {}</script></head><body><h1> "), s(m["so_hieu"]), F.lit(" </h1><!-- x --><ul>"), links,
         F.lit("</ul><table>"), row("Số hiệu", m["so_hieu"]), row("Loại văn bản", m["loai_van_ban"]), row("Người ký", m["nguoi_ky"]),
         F.lit('<tr><td>Tình trạng hiệu lực: '), s(m["tinh_trang"]), F.lit("</td></tr></table>"),
-        F.lit('<div id="toanvan"><p>Số <b>'), s(m["so_hieu"]), F.lit("</b><p>"), s(F.col("url")), F.lit('<br></div><div class="paging"><a href="javascript:Nexpage(\'divResultSearch\',\'7\');">7</a></div></body></html>'),
+        F.lit('<div id="toanvan"><p>Số <b>'), s(m["so_hieu"]), F.lit("</b><p>"), s(F.col("text")), F.lit("<br>"), s(F.col("url")), F.lit('<br></div><div class="paging"><a href="javascript:Nexpage(\'divResultSearch\',\'7\');">7</a></div></body></html>'),
     )
     return r.select("record_id", "id", "metadata", "attachments", "url", html.alias("html"))
 
 
-_M = "nullif(trim(coalesce(metadata['{f}'], '')), '')"
+_STRIPPED = "regexp_replace({v}, '^" + _BLANK + "+|" + _BLANK + "+$', '', 'g')"
+_M = "nullif(" + _STRIPPED.replace("{v}", "coalesce(metadata['{f}'], '')") + ", '')"
+_HEADING = "trim(regexp_replace(coalesce(metadata['so_hieu'], ''), '" + _BLANK + "+', ' ', 'g'))"
 
 
 @query(f"""
-SELECT record_id, id AS title, coalesce({_M.format(f='so_hieu')}, '') AS heading, {_M.format(f='so_hieu')} AS so_hieu, {_M.format(f='loai_van_ban')} AS loai_van_ban, {_M.format(f='nguoi_ky')} AS nguoi_ky,
-       7 AS pages, coalesce(len(attachments), 0)::INTEGER AS list_items FROM vbpl_records WHERE regexp_matches(coalesce(metadata['so_hieu'], ''), '^[ -~Đ]*$')
+SELECT record_id, id AS title, {_HEADING} AS heading, {_M.replace('{f}', 'so_hieu')} AS so_hieu, {_M.replace('{f}', 'loai_van_ban')} AS loai_van_ban, {_M.replace('{f}', 'nguoi_ky')} AS nguoi_ky,
+       7 AS pages, coalesce(len(attachments), 0)::INTEGER AS list_items FROM vbpl_records
 """)
 def html_metadata(spark: SparkSession, d: str) -> DataFrame:
-    p = _detail_pages(spark, d).where(F.coalesce(F.col("metadata")["so_hieu"], F.lit("")).rlike("^[ -~Đ]*$")).select("record_id", page(F.col("html")).alias("p"))
+    p = _detail_pages(spark, d).select("record_id", page(F.col("html"), "title", "heading", "metadata", "pager", "list_items").alias("p"))
     m = F.col("p.metadata")
     return p.select(
         "record_id", "p.title", "p.heading", m["so_hieu"].alias("so_hieu"), m["loai_van_ban"].alias("loai_van_ban"), m["nguoi_ky"].alias("nguoi_ky"), discover.total_pages(F.col("p.pager")).alias("pages"), F.col("p.list_items").alias("list_items"),
@@ -528,16 +530,20 @@ SELECT record_id, a.filename AS filename, 'https://congbo.example/tep/' || a.fil
 FROM (SELECT DISTINCT record_id, unnest(attachments) AS a FROM vbpl_records) WHERE regexp_matches(lower(a.filename), '\\.(docx?|pdf|zip|rar)$')
 """)
 def html_attachments(spark: SparkSession, d: str) -> DataFrame:
-    p = _detail_pages(spark, d).select("record_id", page(F.col("html"))["anchors"].alias("a"))
+    p = _detail_pages(spark, d).select("record_id", page(F.col("html"), "anchors")["anchors"].alias("a"))
     return p.select("record_id", F.explode(discover.attachments(F.col("a"), BASE)).alias("x")).select("record_id", "x.filename", "x.url", F.col("x.type").alias("kind"))
 
 
-@query("""
-SELECT record_id, 'Số' || coalesce(metadata['so_hieu'], '') || chr(10) || url AS clean_text FROM vbpl_records WHERE regexp_matches(coalesce(metadata['so_hieu'], ''), '^[!-~Đ]*$') AND url IS NOT NULL
+_CLEAN_PAGE = _STRIPPED.replace("{v}", "coalesce({c}, '')")
+
+
+@query(rf"""
+WITH p AS (SELECT record_id, 'Số' || {_CLEAN_PAGE.replace("{c}", "metadata['so_hieu']")} || chr(10) || {_CLEAN_PAGE.replace("{c}", "text")} || chr(10) || coalesce(url, '') || chr(10) AS t FROM vbpl_records),
+     q AS (SELECT record_id, regexp_replace(regexp_replace(t, '[ \t]+', ' ', 'g'), '\n{{3,}}', chr(10) || chr(10), 'g') AS t FROM p)
+SELECT record_id, {_STRIPPED.replace("{v}", "t")} AS clean_text FROM q
 """)
 def html_clean_text(spark: SparkSession, d: str) -> DataFrame:
-    p = _detail_pages(spark, d).where(F.coalesce(F.col("metadata")["so_hieu"], F.lit("")).rlike("^[!-~Đ]*$") & F.col("url").isNotNull())
-    return p.select("record_id", page(F.col("html"))["clean_text"].alias("clean_text"))
+    return _detail_pages(spark, d).select("record_id", page(F.col("html"), "clean_text")["clean_text"].alias("clean_text"))
 
 
 def _search_pages(spark: SparkSession, d: str) -> DataFrame:
@@ -553,7 +559,7 @@ WITH l AS (SELECT DISTINCT item_id, scope, item_id // 50 AS page_no FROM crawl_s
 SELECT page_no, item_id, scope, 'van ban ' || item_id AS title FROM f WHERE rn = 1
 """)
 def search_results(spark: SparkSession, d: str) -> DataFrame:
-    return discover.search_hits(_search_pages(spark, d).select("page_no", page(F.col("html"))["anchors"].alias("anchors")))
+    return discover.search_hits(_search_pages(spark, d).select("page_no", page(F.col("html"), "anchors")["anchors"].alias("anchors")))
 
 
 @query("SELECT DISTINCT split_part(url, '/', 5) AS section, url FROM tvpl_documents WHERE url IS NOT NULL")
@@ -582,19 +588,180 @@ def job_catalogue(spark: SparkSession, d: str) -> DataFrame:
     s = read_table(spark, d, "crawl_state").where("scope is not null").select("scope", (F.col("item_id") % 23).alias("t"), (F.col("item_id") % 7).alias("u")).distinct()
     link = F.concat(F.lit('<a href="?idLoaiVanBan='), F.col("t").cast("string"), F.lit("&amp;dvid="), F.col("u").cast("string"), F.lit('">x</a><a href="?dvid=&amp;idLoaiVanBan=3">y</a>'))
     sections = s.groupBy(F.col("scope").alias("slug")).agg(F.array_join(F.collect_list(link), "").alias("html"))  # 161 jobs at most
-    return discover.jobs(sections.select("slug", page(F.col("html"))["anchors"].alias("anchors")))
+    return discover.jobs(sections.select("slug", page(F.col("html"), "anchors")["anchors"].alias("anchors")))
+
+
+# --- crawls over the tables ---------------------------------------------------------------------
+
+LISTED = 40  # documents of a listing page
+
+
+def _listing_pages(spark: SparkSession, d: str) -> DataFrame:
+    """(slug, page_no, html): listing pages of every scope, with a menu that links to documents; the list holds those discovered only."""
+    s = read_table(spark, d, "crawl_state").where("scope is not null").select(F.col("scope").alias("slug"), F.expr(f"item_id div {LISTED}").alias("page_no"), "item_id", "status")
+    url = F.concat(F.lit("/"), "slug", F.lit("/Pages/vbpq-toanvan.aspx?ItemID="), F.col("item_id").cast("string"))
+    li = F.concat(F.lit('<li><div><p><a href=" '), url, F.lit('">Văn bản\n'), F.col("item_id").cast("string"), F.lit('</a></p><p><a href="/tep">kèm</a></p></div></li>'))
+    s = s.groupBy("slug", "page_no", "item_id").agg(F.count_if(F.col("status") == "discovered").alias("n")).withColumn("li", F.when(F.col("n") > 0, li))
+    items = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("item_id", "li"))), lambda x: F.coalesce(x["li"], F.lit(""))), "")  # LISTED a page
+    menu = '<ul><li><a href="/x/Pages/vbpq-toanvan.aspx?ItemID=0">mới</a></li></ul>'
+    html = F.concat(F.lit(f'{menu}<div id="tabVB_lv1"><div>đầu</div><div><ul>'), items, F.lit("</ul></div></div>"))
+    return s.groupBy("slug", "page_no").agg(html.alias("html"))
+
+
+_LISTED = f"""s AS (SELECT scope AS slug, item_id // {LISTED} AS page_no, item_id, count(*) FILTER (status = 'discovered') > 0 AS listed FROM crawl_state WHERE scope IS NOT NULL GROUP BY ALL),
+     n AS (SELECT slug, page_no, count(*) FILTER (listed) AS n FROM s GROUP BY ALL), stop AS (SELECT slug, min(page_no) AS stop FROM n WHERE n = 0 GROUP BY slug),
+     known AS (SELECT DISTINCT scope AS slug, item_id FROM crawl_state WHERE status = 'detail_done')"""
+_LISTED_URL = "'https://congbo.example/' || slug || '/Pages/vbpq-toanvan.aspx?ItemID=' || item_id"
+
+
+def _listing_parts(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(jobs, completed, pages, known_urls): the central scope's job is completed, documents with details are known."""
+    s, pages = read_table(spark, d, "crawl_state").where("scope is not null"), _listing_pages(spark, d)
+    known = s.where("status = 'detail_done'").select(urls.document_url(BASE, F.lit("vbpq"), F.col("scope"), F.col("item_id")).alias("url"))
+    jobs = s.select(F.col("scope").alias("slug"), "doc_type").distinct()
+    return jobs, jobs.where("slug = 'trunguong'").select("slug").distinct(), pages, known
+
+
+@query(f"""
+WITH {_LISTED}
+SELECT slug, page_no, {_LISTED_URL} AS url, 'Văn bản ' || item_id AS title FROM s LEFT JOIN stop USING (slug)
+WHERE listed AND slug <> 'trunguong' AND (stop IS NULL OR page_no < stop) AND NOT EXISTS (SELECT 1 FROM known k WHERE k.slug = s.slug AND k.item_id = s.item_id)
+""")
+def listing_crawl(spark: SparkSession, d: str) -> DataFrame:
+    return pipelines.listing_crawl(*_listing_parts(spark, d), pipelines.Options(base=BASE))
+
+
+@query(f"""
+WITH {_LISTED}, v AS (SELECT s.*, stop FROM s LEFT JOIN stop USING (slug) WHERE slug <> 'trunguong' AND (stop IS NULL OR page_no <= stop)),
+     j AS (SELECT DISTINCT scope AS slug, doc_type FROM crawl_state WHERE scope IS NOT NULL)
+SELECT (SELECT count(DISTINCT slug) FROM j) AS slugs_total, (SELECT count(*) FROM j) AS jobs_total, (SELECT count(DISTINCT slug) FROM j WHERE slug = 'trunguong') AS slugs_done, (SELECT count(*) FROM j WHERE slug = 'trunguong') AS jobs_done,
+       (SELECT count(*) FROM (SELECT DISTINCT slug, page_no FROM v)) AS pages_visited, count(*) FILTER (listed) AS candidate_links_found, 0 AS failures,
+       count(*) FILTER (listed AND NOT EXISTS (SELECT 1 FROM known k WHERE k.slug = v.slug AND k.item_id = v.item_id)) AS unique_detail_urls,
+       count(*) FILTER (listed AND EXISTS (SELECT 1 FROM known k WHERE k.slug = v.slug AND k.item_id = v.item_id)) AS duplicates_skipped FROM v
+""")
+def listing_counters(spark: SparkSession, d: str) -> DataFrame:
+    jobs, completed, pages, known = _listing_parts(spark, d)
+    return pipelines.listing_stats(jobs, completed, pages, known, pipelines.Options(base=BASE))
+
+
+@query(f"""
+WITH {_LISTED} SELECT slug, page_no, row_number() OVER (PARTITION BY slug, page_no ORDER BY item_id)::INTEGER AS item, {_LISTED_URL.replace("example/", "example /")} AS url, 'Văn bản ' || item_id AS title FROM s WHERE listed
+""".replace("example /", "example/"))
+def listing_items(spark: SparkSession, d: str) -> DataFrame:
+    p = _listing_pages(spark, d).select("slug", "page_no", page(F.col("html"), "listing")["listing"].alias("listing"))
+    return discover.listing_items(p, BASE)
+
+
+@query("SELECT d AS department, t.id::INTEGER AS doc_type_id, t.name AS doc_type_name, 'https://congbo.example/' || d || '/Pages/vanban.aspx?idLoaiVanBan=' || t.id || '&dvid=213&Page=1' AS url FROM unnest(["
+       + ", ".join(f"'{x}'" for x in dims.DEPARTMENTS) + "]) AS x(d), (VALUES " + ", ".join(f"({i}, '{n}')" for i, n in dims.DOC_TYPES.items()) + ") AS t(id, name)")
+def department_jobs(spark: SparkSession, d: str) -> DataFrame:
+    return discover.department_jobs(spark, BASE)
+
+
+@query("""
+SELECT item_id, scope, doc_type, status, CASE WHEN trim(coalesce(detail_json, '')) = '' THEN 'none' WHEN json_valid(detail_json) THEN 'object' ELSE 'text' END AS detail,
+       CASE WHEN json_valid(detail_json) AND trim(coalesce(detail_json, '')) <> '' THEN 'VBPL-' || item_id END AS record_id, count(*) AS n FROM crawl_state GROUP BY ALL
+""")
+def full_state_export(spark: SparkSession, d: str) -> DataFrame:
+    s = read_table(spark, d, "crawl_state")
+    progress = s.groupBy("doc_type").agg(F.count("*").alias("documents"))
+    _, documents = sinks.full_state(s, progress, F.current_timestamp(), "crawl_state")
+    v = F.parse_json("json")
+    kind = F.schema_of_variant(F.variant_get(v, "$.detail", "variant"))
+    get = lambda p, t: F.variant_get(v, p, t)
+    detail = F.when(kind.isNull() | (kind == "VOID"), "none").when(kind.startswith("OBJECT"), "object").otherwise("text")
+    out = documents.select(get("$.item_id", "bigint").alias("item_id"), get("$.scope", "string").alias("scope"), get("$.doc_type", "string").alias("doc_type"), get("$.status", "string").alias("status"), detail.alias("detail"), get("$.record.id", "string").alias("record_id"))
+    return out.groupBy(*out.columns).agg(F.count("*").alias("n"))
+
+
+@query("SELECT stage, count(*) AS attempts, count(url) AS saved, 'max_documents' AS eta_scope, count(url) / ((epoch_us(max(try_cast(when_utc AS TIMESTAMPTZ))) - epoch_us(TIMESTAMPTZ '2025-01-01 00:00:00+00')) / 1e6) AS saved_rate FROM crawl_errors GROUP BY stage")
+def saved_rates(spark: SparkSession, d: str) -> DataFrame:
+    e = read_table(spark, d, "crawl_errors").withColumn("at", F.col("when_utc").try_cast("timestamp"))
+    return reports.progress(e, F.lit("2025-01-01 00:00:00").cast("timestamp"), 0, F.col("url").isNotNull(), 1_000_000).select("stage", "attempts", "saved", "eta_scope", "saved_rate")
+
+
+@query("""
+WITH b AS (SELECT doc_id // 500 AS batch, count(*) FILTER (n_chars > 1000) AS done, count(*) FILTER (NOT coalesce(n_chars > 1000, false)) AS failed FROM documents GROUP BY 1)
+SELECT batch, done, failed, sum(done) OVER (ORDER BY batch)::BIGINT AS done_so_far, sum(failed) OVER (ORDER BY batch)::BIGINT AS failed_so_far FROM b
+""")
+def batch_counters(spark: SparkSession, d: str) -> DataFrame:
+    return reports.batch_counts(read_table(spark, d, "documents"), F.expr("doc_id div 500"), F.coalesce(F.col("n_chars") > 1000, F.lit(False)))
+
+
+def _sitemaps(spark: SparkSession, d: str) -> DataFrame:
+    """(sitemap_index, xml): sitemaps of twenty documents, in order of the key."""
+    t = read_table(spark, d, "tvpl_documents").where("url is not null").select((F.expr("row_id div 20") + 1).cast("int").alias("sitemap_index"), "row_id", "url")
+    locs = F.transform(F.array_sort(F.collect_list(F.struct("row_id", "url"))), lambda x: F.concat(F.lit("<url><loc>"), _escape(x["url"]), F.lit("</loc></url>")))
+    return t.groupBy("sitemap_index").agg(F.concat(F.lit("<urlset>"), F.array_join(locs, ""), F.lit("</urlset>")).alias("xml"))
+
+
+@query("""
+WITH s AS (SELECT (row_id // 20 + 1)::INTEGER AS sitemap_index, (row_number() OVER (PARTITION BY row_id // 20 ORDER BY row_id) - 1)::INTEGER AS document_index, url FROM tvpl_documents WHERE url IS NOT NULL)
+SELECT * FROM s WHERE sitemap_index >= 2 AND document_index >= CASE WHEN sitemap_index = 2 THEN 7 ELSE 0 END
+""")
+def sitemap_range(spark: SparkSession, d: str) -> DataFrame:
+    done = spark.createDataFrame([(2, 7)], "sitemap_index int, next_url_index int")
+    return pipelines.sitemap_urls(_sitemaps(spark, d), pipelines.Options(base=BASE, sitemap_start=2), done)
+
+
+@query("SELECT DISTINCT (row_id // 20 + 1)::INTEGER AS n, 'https://congbo.example/resitemap' || (row_id // 20 + 1) || '.xml' AS url FROM tvpl_documents WHERE url IS NOT NULL")
+def sitemap_links(spark: SparkSession, d: str) -> DataFrame:
+    i = F.col("sitemap_index").cast("string")
+    html = F.concat(F.lit('<a href="/resitemap'), i, F.lit('.xml">a</a><a href="https://congbo.example/resitemap'), i, F.lit('.XML?x=1">b</a><a href="resitemap'), i, F.lit('.xml">c</a><a href="/x.html">d</a>'))
+    p = _sitemaps(spark, d).select(F.col("sitemap_index").alias("n"), page(html, "anchors")["anchors"].alias("a"))
+    return p.select("n", F.explode(discover.sitemap_links(F.col("a"), BASE)).alias("url")).where(~F.col("url").contains("?"))
+
+
+@query(rf"""
+SELECT row_id::INTEGER AS document_index, url, {_HEADING.replace("metadata['so_hieu']", "title")} AS title, {_HEADING.replace("metadata['so_hieu']", "content_text")} AS content_text,
+       {_CLEAN.replace('{v}', 'attributes.so_hieu')} AS so_hieu, {_CLEAN.replace('{v}', 'attributes.tinh_trang')} AS tinh_trang FROM tvpl_documents
+""")
+def sitemap_documents(spark: SparkSession, d: str) -> DataFrame:
+    s = lambda c: _escape(F.coalesce(c, F.lit("")))
+    a = F.concat(F.lit("Số hiệu: "), s(F.col("attributes.so_hieu")), F.lit("<br>Tình trạng: "), s(F.col("attributes.tinh_trang")))
+    html = F.concat(F.lit("<title>"), s(F.col("title")), F.lit('</title><div id="divThuocTinh">'), a, F.lit('</div><div id="divNoiDung">'), s(F.col("content_text")), F.lit("</div>"))
+    t = read_table(spark, d, "tvpl_documents").select(F.col("row_id").cast("int").alias("document_index"), "url", html.alias("html"))
+    return pipelines.sitemap_documents(t, F.lit("now")).select("document_index", "url", "title", "content_text", "attributes.so_hieu", "attributes.tinh_trang")
+
+
+@query("""
+WITH w AS (SELECT DISTINCT item_id, scope FROM crawl_state WHERE status = 'discovered' AND scope IS NOT NULL), d AS (SELECT item_id, scope, any_value(error_message) IS NOT NULL AS bad FROM crawl_state WHERE status = 'failed' GROUP BY ALL)
+SELECT w.item_id, w.scope, CASE WHEN d.item_id IS NOT NULL THEN 'failed' ELSE 'detail_done' END AS status, CASE WHEN d.item_id IS NULL THEN '7/' || w.item_id END AS so_hieu,
+       CASE WHEN d.item_id IS NULL THEN 'https://congbo.example/' || w.scope || '/Pages/vbpq-toanvan.aspx?ItemID=' || w.item_id END AS url FROM w LEFT JOIN d ON w.item_id = d.item_id AND w.scope = d.scope
+""")
+def detail_phase(spark: SparkSession, d: str) -> DataFrame:
+    s = read_table(spark, d, "crawl_state").where("scope is not null")
+    wanted = s.where("status = 'discovered'").select("item_id", "scope").distinct().withColumn("doc_type", F.lit("vbpq"))
+    failed = s.where("status = 'failed'").select("item_id", "scope").distinct().withColumn("bad", F.lit(True))
+    keys = wanted.join(failed, ["item_id", "scope"], "left")
+    details = keys.select("item_id", "scope", F.when(F.col("bad"), F.lit("<p>Không tìm thấy văn bản</p>")).otherwise(F.lit('<div id="toanvan">nội dung</div>')).alias("page"))
+    row = F.concat(F.lit('<table><tr><td class="label">Số hiệu</td><td>7/'), F.col("item_id").cast("string"), F.lit("</td></tr></table>"))
+    attributes = keys.select("item_id", "scope", row.alias("page"))
+    done = pipelines.detailed(wanted, details, attributes, pipelines.Options(base=BASE))
+    now = F.lit("2025-01-01 00:00:00").cast("timestamp")
+    state = wanted.select("item_id", "scope", "doc_type", F.lit("discovered").alias("status"), *(F.lit(None).cast("string").alias(c) for c in ("detail_json", "error_message")), now.alias("updated_at"))
+    after = pipelines.apply_details(state, done, now)
+    return after.select("item_id", "scope", "status", F.get_json_object("detail_json", "$.metadata.so_hieu").alias("so_hieu"), F.get_json_object("detail_json", "$.metadata.source_url").alias("url"))
+
+
+@query("""
+SELECT page_id, starts_with(url, regexp_extract(url, '^([A-Za-z]+://[^/]+/[^/]+)', 1)) AS own, contains(lower(url), 'vbpq-toanvan.aspx') AS priority, contains(lower(url), 'vbpq-toanvan.aspx') AND url IS NOT NULL AS leaf FROM ministry_pages WHERE url IS NOT NULL
+""")
+def site_links(spark: SparkSession, d: str) -> DataFrame:
+    u = F.col("url")
+    return read_table(spark, d, "ministry_pages").where("url is not null").select("page_id", urls.same_site(u, F.regexp_extract(u, r"^([A-Za-z]+://[^/]+/[^/]+)", 1)).alias("own"), urls.is_priority(u).alias("priority"), urls.is_priority(u).alias("leaf"))
 
 
 # --- graph, sources, streams --------------------------------------------------------------------
 
 
 @query("""
-WITH RECURSIVE e AS (SELECT DISTINCT l_orderkey % 997 AS src, l_partkey % 997 AS dst FROM lineitem WHERE l_linenumber = 1 AND l_orderkey % 5 = 0),
+WITH RECURSIVE e AS (SELECT DISTINCT l_orderkey % 997 AS src, l_partkey % 997 AS dst FROM lineitem),
 r(node, depth) AS (SELECT 0::BIGINT, 0 UNION SELECT dst, depth + 1 FROM r JOIN e ON node = src WHERE depth < 4)
 SELECT node, min(depth) AS depth FROM r GROUP BY node
 """)
 def bfs_reachable(spark: SparkSession, d: str) -> DataFrame:
-    e = read_table(spark, d, "lineitem").where("l_linenumber = 1 and l_orderkey % 5 = 0").select((F.col("l_orderkey") % 997).alias("src"), (F.col("l_partkey") % 997).alias("dst"))
+    e = read_table(spark, d, "lineitem").select((F.col("l_orderkey") % 997).alias("src"), (F.col("l_partkey") % 997).alias("dst"))
     return graph.reachable(e, spark.range(1).select(F.col("id").alias("node")), 4)
 
 
@@ -633,13 +800,12 @@ def resume_stream(spark: SparkSession, d: str) -> DataFrame:
     return out.groupBy("event_type").agg(F.count("*").alias("n"))
 
 
-@query(f"SELECT status, count(*) AS n FROM ({_LATEST}) WHERE updated_at IS NOT NULL GROUP BY status")
+@query(f"SELECT status, doc_type, count(*) AS n, count(detail_json) AS details FROM ({_LATEST}) GROUP BY ALL")
 def merge_state_stream(spark: SparkSession, d: str) -> DataFrame:
-    s, base = read_table(spark, d, "crawl_state").drop("detail_json"), stage_path(spark, "merge")
-    schema = "item_id bigint, scope string, doc_type string, status string, error_message string, discovered_at timestamp, updated_at timestamp"
-    order = ["updated_at", "discovered_at", "status", "error_message", "doc_type"]
+    s, base = read_table(spark, d, "crawl_state"), stage_path(spark, "merge")
+    schema = "item_id bigint, scope string, doc_type string, status string, detail_json string, error_message string, discovered_at timestamp, updated_at timestamp"
+    order = ["updated_at", "discovered_at", *(F.coalesce(c, F.lit("")) for c in ("status", "detail_json", "error_message", "doc_type"))]
     for part in (0, 1):
         s.where(F.pmod(F.xxhash64("item_id", "scope", "status"), F.lit(2)) == part).write.mode("append").parquet(f"{base}/in")
         out = resume.merge_state(spark, f"{base}/in", schema, f"{base}/state", f"{base}/checkpoint", ["item_id", "scope"], order)
-    return out.where("updated_at is not null").groupBy("status").agg(F.count("*").alias("n"))
-
+    return out.groupBy("status", "doc_type").agg(F.count("*").alias("n"), F.count("detail_json").alias("details"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -60,9 +61,28 @@ def shared_dir(spark: SparkSession) -> str:
     return d
 
 
+_to_remove: set[str] = set()
+
+
 def stage_path(spark: SparkSession, name: str) -> str:
-    """A fresh path for a written intermediate table."""
-    return f"{shared_dir(spark)}/lawmill/{name}-{uuid.uuid4().hex}"
+    """A fresh path for a written intermediate table, in the application's folder, which goes when the driver's process ends."""
+    folder = f"{shared_dir(spark)}/lawmill/{spark.sparkContext.applicationId}"
+    if folder not in _to_remove:
+        _to_remove.add(folder)
+        atexit.register(remove_stages, spark, folder)
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_stages(spark: SparkSession, folder: str | None = None) -> None:
+    """The staged tables of an application deleted, this one's by default; what was made of them can't be read any more."""
+    folder = folder or f"{shared_dir(spark)}/lawmill/{spark.sparkContext.applicationId}"
+    try:
+        sc = spark.sparkContext
+        path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(sc._jvm.org.apache.hadoop.conf.Configuration()).delete(path, True)
+    except Exception:  # noqa: BLE001 - the process is ending, and so may be its JVM
+        pass
+    _to_remove.discard(folder)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

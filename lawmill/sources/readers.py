@@ -23,6 +23,13 @@ def json_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("multiLine", "true").json(path)
 
 
+def table_or_none(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
+    """A table that an earlier run may have left."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    there = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    return spark.read.format(fmt).load(path) if there else None
+
+
 def known_keys(spark: SparkSession, path: str, schema: str, key: str) -> DataFrame:
     """The distinct non-empty values of a key in an output written earlier."""
     return jsonl(spark, path, schema).where(F.trim(F.coalesce(key, F.lit(""))) != "").select(key).distinct()

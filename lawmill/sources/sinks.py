@@ -7,7 +7,7 @@ from collections.abc import Iterator
 from pathlib import Path
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lawmill.functions.text import retry_shard, shard_name
@@ -40,7 +40,7 @@ def retry_shards(documents: DataFrame, folder: str) -> None:
 def split_envelopes(envelopes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(documents, errors) of worker results (document_index, url, ok, doc, error)."""
     good = envelopes.where("ok").select("document_index", "url", "doc.*") if "doc" in envelopes.columns else envelopes.where("ok").drop("error")
-    return good, envelopes.where("not ok").select("document_index", "url", "error")
+    return good, envelopes.where("not ok").drop("ok", "doc")
 
 
 def export_records(state: DataFrame, doc_type: str) -> DataFrame:
@@ -58,6 +58,35 @@ def state_documents(state: DataFrame) -> DataFrame:
     return state.select("item_id", "scope", F.concat(F.regexp_replace(head, r"\}$", ""), F.lit(',"detail":'), detail, F.lit("}")).alias("json"))
 
 
+def full_state(state: DataFrame, crawl_progress: DataFrame, now: Column, source: str) -> tuple[DataFrame, DataFrame]:
+    """(header, documents) of an export of the whole state: one JSON object of generated_at, source and crawl_progress
+    (one entry a document type), and a JSON line a document in order of type and item, with the detail as an object where it
+    parses, else as the raw string, and the output record made of it."""
+    progress = F.sort_array(F.collect_list(F.struct(*crawl_progress.columns)))
+    header = crawl_progress.agg(progress.alias("crawl_progress")).select(F.to_json(F.struct(now.alias("generated_at"), F.lit(source).alias("source"), "crawl_progress")).alias("json"))
+    detail = F.try_parse_json("detail_json")
+    parsed = F.from_json("detail_json", "text string, metadata map<string,string>, attachment_urls array<struct<filename: string, url: string, type: string>>")
+    record = F.when(detail.isNotNull(), F.struct(
+        F.concat(F.lit("VBPL-"), F.col("item_id").cast("string")).alias("id"), parsed["text"].alias("text"), parsed["metadata"].alias("metadata"), parsed["attachment_urls"].alias("attachments"),
+        parsed["metadata"]["ngay_ban_hanh"].alias("created_timestamp"), F.col("updated_at").alias("downloaded_timestamp"), parsed["metadata"]["source_url"].alias("url"),
+    ))
+    head = F.to_json(F.struct("item_id", "scope", "doc_type", "status", "error_message", "discovered_at", "updated_at", record.alias("record")), {"ignoreNullFields": "false"})
+    text = F.when(F.trim(F.coalesce("detail_json", F.lit(""))) == "", F.lit("null")).when(detail.isNotNull(), F.trim("detail_json")).otherwise(_json_string(F.col("detail_json")))
+    documents = state.select("doc_type", "item_id", "scope", F.concat(F.substring(head, F.lit(1), F.length(head) - 1), F.lit(',"detail":'), text, F.lit("}")).alias("json"))
+    return header, documents.orderBy("doc_type", "item_id", "scope")
+
+
+def _json_string(c: Column) -> Column:
+    whole = F.to_json(F.struct(c.alias("x")))
+    return F.substring(whole, F.lit(6), F.length(whole) - 6)
+
+
+def append_errors(envelopes: DataFrame, stage: str, now: Column, folder: str) -> None:
+    """The failures among worker results appended to the error log, with their stage."""
+    _, bad = split_envelopes(envelopes)
+    bad.select(now.alias("when_utc"), F.lit(stage).alias("stage"), *bad.columns).write.mode("append").json(folder)
+
+
 def missing_files(attachments: DataFrame, on_disk: DataFrame) -> DataFrame:
     """Attachments (item_id, filename, ...) that aren't on disk (item_id, filename, length) or are empty there."""
     return attachments.join(on_disk.where("length > 0").select("item_id", "filename"), ["item_id", "filename"], "left_anti")

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 
 def run_once(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str) -> None:
@@ -33,28 +35,70 @@ def resume_files(spark: SparkSession, folder: str, schema: str, out: str, checkp
     return spark.read.parquet(out)
 
 
-def merge_state(spark: SparkSession, folder: str, schema: str, state_path: str, checkpoint: str, keys: Sequence[str], order: Sequence[str], fmt: str = "parquet") -> DataFrame:
+BUCKETS = 64
+
+
+def merge_state(spark: SparkSession, folder: str, schema: str, state_path: str, checkpoint: str, keys: Sequence[str], order: Sequence[str | Column], fmt: str = "parquet", buckets: int = BUCKETS) -> DataFrame:
     """State events of a folder merged into a state table by foreachBatch: per key the last event wins.
 
-    Each batch writes a new version of the table and then its number, so that a batch replayed
-    after a failure gives the same table.
+    The table lies in hash buckets of its keys. A batch writes a new version of the buckets it touches and of no
+    others; the newest whole version of a bucket counts, and older ones are removed once it is there. Versions are numbered by what the
+    folder holds, so a new checkpoint adds to a state that is there, and a batch replayed after a failure gives the same table.
     """
     from lawmill.operators.dedupe import last_wins
 
-    def version(n: int) -> str:
-        return f"{state_path}/v{n}"
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(state_path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def versions() -> tuple[int, dict[int, int]]:
+        """The highest version begun, and of each bucket the newest that was written whole."""
+        top, newest = -1, {}
+        for v in fs.listStatus(root) if fs.exists(root) else []:
+            n = int(v.getPath().getName()[1:])
+            top = max(top, n)
+            if fs.exists(jvm.org.apache.hadoop.fs.Path(v.getPath(), "_SUCCESS")):
+                for b in fs.listStatus(v.getPath()):
+                    name = b.getPath().getName()
+                    if name.startswith("_bucket="):
+                        newest[int(name[8:])] = max(n, newest.get(int(name[8:]), -1))
+        return top, newest
 
-    def sink(batch: DataFrame, n: int) -> None:
-        known = spark.read.schema(schema).parquet(version(n - 1)) if n else None
-        every = batch if known is None else known.unionByName(batch)
-        last_wins(every, keys, order).write.mode("overwrite").parquet(version(n))
-        latest[0] = n
+    def read(places: dict[int, int]) -> DataFrame:
+        paths = [f"{state_path}/v{n}/_bucket={b}" for b, n in sorted(places.items())]
+        return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+
+    def sink(batch: DataFrame, _: int) -> None:
+        top, newest = versions()
+        bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+        touched = [r[0] for r in batch.select(bucket).distinct().collect()]  # at most ``buckets`` numbers
+        if not touched:
+            return
+        known = read({b: n for b, n in newest.items() if b in touched})
+        last_wins(known.unionByName(batch), keys, order).withColumn("_bucket", bucket).repartition(len(touched), "_bucket").write.mode("overwrite").partitionBy("_bucket").parquet(f"{state_path}/v{top + 1}")
+        for b in touched:
+            if b in newest:
+                fs.delete(jvm.org.apache.hadoop.fs.Path(f"{state_path}/v{newest[b]}/_bucket={b}"), True)
 
-    latest = [-1]
     run_once(spark.readStream.schema(schema).format(fmt).load(folder), sink, checkpoint)
-    if latest[0] < 0:
-        jvm = spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(state_path)
-        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        latest[0] = max((int(f.getPath().getName()[1:]) for f in fs.listStatus(path)), default=-1) if fs.exists(path) else -1
-    return spark.read.schema(schema).parquet(version(latest[0])).withColumn("_v", F.lit(latest[0])).drop("_v")
+    return read(versions()[1])
+
+
+class ProgressLog(StreamingQueryListener):
+    """Logs of every micro-batch how many rows came and how fast they went, and how a query ended."""
+
+    def __init__(self, log: logging.Logger | None = None):
+        self.log = log or logging.getLogger("lawmill.streaming")
+
+    def onQueryStarted(self, event) -> None:
+        self.log.info("started %s", event.id)
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        self.log.info("batch %s: %s rows, %s rows/s", p.batchId, p.numInputRows, p.processedRowsPerSecond)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.log.info("ended %s%s", event.id, f": {event.exception}" if event.exception else "")

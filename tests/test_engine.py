@@ -119,7 +119,7 @@ def test_fetch_retries_only_what_may_pass():
 
     slept = []
     got = {u: http.attempt(u, fetch, 2, 1.0, slept.append) for u in ("ok", "gone", "busy", "bad")}
-    assert got["ok"][1:3] == (200, b"x") and got["gone"][4] == 1 and got["busy"][4] == 3 and got["bad"][3] == "reset"
+    assert got["ok"][2:4] == (200, b"x") and got["gone"][5] == 1 and got["busy"][5] == 3 and got["bad"][4] == "reset"
     assert calls.count("gone") == 1 and calls.count("busy") == 3
 
 
@@ -157,10 +157,17 @@ def test_sitemap_and_listing_crawls(spark):
     html = '<title>T</title><div id="divThuocTinh">Số hiệu: 5 Loại văn bản: Luật</div><div id="divNoiDung">nội dung dài hơn</div>'
     d = pipelines.sitemap_documents(spark.createDataFrame([(0, "u", html), (1, "v", None)], "document_index int, url string, html string"), F.lit("now")).orderBy("document_index").collect()
     assert d[0].attributes.so_hieu == "5" and d[0].content_text == "nội dung dài hơn" and d[0].content_length == 16 and d[1].content_text is None
-    li = lambda i: f'<li><a href="/x/vbpq-toanvan.aspx?ItemID={i}">t{i}</a></li>'
-    pages = spark.createDataFrame([("s", 1, li(1) + li(1)), ("s", 2, "<p>"), ("s", 3, li(3)), ("done", 1, li(4))], "slug string, page_no int, html string")
-    got = pipelines.listing_crawl(pages.select("slug"), spark.createDataFrame([("done",)], "slug string"), pages, spark.createDataFrame([], "url string"), o)
-    assert [r.title for r in got.collect()] == ["t1"]
+    menu = '<ul><li><a href="/x/vbpq-toanvan.aspx?ItemID=9">menu</a></li></ul>'
+    li = lambda i: f'<li><div><p><a href="/x/vbpq-toanvan.aspx?ItemID={i}">t{i}</a></p></div></li>'
+    box = lambda items: f'{menu}<div id="tabVB_lv1"><div>head</div><div><ul>{items}</ul></div></div>'
+    pages = spark.createDataFrame([("s", 1, box(li(1) + li(1))), ("s", 2, menu), ("s", 3, box(li(3))), ("done", 1, box(li(4))), ("t", 1, box(li(5))), ("t", 2, box(li(6))), ("t", 3, box(""))], "slug string, page_no int, html string")
+    done, none = spark.createDataFrame([("done",)], "slug string"), spark.createDataFrame([], "url string")
+    got = pipelines.listing_crawl(pages.select("slug"), done, pages, none, o)
+    assert sorted(r.title for r in got.collect()) == ["t1", "t5", "t6"]
+    left_at = spark.createDataFrame([("t", 1)], "slug string, last_page int")
+    assert sorted(r.title for r in pipelines.listing_crawl(pages.select("slug"), done, pages, none, o, left_at).collect()) == ["t1", "t6"]
+    s = pipelines.listing_stats(pages.select("slug").distinct(), done, pages, none, o).first().asDict()
+    assert s == {"slugs_total": 3, "jobs_total": 3, "slugs_done": 1, "jobs_done": 1, "pages_visited": 5, "candidate_links_found": 4, "failures": 0, "unique_detail_urls": 3, "duplicates_skipped": 1}
 
 
 def test_replay_and_envelopes(spark):
@@ -239,3 +246,114 @@ def test_command_line(spark, tmp_path):
     spark.createDataFrame([(1, "<loc>u</loc>")], "sitemap_index int, xml string").write.parquet(p("m"))
     main(["sitemap", p("m"), p("u"), "--end", "3"])
     assert spark.read.parquet(p("u")).first().url == "u"
+
+
+def test_challenges_missing_bodies_and_sessions():
+    from datetime import datetime, timezone
+
+    class Turning:
+        turn = 0
+
+        def rotate(self):
+            self.turn += 1
+
+        def __call__(self, url, timeout, form=None):
+            return (200, b"Just a moment... Cloudflare", {}) if self.turn < 2 else (200, (form or "page").encode(), {})
+
+    f = Turning()
+    assert http.attempt("u", f, 3, 1.0, lambda s: None, "a=1")[2:] == (200, b"a=1", None, 3) and f.turn == 2
+    assert http.attempt("u", Turning(), 0, 1.0, lambda s: None)[4] == "challenge page"
+    missing = lambda url, t: (200, "Không tìm thấy văn bản".encode(), {})
+    assert http.attempt("u", missing, 0, 1.0, None, missing=True)[2:5] == (404, None, "status 404")
+    assert http.attempt("u", missing, 0, 1.0, None)[2] == 200
+    now = lambda: datetime(2025, 1, 1, tzinfo=timezone.utc)
+    assert [http.asked_pause({"retry-after": v}, now) for v in ("7", "Wed, 01 Jan 2025 00:00:30 GMT", "soon", "-3")] == [7.0, 30.0, 0.0, 0.0]
+    assert isinstance(http.transport("urllib")(), http.Session) and http.transport("auto")().turn == 0
+
+
+def site(url, timeout, form=None):
+    """A site of three documents on two search pages, two sitemaps and one attachment."""
+    hit = lambda i: f'<a href="/tw/Pages/vbpq-toanvan.aspx?ItemID={i}">d{i}</a>'
+    if form is not None:
+        if "HN" in form:
+            return 200, b"", {}
+        number = form.rsplit("page=", 1)[1]
+        pager = "<div class=paging><a href=\"javascript:Nexpage('divResultSearch','2');\">2</a></div>"
+        return 200, {"1": hit(1) + hit(2) + pager, "2": hit(3)}[number].encode(), {}
+    if url.endswith("index"):
+        return 200, b'<a href="/resitemap1.xml">a</a><a href="/resitemap2.xml">b</a>', {}
+    if url.endswith(".xml"):
+        n = url[-5]
+        return 200, f"\ufeff<u><loc>{BASE}/doc/{n}0</loc><loc>{BASE}/doc/{n}1</loc></u>".encode(), {}
+    if "/doc/" in url:
+        return (503, b"", {}) if url.endswith("21") else (200, f"<title>T{url[-2:]}</title><div id=divNoiDung>nội dung</div>".encode(), {})
+    if url.endswith(".pdf"):
+        return 200, b"%PDF", {}
+    if "thuoctinh" in url:
+        return 200, "<table><tr><td class=label>Số hiệu</td><td>7</td></tr></table>".encode(), {}
+    if url.endswith("ItemID=3"):
+        return 200, "Không tìm thấy văn bản".encode(), {}
+    return 200, f'<div id=toanvan>nội dung {url[-1]}</div><a href="/f/{url[-1]}.pdf">x</a>'.encode(), {}
+
+
+def test_crawl_from_search_to_export(spark, tmp_path):
+    from lawmill.__main__ import main
+
+    schema = "item_id bigint, scope string, doc_type string, status string, detail_json string, error_message string, discovered_at timestamp, updated_at timestamp"
+    out = str(tmp_path / "out")
+    spark.createDataFrame([], schema).write.parquet(str(tmp_path / "s"))
+    main(["--base", BASE, "crawl", str(tmp_path / "s"), out, "--sleep", "0", "--retries", "0", "--concurrency", "2", "--stats"], site)
+    state = {r.item_id: r for r in spark.read.parquet(f"{out}/table").collect()}
+    assert {i: r.status for i, r in state.items()} == {1: "attachments_done", 2: "attachments_done", 3: "failed"}
+    assert json.loads(state[1].detail_json)["metadata"]["so_hieu"] == "7"
+    assert (tmp_path / "out" / "attachments" / "2" / "2.pdf").read_bytes() == b"%PDF"
+    documents = [json.loads(r.value) for r in spark.read.text(f"{out}/state/documents").collect()]
+    assert len(documents) == 3 and {d["item_id"]: d["detail"] is None for d in documents} == {1: False, 2: False, 3: True}
+    assert next(d for d in documents if d["item_id"] == 1)["record"]["id"] == "VBPL-1"
+    header = json.loads(spark.read.text(f"{out}/state/header").first().value)
+    assert header["crawl_progress"] == [{"doc_type": "vbpq", "documents": 3, "visited": 3}] and "generated_at" in header
+    assert readers.json_array(spark, f"{out}/vbpq", "text string").count() == 2
+    again = pipelines.crawl(spark.read.parquet(f"{out}/table"), pipelines.Options(base=BASE, sleep=0, retries=0, phase="detail", max_documents=1), out, F.current_timestamp(), site)
+    assert {r.item_id: r.status for r in again.collect()} == {i: r.status for i, r in state.items()}  # nothing waits
+
+
+def test_sitemap_crawl_resumes_and_replays(spark, tmp_path):
+    from lawmill.__main__ import main
+
+    out = str(tmp_path / "o")
+    common = ["--base", BASE, "sitemap-crawl", out, "--sitemap-index-url", f"{BASE}/index", "--sleep", "0", "--retries", "0", "--concurrency", "2"]
+    main([*common, "--max-documents", "3", "--include-html"], site)
+    docs = spark.read.json(f"{out}/documents")
+    assert sorted(r.title for r in docs.collect()) == ["T10", "T11", "T20"] and docs.where("html like '%nội dung%'").count() == 3
+    main(common, site)
+    assert spark.read.json(f"{out}/documents").count() == 3
+    errors = spark.read.json(f"{out}/errors").collect()
+    assert [(r.stage, r.url, r.sitemap_index) for r in errors] == [("document_fetch", f"{BASE}/doc/21", 2)]
+    main([*common, "--retry-errors-file", f"{out}/errors"], lambda url, t, form=None: (200, b"<title>late</title>", {}))
+    assert {r.title for r in spark.read.json(f"{out}/documents").collect()} == {"T10", "T11", "T20", "late"}
+    assert spark.read.schema("url string").json(f"{out}/errors-left").count() == 0
+
+
+def test_state_outlives_its_checkpoint(spark, tmp_path):
+    base, schema = str(tmp_path), "k int, v string, n int"
+    rows = lambda *r: spark.createDataFrame(r, schema).coalesce(1).write.mode("append").parquet(f"{base}/in")
+    merge = lambda ck: sorted(map(tuple, resume.merge_state(spark, f"{base}/in", schema, f"{base}/state", f"{base}/{ck}", ["k"], ["n"], buckets=4).collect()))
+    rows((1, "a", 1), (2, "b", 1), (3, "c", 1))
+    assert merge("c1") == [(1, "a", 1), (2, "b", 1), (3, "c", 1)]
+    rows((2, "B", 2), (1, "old", 0))
+    assert merge("c1") == [(1, "a", 1), (2, "B", 2), (3, "c", 1)]
+    assert merge("c1") == [(1, "a", 1), (2, "B", 2), (3, "c", 1)]  # nothing new
+    assert merge("fresh") == [(1, "a", 1), (2, "B", 2), (3, "c", 1)]  # everything again, onto the state that is there
+    left = [p for p in (tmp_path / "state").glob("v*/_bucket=*")]
+    assert len({p.name for p in left}) == len(left)  # one version of each bucket
+
+
+def test_counters_by_batch_and_observations(spark):
+    r = spark.createDataFrame([(i, i % 3 != 0) for i in range(10)], "i int, good boolean")
+    got = sorted(map(tuple, reports.batch_counts(r, (F.col("i") / 4).cast("int"), F.col("good")).collect()))
+    assert got == [(0, 2, 2, 2, 2), (1, 3, 1, 5, 3), (2, 1, 1, 6, 4)]
+    df, seen = reports.observed(r, "seen", bad=~F.col("good"))
+    assert df.count() == 10 and seen.get == {"rows": 10, "bad": 4}
+    e = spark.createDataFrame([("a", "2025-01-01 00:00:10", True), ("a", "2025-01-01 00:00:20", False)], "stage string, at string, ok boolean").withColumn("at", F.col("at").cast("timestamp"))
+    p = reports.progress(e, F.lit("2025-01-01 00:00:00").cast("timestamp"), 100, F.col("ok"), 11).first()
+    assert (p.saved, p.saved_rate, p.eta, p.eta_scope) == (1, 0.05, 200.0, "max_documents")
