@@ -294,7 +294,7 @@ def error_counts(spark: SparkSession, d: str) -> DataFrame:
 @query("""
 WITH e AS (SELECT stage, try_cast(when_utc AS TIMESTAMPTZ) AS t FROM crawl_errors), a AS (SELECT stage, count(*) AS attempts, max(t) AS last FROM e GROUP BY stage),
      b AS (SELECT stage, attempts, (epoch_us(last) - epoch_us(TIMESTAMPTZ '2025-01-01 00:00:00+00')) / 1e6 AS elapsed FROM a)
-SELECT stage, attempts, elapsed, attempts / elapsed AS rate, greatest(100000 - attempts, 0) / (attempts / elapsed) AS eta FROM b
+SELECT stage, attempts, attempts AS saved, elapsed, attempts / elapsed AS rate, attempts / elapsed AS saved_rate, greatest(100000 - attempts, 0) / (attempts / elapsed) AS eta, 'sitemap' AS eta_scope FROM b
 """)
 def throughput_eta(spark: SparkSession, d: str) -> DataFrame:
     e = read_table(spark, d, "crawl_errors").withColumn("at", F.col("when_utc").try_cast("timestamp"))

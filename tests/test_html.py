@@ -35,3 +35,19 @@ def test_page_of_nulls_and_long_pages(spark):
     df = spark.createDataFrame([(1, None), (2, "<div id=toanvan>" + "a <b>b</b> " * 50_000 + "</div>"), (3, "")], "k int, html string")
     got = {r.k: r.p for r in df.select("k", page(df.html).alias("p")).collect()}
     assert got[1].clean_text is None and len(got[2].clean_text) > 50_000 and got[3].list_items == 0
+
+
+def test_listing_is_read_in_its_container_only():
+    item = '<li><div><p><a href=" /a ">Một\n hai</a><a href="/b">b</a></p></div></li>'
+    h = f'<ul><li><div><p><a href="/menu">m</a></p></div></li></ul><div id="tabVB_lv1"><div><ul>{item}</ul></div><div><ul>{item}<li>x</li>{item}</ul></div><div><ul>{item}</ul></div></div>'
+    got = extract(h, "listing", "listing_items")
+    assert got["listing_items"] == 3 and [(x["item"], x["href"], x["text"]) for x in got["listing"]] == [(i, *x) for i in (1, 3) for x in (("/a", "Một hai"), ("/b", "b"))]
+    assert extract("<p>none", "listing")["listing"] == [] and extract('<div id="tabVB_lv1"></div>', "listing_items") == {"listing_items": 0}
+
+
+def test_named_fields_equal_all_fields(spark):
+    h = '<title>T</title><h1>H</h1><ul><li><a href="/x">y</a></li></ul><div class="paging"><a href="p">1</a></div><div id="toanvan">nội dung</div><table><tr><td class=label>Số hiệu</td><td>7</td></tr></table>'
+    every = extract(h)
+    assert all(extract(h, f) == {f: every[f]} for f in every)
+    df = spark.createDataFrame([(h,), (None,)], "html string").select(page("html").alias("a"), page("html", "title", "anchors").alias("b")).collect()
+    assert (df[0].b.title, df[0].b.anchors) == (df[0].a.title, df[0].a.anchors) and df[1].b.title is None

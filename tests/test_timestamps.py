@@ -72,6 +72,21 @@ def test_dictionary_grows_by_what_it_lacks(spark, tmp_path):
     assert d.extend(two).count() == 2
 
 
+def test_keys_appended_twice_join_once(spark, tmp_path):
+    d = TimestampDictionary(spark, f"file://{tmp_path}/dict")
+    v = spark.createDataFrame([(DAY, "20220122", None, 1)], "kind string, raw string, zone string, k int")
+    d.extend(v)
+    d.table().write.mode("append").parquet(f"file://{tmp_path}/twice")
+    d.table().write.mode("append").parquet(f"file://{tmp_path}/twice")
+    twice = TimestampDictionary(spark, f"file://{tmp_path}/twice")
+    assert [(r.k, r.norm) for r in normalise_times(v, twice).collect()] == [(1, "2022-01-22")]
+
+
+@pytest.mark.parametrize("raw, want", [("2025-01-01 00:00:00 MSK", "2024-12-31T21:00:00.000000Z"), ("2025-01-01 00:00:00 PDT", "2025-01-01T07:00:00.000000Z"), ("2025-01-01 00:00:00 CST", "")])
+def test_abbreviations_of_one_offset(raw, want):
+    assert parse_value(raw, INSTANT, "Asia/Ho_Chi_Minh") == want
+
+
 def test_unknown_and_contradictory_workers(spark):
     vb = spark.createDataFrame([(1, "2025-05-05 10:00", "x", 1), (2, "2025-05-05 10:00", None, 9), (3, "2025-05-05 10:00", None, None)], "record_id bigint, downloaded_timestamp string, created_timestamp string, worker_id int")
     tv = spark.createDataFrame([], "row_id bigint, fetched_at_utc string, attributes struct<ngay_ban_hanh: string>, worker_id int")
