@@ -234,8 +234,9 @@ def sitemap_documents(pages: DataFrame, now) -> DataFrame:
     """Attribute documents of fetched pages (document_index, url, html): one row a page, parsed once."""
     p = pages.withColumn("p", page(F.col("html")))
     fields = ["so_hieu", "loai_van_ban", "noi_ban_hanh", "nguoi_ky", "ngay_ban_hanh", "ngay_hieu_luc", "ngay_cong_bao", "so_cong_bao", "tinh_trang"]
-    blocks = [labelled_fields(F.try_element_at(F.col("p.attribute_blocks"), F.lit(i))) for i in range(1, 5)]
-    p = p.withColumn("a", metadata.by_priority(blocks, fields, ("so_hieu", "loai_van_ban")))
+    # each block's fields are a column of their own: the pick names them many times
+    p = p.select("*", *(labelled_fields(F.try_element_at(F.col("p.attribute_blocks"), F.lit(i))).alias(f"_block{i}") for i in range(1, 5)))
+    p = p.withColumn("a", metadata.by_priority([F.col(f"_block{i}") for i in range(1, 5)], fields, ("so_hieu", "loai_van_ban")))
     attributes = F.struct(*(F.col(f"a.{f}").alias(f) for f in fields), F.col("p.title").alias("title"))
     return p.select("document_index", "url", now.alias("fetched_at_utc"), F.col("p.title").alias("title"), attributes.alias("attributes"), F.col("p.content").alias("content_text"), F.length("p.content").alias("content_length"))
 
