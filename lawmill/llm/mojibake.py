@@ -5,9 +5,10 @@ encodings and decodings that applies to a line is scored by the model, and the
 likeliest is accepted if its gain per character is beyond a margin. A step of a chain encodes the line by any of
 the encodings it may have been read as (single-byte and multi-byte) and decodes it by any it may have been written in (UTF-8,
 the Vietnamese code page, the two legacy Vietnamese font encodings); chains go on as long as a step undoes UTF-8, each of
-which shortens the text. The margin is validated on
-held-out clean lines: it lies a tenth of the way from the largest gain a chain makes on any of them as they are
-to the least gain it makes on the same lines once garbled.
+which shortens the text. The margin is validated on every clean line, held out in turn: the model of the other folds
+tells what the likeliest chain gains on the line as it is and what undoing each of ``VALIDATED`` gains on the line once garbled. The
+cut between the two that misplaces the fewest lines is taken, and the margin lies a tenth of the way from
+the largest gain of a sound line below it to the least gain of a garbled one above it.
 
 Lines in which characters were replaced by U+FFFD or "?" can't be restored; they are found
 by the mark itself where it stands inside words the model knows nothing like.
@@ -25,7 +26,9 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pandas as pd
@@ -36,7 +39,8 @@ VOWELS = "aàáảãạăằắẳẵặâầấẩẫậeèéẻẽẹêềế
 ALPHABET = "".join(dict.fromkeys(" " + VOWELS + "".join(map(chr, range(33, 127))).lower()))
 UNKNOWN = len(ALPHABET)
 WIDTH = UNKNOWN + 1
-HELD_OUT_LINES = 400
+#: Parts of the clean records, each of which is validated by the model of the others; letters beyond which a line is validated.
+FOLDS, LINE = 4, 20
 SMOOTHING = 0.05
 
 _INDEX = np.full(0x110000, UNKNOWN, dtype=np.uint8)
@@ -103,6 +107,10 @@ def _bytes_read_as(page: str, s: str) -> bytes | None:
         return None
 
 
+#: Usual letters that no step of a chain can undo: a line with one of them has no chain.
+_FIRM = re.compile("[" + "".join(c for c in sorted(set(VOWELS + VOWELS.upper())) if ord(c) > 255 and not any(_bytes_read_as(p, c) is not None for p in (*CODE_PAGES, *WIDE_PAGES))) + "]")
+
+
 def _utf8(raw: bytes, page: str) -> str | None:
     try:
         return raw.decode("utf-8")
@@ -241,6 +249,19 @@ class Model:
         self.margin, self.floor = margin, floor
         self._memo: dict[int, float] = {}
 
+    @cached_property
+    def table(self) -> np.ndarray:
+        """What ``logp`` gives, of all trigrams at once."""
+        k, n = np.array(list(self.tri), dtype=np.int64), np.array(list(self.tri.values()), dtype=np.float64)
+        uni = np.bincount(k % WIDTH, n, WIDTH)
+        p1 = (uni + SMOOTHING) / (self.total + SMOOTHING * WIDTH)
+        p1[UNKNOWN] = 1e-7
+        p2 = (np.bincount(k % WIDTH**2, n, WIDTH**2).reshape(WIDTH, WIDTH) + 2 * p1) / (uni[:, None] + 2)
+        p3 = np.broadcast_to((2 * p2).astype(np.float32), (WIDTH, WIDTH, WIDTH)).reshape(-1)  # a copy
+        p3[k] += n.astype(np.float32)
+        p3 = p3.reshape(WIDTH**2, WIDTH) / (np.bincount(k // WIDTH, n, WIDTH**2) + 2).astype(np.float32)[:, None]
+        return np.log(p3, out=p3).reshape(-1)
+
     def logp(self, k: int) -> float:
         if k not in self._memo:
             c, b = k % WIDTH, k % (WIDTH * WIDTH)
@@ -294,49 +315,195 @@ def trigrams(s: str) -> np.ndarray:
     return (a[:-2] * WIDTH + a[1:-1]) * WIDTH + a[2:]
 
 
+def _letters(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(code points, lengths) of lines written one after another, two blanks before each."""
+    return np.frombuffer("".join("  " + x for x in lines).encode("utf-32-le", "surrogatepass"), dtype=np.uint32), np.fromiter(map(len, lines), dtype=np.int64, count=len(lines))
+
+
+def _codes(places: np.ndarray) -> np.ndarray:
+    a = places.astype(np.int32)
+    out = a[:-2] * WIDTH
+    out += a[1:-1]
+    out *= WIDTH
+    out += a[2:]
+    return out
+
+
 def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    total = np.zeros(WIDTH**3, dtype=np.int64)
+    total = np.zeros((FOLDS, WIDTH**3), dtype=np.int64)
+    held: list[list[str]] = [[] for _ in range(FOLDS)]
+    size = [0] * FOLDS
+
+    def add(fold: int) -> None:
+        if held[fold]:
+            letters, n = _letters(held[fold])
+            own = np.ones(len(letters) - 2, dtype=bool)  # not the blanks between two texts
+            ends = np.cumsum(n + 2)[:-1] - 2
+            own[ends] = own[ends + 1] = False
+            total[fold] += np.bincount(_codes(_INDEX[letters])[own], minlength=WIDTH**3)
+        held[fold], size[fold] = [], 0
+
     for b in batches:
-        for t in b["text"]:
+        for f, t in zip(b["fold"], b["text"]):
             if t and not ODD.search(t) and not LOST_MARK.search(t):
-                codes, n = np.unique(trigrams(t), return_counts=True)
-                total[codes] += n
-    k = np.flatnonzero(total)
-    yield pd.DataFrame({"code": k, "n": total[k]})
+                held[f].append(t)
+                size[f] += len(t)
+                if size[f] > CHUNK:
+                    add(f)
+    for f in range(FOLDS):
+        add(f)
+        k = np.flatnonzero(total[f])
+        yield pd.DataFrame({"fold": np.full(len(k), f, dtype=np.int32), "code": k, "n": total[f, k]})
+
 
+#: Letters that are scored at once, and steps by which gains and scores are told apart.
+CHUNK, STEPS = 500_000, 1000
+STILL, GARBLED, SOUND, LOST = range(4)
 
-def train(texts: DataFrame, held_out: int = HELD_OUT_LINES) -> Model:
-    """The model of all clean records of ``texts`` (text), with its validated margin and floor.
 
-    ``held_out`` lines at most, of held_out / 8 + 1 records at most, whose hash falls in one of 64 classes kept out of
-    training, serve to validate: the bounds of what the driver sees.
+def train(texts: DataFrame) -> Model:
+    """The model of all clean records of ``texts`` (text), with its margin and floor validated on all their lines.
+
+    The records are dealt to ``FOLDS`` folds by their hash; lines are validated by the model of the other folds. The driver sees
+    counts over the alphabet and over the steps of gains and scores.
     """
-    t = texts.select("text").where("text is not null").withColumn("_h", F.pmod(F.xxhash64("text"), F.lit(64)))
-    table = t.where("_h != 0").select("text").mapInPandas(_count, "code bigint, n bigint").groupBy("code").agg(F.sum("n").alias("n")).toPandas()
-    counts = dict(zip(table["code"].tolist(), table["n"].tolist()))
-    clean = t.where("_h = 0").where(~F.col("text").rlike(f"[^{_JAVA_USUAL}]") & ~F.col("text").contains("?")).select("text")
-    sample = [x for r in clean.limit(held_out // 8 + 1).collect() for x in r.text.split("\n") if len(x) > 20][:held_out]
-    model = Model(counts)
-    model.margin, model.floor = validate(model, sample)
+    t = texts.select("text").where("text is not null").withColumn("fold", F.pmod(F.xxhash64("text"), F.lit(FOLDS)).cast("int"))
+    table = t.mapInPandas(_count, "fold int, code bigint, n bigint").groupBy("fold", "code").agg(F.sum("n").alias("n")).toPandas()
+    counts = table.groupby("code")["n"].sum()
+    model = Model(dict(zip(counts.index.tolist(), counts.tolist())))
+    others: list[dict[int, int]] = []
+    for f in range(FOLDS):
+        rest = counts.sub(table[table["fold"] == f].set_index("code")["n"], fill_value=0)
+        rest = rest[rest > 0].astype("int64")
+        others.append(dict(zip(rest.index.tolist(), rest.tolist())))
+    shipped = texts.sparkSession.sparkContext.broadcast(others)
+
+    def gauge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        models = [Model(c) for c in shipped.value]
+        seen: Counter = Counter()
+        for b in batches:
+            for f in range(FOLDS):
+                clean = (x for x in b["text"][b["fold"] == f] if "?" not in x and not ODD.search(x))
+                seen.update(gauged(models[f], (line for x in clean for line in x.split("\n"))))
+        yield pd.DataFrame([(k, v, n) for (k, v), n in seen.items()], columns=["kind", "step", "n"])
+
+    rows = t.mapInPandas(gauge, "kind int, step int, n bigint").groupBy("kind", "step").agg(F.sum("n").alias("n")).collect()
+    model.margin, model.floor = bounds({(r.kind, r.step): r.n for r in rows})
     return model
 
 
-def validate(model: Model, clean: list[str]) -> tuple[float, float]:
-    """(margin, floor): the margin lies ``MARGIN_SHARE`` of the way from the largest gain on a clean line to the
-    smallest gain on a garbled one, the floor below every clean line's score. Each line is garbled by one chain, in turn."""
-    if not clean:
+def gauged(model: Model, clean: Iterable[str]) -> Counter:
+    """How often clean lines have which gains and scores, as (kind, step): the gain of the likeliest chain on a line as it is, of undoing each of
+    ``VALIDATED`` on the line once garbled, the line's score, and its score once the letters are lost that Latin-1 doesn't have."""
+    out: Counter = Counter()
+    held: dict[str, int] = {}
+    size = 0
+    for s in clean:
+        if s in held:
+            held[s] += 1
+        elif len(s) > LINE:
+            held[s] = 1
+            size += len(s)
+            if size > CHUNK:
+                out.update(_gauged(model, held))
+                held, size = {}, 0
+    if held:
+        out.update(_gauged(model, held))
+    return out
+
+
+def _gauged(model: Model, often: dict[str, int]) -> Counter:
+    out: Counter = Counter()
+    for s, k in often.items():
+        if not s.isascii() and not _FIRM.search(s) and (b := model.best(s)):
+            out[STILL, round(b[2] * STEPS)] += k
+    letters, n = _letters(list(often))
+    weights = np.fromiter(often.values(), dtype=np.int64, count=len(often))
+
+    def add(kind: int, values: np.ndarray, those: np.ndarray) -> None:
+        steps, at = np.unique(np.rint(values[those] * STEPS).astype(np.int64), return_inverse=True)
+        out.update(dict(zip(((kind, x) for x in steps.tolist()), np.bincount(at, weights[those], len(steps)).astype(np.int64).tolist())))
+
+    sound = _means(model, _INDEX[letters], n)
+    add(SOUND, sound, n > 0)
+    lost = letters > 255
+    add(LOST, _means(model, np.where(lost, _INDEX[ord("?")], _INDEX[letters]), n), _by_line(lost[2:], n) > 0)
+    for chain in VALIDATED:
+        places, m, changed = garbled_places(letters, n, chain)
+        add(GARBLED, sound - _means(model, places, m), changed)
+    return out
+
+
+def _by_line(values: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The sums of the values of each line; those of the blanks between lines are left out."""
+    starts = np.cumsum(n + 2) - n - 2
+    return np.add.reduceat(values, np.stack((starts, starts + n), axis=1).reshape(-1)[:-1], dtype=np.float64)[::2]
+
+
+def _means(model: Model, places: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """What ``Model.score`` gives for each line, from its letters' places in the alphabet."""
+    return _by_line(model.table[_codes(places)], n) / n
+
+
+@lru_cache(maxsize=None)
+def _page(page: str) -> tuple[np.ndarray, bytes]:
+    """The letters of an encoding's bytes, and their places in the alphabet."""
+    letters = np.zeros(256, dtype=np.uint32)
+    for c, b in _PAGES[page].items():
+        letters[b] = ord(c)
+    return letters, _INDEX[letters].tobytes()
+
+
+@lru_cache(maxsize=None)
+def _tcvn3_letters() -> np.ndarray:
+    out = np.arange(0x110000, dtype=np.uint32)
+    for c in set(VOWELS + VOWELS.upper()):
+        out[ord(c)] = ord(garble(c, "tcvn3"))
+    return out
+
+
+def garbled_places(letters: np.ndarray, n: np.ndarray, chain: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(places in the alphabet, lengths, whether changed) of lines as ``garble`` leaves them, by UTF-8 read as single-byte encodings or by TCVN3."""
+    if chain == "tcvn3":
+        other = _tcvn3_letters()[letters]
+        return _INDEX[other], n, _by_line((other != letters)[2:], n) > 0
+    m = n
+    for page in reversed(chain.split(" as ")[1:]):
+        if m is not n:
+            letters = _page(last)[0][np.frombuffer(raw, dtype=np.uint8)]
+        width = (letters >= 0x80).astype(np.uint8)
+        width += letters >= 0x800
+        width += letters >= 0x10000
+        m = m + _by_line(width[2:], m).astype(np.int64)
+        raw, last = letters.tobytes().decode("utf-32-le").encode("utf-8"), page
+    return np.frombuffer(raw.translate(_page(last)[1]), dtype=np.uint8), m, m != n
+
+
+def parted(sound: dict[int, int], bad: dict[int, int]) -> tuple[int | None, int | None]:
+    """(largest of ``sound`` below, least of ``bad`` above) the cut that misplaces the fewest, of equals the highest one."""
+    values = np.array(sorted({*sound, *bad}), dtype=np.int64)
+    below = np.cumsum([0, *(bad.get(v, 0) for v in values.tolist())])
+    above = sum(sound.values()) - np.cumsum([0, *(sound.get(v, 0) for v in values.tolist())])
+    wrong = below + above
+    cut = len(wrong) - 1 - int(np.argmin(wrong[::-1]))
+    return max((v for v in values[:cut].tolist() if v in sound), default=None), min((v for v in values[cut:].tolist() if v in bad), default=None)
+
+
+def bounds(seen: dict[tuple[int, int], int]) -> tuple[float, float]:
+    """(margin, floor): the margin lies ``MARGIN_SHARE`` of the way from the largest gain on a clean line to the smallest gain on a garbled one,
+    the floor below the clean lines' scores, both at the cuts that misplace the fewest lines."""
+    of = [{v: n for (k, v), n in seen.items() if k == kind} for kind in range(4)]
+    if not of[SOUND]:
         return 0.5, -4.0
-    still = [b[2] for s in clean if (b := model.best(s))] or [0.0]
-    gains = []
-    for i, s in enumerate(clean):
-        g = garble(s, VALIDATED[i % len(VALIDATED)])
-        if g and g != s and (b := model.best(g)):
-            gains.append(b[2])
-    low, high = max(still + [0.0]), min(gains or [1.0])
-    return max(low + MARGIN_SHARE * max(high - low, 0.0), 0.15), min(model.score(s) for s in clean) - 0.05
+    still, gain = parted(of[STILL], of[GARBLED])
+    low, high = max(still or 0, 0) / STEPS, 1.0 if gain is None else gain / STEPS
+    score, _ = parted({-v: n for v, n in of[SOUND].items()}, {-v: n for v, n in of[LOST].items()})
+    return max(low + MARGIN_SHARE * max(high - low, 0.0), 0.15), (-4.0 if score is None else -score / STEPS - 0.05)
 
 
-_JAVA_USUAL = "".join(sorted(set(VOWELS + VOWELS.upper()))) + r"\x20-\x7e\t\r\n"
+def validate(model: Model, clean: list[str]) -> tuple[float, float]:
+    """The (margin, floor) of a model by all of the given lines."""
+    return bounds(gauged(model, clean))
 
 
 def repair_value(model: Model, value: str | None) -> tuple[bool, bool, str | None, list[str]]:

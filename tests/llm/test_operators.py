@@ -1,6 +1,7 @@
 """Small cases of every operator: nulls, empty and long texts, ties, repeats, empty tables, clashing columns."""
 
 import base64
+import collections
 import random
 
 import numpy as np
@@ -266,6 +267,32 @@ def test_rows_of_garbled_values(spark):
     assert mojibake.repair_tvpl(t.limit(0)).count() == 0
 
 
+def test_every_clean_record_is_counted_and_every_line_validated(spark):
+    texts = [f"{s}, mục {i}\n{CLEAN[i % 8]}" for s in CLEAN for i in range(100)] + ["Mã số xqz wkj zzv 0451 qqx", "garbled �"]
+    t = frame(spark, [(x,) for x in texts], "text string")
+    fold = {r.text: r.f for r in t.select("text", F.expr(f"pmod(xxhash64(text), {mojibake.FOLDS})").alias("f")).collect()}
+    model = mojibake.train(t)
+    assert sum(model.tri.values()) == sum(map(len, texts[:-1]))
+    seen = collections.Counter()
+    for f in range(mojibake.FOLDS):
+        others = collections.Counter(k for x in texts[:-1] if fold[x] != f for k in mojibake.trigrams(x).tolist())
+        m = mojibake.Model(others)
+        for line in (line for x in texts[:-1] if fold[x] == f for line in x.split("\n") if len(line) > mojibake.LINE):
+            lost = "".join(c if c < "\u0100" else "?" for c in line)
+            seen[mojibake.SOUND, round(m.score(line) * mojibake.STEPS)] += 1
+            seen[mojibake.LOST, round(m.score(lost) * mojibake.STEPS)] += lost != line
+            for g in (mojibake.garble(line, c) for c in mojibake.VALIDATED):
+                seen[mojibake.GARBLED, round((m.score(line) - m.score(g)) * mojibake.STEPS)] += g != line
+    assert (model.margin, model.floor) == pytest.approx(mojibake.bounds(+seen), abs=0.002)
+    assert sum(n for (k, _), n in seen.items() if k == mojibake.SOUND) == 1601
+
+
+def test_the_cut_misplaces_the_fewest():
+    assert mojibake.parted({1: 5, 3: 2}, {7: 4, 9: 1}) == (3, 7)
+    assert mojibake.parted({1: 50, 12: 1}, {7: 40, 9: 10}) == (1, 7)
+    assert mojibake.parted({1: 1}, {}) == (1, None) and mojibake.parted({}, {4: 2}) == (None, 4) and mojibake.parted({}, {}) == (None, None)
+
+
 # --- lookalike ---------------------------------------------------------------------------------
 
 
