@@ -10,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from lawmill.llm import boilerplate, canonical, lookalike, mojibake, neardup, packing, residue, tokens, truncation
+from lawmill.llm import boilerplate, canonical, lookalike, mojibake, neardup, packing, queries, residue, tokens, truncation
 
 TEXTS = "src string, row_key bigint, host string, text string"
 LONG = "Điều này được quy định tại văn bản kèm theo. " * 20_000
@@ -340,6 +340,17 @@ def test_vocabulary_decides(spark):
     assert lookalike.plain_forms(v.limit(0)).count() == 0
 
 
+def test_garbled_titles_are_told_by_every_line(spark, tmp_path):
+    """Titles of a rare kind widen the bounds of the model: one of them with a mark between its codes has lost nothing, so its invisible character is a case."""
+    titles = [f"{s}, mục {i}" for i, s in enumerate(CLEAN * 25)] + [f"Danh mục mã xq{c}z wkj số {c}" for c in "abcdefgh"]
+    titles += ["Danh mục mã xqaz?wkj số a, Ủy ban nhân dân tỉnh chịu trách\u200b nhiệm thi hành", "Th\u200bời h?n qu?n lý b?n ?? là b?y ngày k? t? ngày nh?n ?? h? s?"]
+    rows = [(i, t, ("12/NĐ",), None) for i, t in enumerate(titles)]
+    frame(spark, rows, "row_id bigint, title string, attributes struct<so_hieu: string>, content_text string").write.parquet(f"{tmp_path}/tvpl_documents.parquet")
+    frame(spark, [], "record_id bigint, text string").write.parquet(f"{tmp_path}/vbpl_records.parquet")
+    frame(spark, [], "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert [tuple(r) for r in queries.p7_found(spark, str(tmp_path)).collect()] == [("tvpl_documents", 208, "title")]
+
+
 # --- tokens ------------------------------------------------------------------------------------
 
 
