@@ -10,10 +10,9 @@ documents. Formulas that documents share recur as well, but they are document gr
 
 How often a label recurs is counted in distinct documents (a minhash of the page's sentences),
 so that a document copied to a third of a host's pages doesn't turn into its template.
-The counts are sketches, merged on the map side: a host that holds a third of all
-pages is no hot key. Most long lines stand on one page only: first every partition reports those that recur in it often enough
-to be a constant (a label on a share of a host's documents has half that share in some partition, as long as documents
-come twice on average at most), then these are counted like all others. Templates are broadcast if all of them together stay under
+Every label of every page is counted, exactly: pairs of a label and a document are made distinct before the
+documents of a label are counted, so a host that holds a third of all
+pages is no hot key. Templates are broadcast if all of them together stay under
 ``MAX_TEMPLATE_NODES``, else each page is joined with its host's.
 
 Values with a wrong character encoding are read as repaired; a character lost for good matches
@@ -27,7 +26,8 @@ import hashlib
 import re
 import zlib
 from bisect import bisect_left
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
+from itertools import count
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -38,9 +38,11 @@ from lawmill.session import stage
 
 #: A label is a constant node if this share of its host's distinct documents has it, and so many at least.
 SHARE, LEAST = 0.02, 4
-#: Letters beyond which a line is counted only if a partition reports it, and beyond which by a hash; labels a partition holds at once.
-LONG, HASHED, HELD = 60, 110, 300_000
+#: Letters beyond which a line is counted by a hash.
+LONG = 110
 MAX_TEMPLATE_NODES = 400_000
+#: Short lines whose judgement a process remembers, of all hosts; menus and formulas recur on most pages.
+KNOWN = 50_000
 COMMON_HOSTS = 2
 
 TYPES = "Bộ luật|Luật|Pháp lệnh|Lệnh|Nghị quyết liên tịch|Nghị quyết|Nghị định|Quyết định|Thông tư liên tịch|Thông tư|Chỉ thị|Công văn|Thông báo|Văn bản hợp nhất|Kế hoạch|Hướng dẫn"
@@ -66,7 +68,6 @@ PATH = re.compile(r"\s[»>/›]\s")
 SEPARATOR = re.compile(r"\s+[|·»>/›]\s+|\s{2,}")
 
 
-_ODD_BLANKS = re.compile(r"[^\S\n ]|  ")
 _BLANKS, _NUMBER, _DIGIT = re.compile(r"\s\s+|[^\S ]"), re.compile(r"\d[\d.]*"), re.compile(r"\d")
 _GAP = re.compile(r"\s[|·»>/›]\s|\s\s")
 
@@ -79,12 +80,6 @@ def label(line: str) -> str:
     return _NUMBER.sub("0", s) if _DIGIT.search(s) else s
 
 
-def labels(text: str) -> list[str]:
-    """The labels of a text's lines, its numbers folded all at once."""
-    lines = _NUMBER.sub("0", text).split("\n")
-    return [x.strip() for x in lines] if not _ODD_BLANKS.search(text) else [label(x) for x in lines]
-
-
 def items(line: str) -> list[str]:
     """The items of a line that is a menu or a breadcrumb; one item for any other line."""
     s = line.strip()
@@ -144,11 +139,15 @@ def _words(s: str) -> str:
 class Template:
     """The constant nodes of a host, by label, with their order."""
 
+    _known: dict[tuple[int, str], tuple[int | None, bool, bool]] = {}
+    _numbers = count()
+
     def __init__(self, nodes: list[tuple[str, float]], shared: set[str] = frozenset()):
         self.place = {n: i for i, (n, _) in enumerate(sorted(nodes, key=lambda x: (x[1], x[0])))}
         self.items = set(self.place) | set(shared)
         self.words = {w for n in self.place if len(w := _words(n)) > 5}
         self.long = any(n[0] == "\0" for n in self.place if n)
+        self.number = next(Template._numbers)
 
     def menu(self, line: str) -> bool:
         parts = items(line)
@@ -166,24 +165,38 @@ class Template:
         pattern = re.compile(".{1,3}".join(re.escape(x) for x in re.split(r"[?�]+", label(text))))
         return any(pattern.fullmatch(other) for other in self.items)
 
-    def constant(self, line: str, name: str, garbled: bool) -> bool:
+    def constant(self, line: str, name: str) -> bool:
         """Whether a line that isn't aligned is a moved constant, a menu or an entry of a list."""
         if name and name in self.place:
             return True
-        if (_TELLING.search(line) or "  " in line) and (ENTRY.match(line) or self.menu(line) or self.lossy(line) or (lost(line) and LOST_ENTRY.match(line))):
-            return True
-        if not garbled or line.isascii():
+        return bool((_TELLING.search(line) or "  " in line) and (ENTRY.match(line) or self.menu(line) or self.lossy(line) or (lost(line) and LOST_ENTRY.match(line))))
+
+    def misread(self, line: str) -> bool:
+        """Whether a line of a page that was repaired in part or not at all has a constant's words in any reading."""
+        if line.isascii():
             return False
-        # of a line repaired in part or not at all, its words in any reading
         return _words(line) in self.words or not _RESTORED.search(line) and any(_words(t) in self.words for _, t in chains(_SIGNS.sub("", line)))
 
+    def judged(self, line: str) -> tuple[int | None, bool, bool]:
+        """(place in the template, constant wherever it stands, neither blank nor grammar) of a line; formulas are document grammar, however often they recur."""
+        if (known := self._known.get((self.number, line))) is not None:
+            return known
+        bare = line.strip()
+        open_ = bool(bare) and not is_grammar(bare)
+        name = label(line) if open_ else ""
+        name = _mark(name) if len(name) <= LONG or self.long else ""
+        out = (self.place.get(name), self.constant(bare, name), True) if open_ else (None, False, False)
+        if len(line) <= LONG:
+            if len(self._known) >= KNOWN:
+                self._known.clear()
+            self._known[self.number, line] = out
+        return out
+
     def furniture(self, lines: list[str], garbled: bool = False) -> list[bool]:
         """For each line of a page whether it is furniture; ``garbled`` where some lines of it were wrongly decoded."""
-        bare = [x.strip() for x in lines]
-        names = [_mark(x) if len(x) <= HASHED or self.long else "" for x in labels("\n".join(lines))]
-        # formulas are document grammar, however often they recur
-        matched = align([self.place[n] if n in self.place and not is_grammar(x) else None for n, x in zip(names, bare)])
-        return [bool(x) and (m or (self.constant(x, n, garbled) and not is_grammar(x))) for m, n, x in zip(matched, names, bare)]
+        judged = [self.judged(x) for x in lines]
+        matched = align([p for p, _, _ in judged])
+        return [open_ and (m or c or garbled and self.misread(x.strip())) for m, (_, c, open_), x in zip(matched, judged, lines)]
 
 
 def signature(lines: list[str]) -> int:
@@ -191,89 +204,56 @@ def signature(lines: list[str]) -> int:
     return min((zlib.crc32(x.encode("utf-8", "replace")) for x in lines if len(x) > 40 and x[-1:] == "."), default=zlib.crc32("\n".join(lines).encode("utf-8", "replace")))
 
 
-LINES = "host string, label string, first string"
-
-
-def _recurring(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Of the long lines of a partition those on half a constant's share of its documents, by lossy counting."""
-    pages: dict[str, set[int]] = {}
-    held: dict[tuple[str, str], list[int]] = {}
-
-    def prune(part: int) -> None:
-        for k in [k for k, (n, _) in held.items() if n < SHARE / part * len(pages[k[0]])]:
-            del held[k]
-
-    for b in batches:
-        for h, t in zip(b["host"], b["text"]):
-            if not t:
-                continue
-            s = signature(t.split("\n"))
-            pages.setdefault(h, set()).add(s)
-            for x in labels(t):
-                if len(x) > LONG:
-                    e = held.get((h, x))
-                    if e is None:
-                        held[h, x] = [1, s]
-                    elif e[1] != s:
-                        e[:] = e[0] + 1, s
-        if len(held) > HELD:
-            prune(4)
-    prune(2)
-    yield pd.DataFrame([(h, _mark(x), x.split(" ", 1)[0]) for h, x in held], columns=["host", "label", "first"])
-
-
 def _mark(name: str) -> str:
     """What a long label is counted by."""
-    return name if len(name) <= HASHED else "\0" + hashlib.blake2b(name.encode("utf-8", "surrogatepass"), digest_size=12).hexdigest()
+    return name if len(name) <= LONG else "\0" + hashlib.blake2b(name.encode("utf-8", "surrogatepass"), digest_size=12).hexdigest()
 
 
 NODES = "host string, label string, kind string, document bigint, place double"
 
 
-def _nodes(known: Callable[[], dict[tuple[str, str], set[str]] | None]):
-    """Rows of the nodes of pages; of the long lines those that ``known`` holds by host and first word, or all if it gives none."""
+def _node(line: str) -> tuple[str, list[str]] | None:
+    """(label, items of a menu) of a line; None if it is blank, grammar or an entry of a list."""
+    x = line.strip()
+    if not x or is_grammar(x) or ENTRY.match(x):
+        return None
+    parts = items(x) if _GAP.search(x) else []
+    return _mark(label(x)), [p for p in parts if len(p) <= 40] if len(parts) > 2 else []
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        wanted = known()
-        for b in batches:
-            rows = []
-            for h, t in zip(b["host"], b["text"]):
-                if not t:
-                    continue
-                lines = t.split("\n")
-                s = signature(lines)
-                rows.append((h, "", "page", s, 0.0))
-                seen = set()
-                for i, (x, name) in enumerate(zip(lines, labels(t))):
-                    names = None
-                    gap = _GAP.search(x)
-                    if len(name) > LONG and wanted is not None:
-                        names = wanted.get((h, name.split(" ", 1)[0]), ())
-                        if not names and not gap:
-                            continue
-                    if not name or is_grammar(x := x.strip()) or ENTRY.match(x):
-                        continue
-                    if gap and len(parts := items(x)) > 2:
-                        seen.update((p, "item", 0.0) for p in parts if len(p) <= 40)
-                    if names is None or _mark(name) in names:
-                        seen.add((_mark(name), "line", round(i / len(lines), 2)))
-                rows.extend((h, n, k, s, p) for n, k, p in seen)
-            yield pd.DataFrame(rows, columns=["host", "label", "kind", "document", "place"])
-
-    return run
+
+def _nodes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows of the nodes of pages."""
+    known: dict[str, tuple[str, list[str]] | None] = {}
+    for b in batches:
+        rows = []
+        for h, t in zip(b["host"], b["text"]):
+            if not t:
+                continue
+            lines = t.split("\n")
+            s = signature(lines)
+            rows.append((h, "", "page", s, 0.0))
+            seen = set()
+            for i, x in enumerate(lines):
+                if x in known:
+                    node = known[x]
+                else:
+                    node = _node(x)
+                    if len(x) <= LONG:
+                        if len(known) >= KNOWN:
+                            known.clear()
+                        known[x] = node
+                if node:
+                    seen.update((p, "item", 0.0) for p in node[1])
+                    seen.add((node[0], "line", round(i / len(lines), 2)))
+            rows.extend((h, n, k, s, p) for n, k, p in seen)
+        yield pd.DataFrame(rows, columns=["host", "label", "kind", "document", "place"])
 
 
 def induce(pages: DataFrame) -> DataFrame:
     """The templates: (host, label, place) of every constant node of ``pages`` (host, text)."""
-    pages = pages.select(F.coalesce("host", F.lit("")).alias("host"), "text")
-    reported = pages.mapInPandas(_recurring, LINES).distinct().limit(MAX_TEMPLATE_NODES + 1).collect()
-    # beyond the bound every long line is counted
-    by_first: dict[tuple[str, str], set[str]] = {}
-    for r in reported:
-        by_first.setdefault((r.host, r.first), set()).add(r.label)
-    shipped = pages.sparkSession.sparkContext.broadcast(by_first if len(reported) <= MAX_TEMPLATE_NODES else None)
-    nodes = pages.mapInPandas(_nodes(lambda: shipped.value), NODES)
-    counts = nodes.groupBy("host", "label", "kind").agg(F.approx_count_distinct("document", 0.03).alias("n"), F.avg("place").alias("place"))
+    nodes = pages.select(F.coalesce("host", F.lit("")).alias("host"), "text").mapInPandas(_nodes, NODES)
+    pairs = nodes.groupBy("host", "label", "kind", "document").agg(F.sum("place").alias("place"), F.count("*").alias("nodes"))
+    counts = pairs.groupBy("host", "label", "kind").agg(F.count("*").alias("n"), (F.sum("place") / F.sum("nodes")).alias("place"))
     counts = stage(counts, "template-counts")  # read several times below; the pages once
     sizes = counts.where("kind = 'page'").select("host", F.col("n").alias("documents"))
     named = counts.where("kind != 'page'")

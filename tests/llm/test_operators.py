@@ -211,6 +211,24 @@ def test_long_constants_are_furniture_and_slots_are_content(spark):
     assert len(notice) > boilerplate.LONG and all(sorted(got[i]) == [0, 1, 2, 3, 7, 8] for i in range(60))
 
 
+def test_constants_are_counted_whatever_the_copies(spark):
+    """A notice on four of 150 documents, each of which has a copy in every partition, the notice on one copy each."""
+    notice = "Cơ quan này lưu tệp nhỏ trên thiết bị của người đọc và đếm số lượt xem trang"
+    word = lambda i: "".join("abcdefghij"[int(c)] for c in str(i))
+    text = lambda p, i: "\n".join([*([notice] if i == p else []), f"Đơn vị {word(i)} lưu giữ hồ sơ {word(i * 7)} trong thời hạn nhất định."])
+    pages = frame(spark, [("p", p * 1000 + i, "h", text(p, i)) for p in range(4) for i in range(150)], TEXTS)
+    assert pages.rdd.getNumPartitions() == 4 and len(notice) > 60
+    assert sorted(map(tuple, boilerplate.furniture_lines(pages).collect())) == [("p", p * 1001, 0) for p in range(4)]
+
+
+def test_documents_of_a_label_are_counted_exactly(spark):
+    word = lambda i: "".join("abcdefghij"[int(c)] for c in str(i))
+    on = {f"nhãn {word(k)}": 60 - k % 2 for k in range(30)}
+    texts = ["\n".join([*(x for x, n in on.items() if i < n), f"Đơn vị {word(i)} lưu giữ hồ sơ {word(i * 7)} trong thời hạn nhất định."]) for i in range(3000)]
+    got = boilerplate.induce(frame(spark, [("h", t) for t in texts], "host string, text string")).collect()
+    assert sorted(r.label for r in got) == sorted(x for x, n in on.items() if n == 60)
+
+
 # --- mojibake ----------------------------------------------------------------------------------
 
 CLEAN = [
