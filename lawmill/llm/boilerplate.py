@@ -27,7 +27,9 @@ import re
 import zlib
 from bisect import bisect_left
 from collections.abc import Iterator
-from itertools import count
+from itertools import compress, count, repeat
+from operator import lt
+from weakref import WeakSet
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -68,14 +70,19 @@ PATH = re.compile(r"\s[»>/›]\s")
 SEPARATOR = re.compile(r"\s+[|·»>/›]\s+|\s{2,}")
 
 
-_BLANKS, _NUMBER, _DIGIT = re.compile(r"\s\s+|[^\S ]"), re.compile(r"\d[\d.]*"), re.compile(r"\d")
-_GAP = re.compile(r"\s[|·»>/›]\s|\s\s")
+_NUMBER, _DIGIT = re.compile(r"\d[\d.]*"), re.compile(r"\d")
+_GAP, _SIGN = re.compile(r"\s[|·»>/›]\s|\s\s"), re.compile("[|·»>/›]")
+
+
+def _odd_blanks(line: str) -> bool:
+    """Whether a line may have other blanks than single spaces, none of which is printable; it has none if not."""
+    return "  " in line or not line.isprintable()
 
 
 def label(line: str) -> str:
     """A line with its numbers folded and its blanks collapsed."""
     s = line.strip()
-    if _BLANKS.search(s):
+    if _odd_blanks(s):
         s = re.sub(r"\s+", " ", s)
     return _NUMBER.sub("0", s) if _DIGIT.search(s) else s
 
@@ -103,6 +110,9 @@ def align(places: list[int | None]) -> list[bool]:
     Labels of a template are distinct, so simple tree matching of the root's children is the
     longest increasing run of places.
     """
+    known = [p for p in places if p is not None]
+    if all(map(lt, known, known[1:])):
+        return [p is not None for p in places]
     tails: list[int] = []
     ends: list[int] = []
     back: list[int] = [-1] * len(places)
@@ -139,17 +149,20 @@ def _words(s: str) -> str:
 class Template:
     """The constant nodes of a host, by label, with their order."""
 
-    _known: dict[tuple[int, str], tuple[int | None, bool, bool]] = {}
-    _numbers = count()
+    _all: WeakSet[Template] = WeakSet()
+    _held = 0  # lines remembered by all templates, those of templates that are gone included
 
     def __init__(self, nodes: list[tuple[str, float]], shared: set[str] = frozenset()):
         self.place = {n: i for i, (n, _) in enumerate(sorted(nodes, key=lambda x: (x[1], x[0])))}
         self.items = set(self.place) | set(shared)
         self.words = {w for n in self.place if len(w := _words(n)) > 5}
         self.long = any(n[0] == "\0" for n in self.place if n)
-        self.number = next(Template._numbers)
+        self.known: dict[str, tuple[int | None, bool, bool]] = {}
+        Template._all.add(self)
 
     def menu(self, line: str) -> bool:
+        if not _GAP.search(line):
+            return False
         parts = items(line)
         if len(parts) < 2:
             return False
@@ -179,24 +192,28 @@ class Template:
 
     def judged(self, line: str) -> tuple[int | None, bool, bool]:
         """(place in the template, constant wherever it stands, neither blank nor grammar) of a line; formulas are document grammar, however often they recur."""
-        if (known := self._known.get((self.number, line))) is not None:
-            return known
         bare = line.strip()
-        open_ = bool(bare) and not is_grammar(bare)
+        open_ = bool(bare) and not GRAMMAR.match(bare)
         name = label(line) if open_ else ""
         name = _mark(name) if len(name) <= LONG or self.long else ""
         out = (self.place.get(name), self.constant(bare, name), True) if open_ else (None, False, False)
         if len(line) <= LONG:
-            if len(self._known) >= KNOWN:
-                self._known.clear()
-            self._known[self.number, line] = out
+            if Template._held >= KNOWN:
+                Template._held = 0
+                for t in Template._all:
+                    t.known.clear()
+            Template._held += 1
+            self.known[line] = out
         return out
 
     def furniture(self, lines: list[str], garbled: bool = False) -> list[bool]:
         """For each line of a page whether it is furniture; ``garbled`` where some lines of it were wrongly decoded."""
-        judged = [self.judged(x) for x in lines]
+        known = self.known
+        judged = [known.get(x) or self.judged(x) for x in lines]
         matched = align([p for p, _, _ in judged])
-        return [open_ and (m or c or garbled and self.misread(x.strip())) for m, (_, c, open_), x in zip(matched, judged, lines)]
+        if not garbled:
+            return [open_ and (m or c) for m, (_, c, open_) in zip(matched, judged)]
+        return [open_ and (m or c or self.misread(x.strip())) for m, (_, c, open_), x in zip(matched, judged, lines)]
 
 
 def signature(lines: list[str]) -> int:
@@ -212,12 +229,17 @@ def _mark(name: str) -> str:
 NODES = "host string, label string, kind string, document bigint, place double"
 
 
+def _frame(**columns: tuple[list, str]) -> pd.DataFrame:
+    """A frame of the given types, which empty columns don't show."""
+    return pd.DataFrame({name: pd.Series(values, dtype=kind) for name, (values, kind) in columns.items()})
+
+
 def _node(line: str) -> tuple[str, list[str]] | None:
     """(label, items of a menu) of a line; None if it is blank, grammar or an entry of a list."""
     x = line.strip()
-    if not x or is_grammar(x) or ENTRY.match(x):
+    if not x or GRAMMAR.match(x) or ENTRY.match(x):
         return None
-    parts = items(x) if _GAP.search(x) else []
+    parts = items(x) if (_SIGN.search(x) or _odd_blanks(x)) and _GAP.search(x) else []
     return _mark(label(x)), [p for p in parts if len(p) <= 40] if len(parts) > 2 else []
 
 
@@ -225,28 +247,28 @@ def _nodes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Rows of the nodes of pages."""
     known: dict[str, tuple[str, list[str]] | None] = {}
     for b in batches:
-        rows = []
+        hosts, labels, kinds, documents, places = [], [], [], [], []
         for h, t in zip(b["host"], b["text"]):
             if not t:
                 continue
             lines = t.split("\n")
-            s = signature(lines)
-            rows.append((h, "", "page", s, 0.0))
-            seen = set()
+            seen = {("", "page", 0.0)}
             for i, x in enumerate(lines):
-                if x in known:
-                    node = known[x]
-                else:
+                if (node := known.get(x, known)) is known:
                     node = _node(x)
                     if len(x) <= LONG:
                         if len(known) >= KNOWN:
                             known.clear()
                         known[x] = node
                 if node:
-                    seen.update((p, "item", 0.0) for p in node[1])
+                    if node[1]:
+                        seen.update((p, "item", 0.0) for p in node[1])
                     seen.add((node[0], "line", round(i / len(lines), 2)))
-            rows.extend((h, n, k, s, p) for n, k, p in seen)
-        yield pd.DataFrame(rows, columns=["host", "label", "kind", "document", "place"])
+            hosts += repeat(h, len(seen))
+            documents += repeat(signature(lines), len(seen))
+            for column, values in zip((labels, kinds, places), zip(*seen)):
+                column += values
+        yield _frame(host=(hosts, "object"), label=(labels, "object"), kind=(kinds, "object"), document=(documents, "int64"), place=(places, "float64"))
 
 
 def induce(pages: DataFrame) -> DataFrame:
@@ -267,8 +289,8 @@ def induce(pages: DataFrame) -> DataFrame:
 FOUND = "src string, row_key bigint, line_no bigint"
 
 
-def _classify(rows: Iterator[tuple], template_of, model: Model | None) -> list[tuple]:
-    out = []
+def _classify(rows: Iterator[tuple], template_of, model: Model | None) -> pd.DataFrame:
+    src, key, line = [], [], []
     for s, k, h, t in rows:
         if not t:
             continue
@@ -276,9 +298,11 @@ def _classify(rows: Iterator[tuple], template_of, model: Model | None) -> list[t
         if model is not None and s == "tvpl_documents":
             bad, _, fixed, _ = repair_value(model, t)
             t = fixed or t
-        flags = template_of(h).furniture(t.split("\n"), bad)
-        out.extend((s, k, i) for i, f in enumerate(flags) if f)
-    return out
+        found = list(compress(count(), template_of(h).furniture(t.split("\n"), bad)))
+        src += repeat(s, len(found))
+        key += repeat(k, len(found))
+        line += found
+    return _frame(src=(src, "object"), row_key=(key, "int64"), line_no=(line, "int64"))
 
 
 def furniture_lines(pages: DataFrame, model: Model | None = None) -> DataFrame:
@@ -304,7 +328,7 @@ def furniture_lines(pages: DataFrame, model: Model | None = None) -> DataFrame:
                 return built[h]
 
             for b in batches:
-                yield pd.DataFrame(_classify(zip(b["src"], b["row_key"], b["host"], b["text"]), of, m), columns=["src", "row_key", "line_no"])
+                yield _classify(zip(b["src"], b["row_key"], b["host"], b["text"]), of, m)
 
         return pages.mapInPandas(run, FOUND)
     by_host = templates.groupBy("host").agg(F.collect_list(F.struct("label", "place")).alias("nodes"))  # bounded: lines a page over SHARE
@@ -313,12 +337,15 @@ def furniture_lines(pages: DataFrame, model: Model | None = None) -> DataFrame:
         m = Model(*shipped_model.value) if shipped_model else None
         for b in batches:
             last: tuple = (None, None)
-            out = []
-            for s, k, h, t, nodes in zip(b["src"], b["row_key"], b["host"], b["text"], b["nodes"]):
+
+            def of(page: tuple[str, list | None]) -> Template:
+                nonlocal last
+                h, nodes = page
                 if h != last[0]:
                     last = (h, Template([(x["label"], x["place"]) for x in nodes] if nodes is not None else []))
-                out += _classify([(s, k, h, t)], lambda _: last[1], m)
-            yield pd.DataFrame(out, columns=["src", "row_key", "line_no"])
+                return last[1]
+
+            yield _classify(zip(b["src"], b["row_key"], zip(b["host"], b["nodes"]), b["text"]), of, m)
 
     return pages.join(by_host, "host", "left").mapInPandas(run_joined, FOUND)
 

@@ -27,7 +27,7 @@ import math
 import re
 import unicodedata
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import cached_property, lru_cache
 
 import numpy as np
@@ -42,6 +42,8 @@ WIDTH = UNKNOWN + 1
 #: Parts of the clean records, each of which is validated by the model of the others; letters beyond which a line is validated.
 FOLDS, LINE = 4, 20
 SMOOTHING = 0.05
+#: Letters up to which a line's likeliest chain is remembered, and of how many lines.
+SHORT, KNOWN = 110, 20_000
 
 _INDEX = np.full(0x110000, UNKNOWN, dtype=np.uint8)
 for _i, _c in enumerate(ALPHABET):
@@ -174,6 +176,8 @@ def _from_vni(s: str) -> str | None:
 
 def chains(s: str) -> Iterator[tuple[str, str]]:
     """(name, text) of every chain that applies to the text, those of fewer steps first."""
+    if _FIRM.search(s):
+        return
     seen, level = {s}, [("", s)]
     while level:
         longer = []
@@ -232,6 +236,17 @@ def _marks_apart(s: str) -> str:
     return "".join(out)
 
 
+class _Memo(dict):
+    """What a function gives for a key, computed when it is first asked for."""
+
+    def __init__(self, f: Callable[[int], float]):
+        self.f = f
+
+    def __missing__(self, k: int) -> float:
+        self[k] = out = self.f(k)
+        return out
+
+
 class Model:
     """Log-probabilities of a character after two others, interpolated with the shorter contexts."""
 
@@ -247,7 +262,8 @@ class Model:
         self.tri, self.bi, self.uni, self.ctx = tri, bi, uni, ctx
         self.total = sum(uni.values()) or 1
         self.margin, self.floor = margin, floor
-        self._memo: dict[int, float] = {}
+        self._memo = _Memo(self._logp)
+        self._best: dict[str, tuple[str, str, float] | None] = {}
 
     @cached_property
     def table(self) -> np.ndarray:
@@ -263,20 +279,21 @@ class Model:
         return np.log(p3, out=p3).reshape(-1)
 
     def logp(self, k: int) -> float:
-        if k not in self._memo:
-            c, b = k % WIDTH, k % (WIDTH * WIDTH)
-            p1 = 0.0 if c == UNKNOWN else (self.uni.get(c, 0) + SMOOTHING) / (self.total + SMOOTHING * WIDTH)
-            p1 = p1 or 1e-7
-            nb = self.uni.get(b // WIDTH, 0)
-            p2 = (self.bi.get(b, 0) + 2 * p1) / (nb + 2)
-            p3 = (self.tri.get(k, 0) + 2 * p2) / (self.ctx.get(k // WIDTH, 0) + 2)
-            self._memo[k] = math.log(p3)
         return self._memo[k]
 
+    def _logp(self, k: int) -> float:
+        c, b = k % WIDTH, k % (WIDTH * WIDTH)
+        p1 = 0.0 if c == UNKNOWN else (self.uni.get(c, 0) + SMOOTHING) / (self.total + SMOOTHING * WIDTH)
+        p1 = p1 or 1e-7
+        nb = self.uni.get(b // WIDTH, 0)
+        p2 = (self.bi.get(b, 0) + 2 * p1) / (nb + 2)
+        p3 = (self.tri.get(k, 0) + 2 * p2) / (self.ctx.get(k // WIDTH, 0) + 2)
+        return math.log(p3)
+
     def score(self, s: str) -> float:
         """Mean log-probability of a character."""
         codes = trigrams(s)
-        return sum(map(self.logp, codes.tolist())) / max(1, len(codes))
+        return sum(map(self._memo.__getitem__, codes.tolist())) / max(1, len(codes))
 
     def best(self, line: str) -> tuple[str, str, float] | None:
         """(chain, text, gain) of the likeliest chain on a line."""
@@ -287,6 +304,17 @@ class Model:
         _, n, t = max(options, key=lambda x: x[0])  # of equals the first, which has the fewest steps
         return n, t, self.score(t) - raw
 
+    def remembered(self, line: str) -> tuple[str, str, float] | None:
+        """``best``, tried once for a short line that recurs."""
+        if line in self._best:
+            return self._best[line]
+        out = self.best(line)
+        if len(line) <= SHORT:
+            if len(self._best) >= KNOWN:
+                self._best.clear()
+            self._best[line] = out
+        return out
+
     def salvage(self, line: str) -> str:
         """The likeliest reading of a line some of whose bytes are gone, with U+FFFD for them."""
         best = (self.score(line), line)
@@ -301,7 +329,7 @@ class Model:
         """(chain, restored) if the line is garbled, ("lost", line) if beyond repair, None if it is sound."""
         if "�" in line:
             return "lost", self.salvage(line)
-        if ((odd := ODD.findall(line)) or STACKED.search(line)) and not (odd and SIGNS.issuperset(odd) and BEYOND.search(line)) and (b := self.best(line)) and b[2] > self.margin:
+        if ((odd := ODD.findall(line)) or STACKED.search(line)) and not (odd and SIGNS.issuperset(odd) and BEYOND.search(line)) and (b := self.remembered(line)) and b[2] > self.margin:
             return b[0], b[1]
         if "?" in line and QUESTION.search(line) and "://" not in line and ".aspx?" not in line:
             # the letters between the marks are known Vietnamese; the marks aren't
@@ -345,7 +373,7 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
     for b in batches:
         for f, t in zip(b["fold"], b["text"]):
-            if t and not ODD.search(t) and not LOST_MARK.search(t):
+            if t and not ODD.search(t) and not ("?" in t and LOST_MARK.search(t)):
                 held[f].append(t)
                 size[f] += len(t)
                 if size[f] > CHUNK:
@@ -420,17 +448,24 @@ def _gauged(model: Model, often: dict[str, int]) -> Counter:
     letters, n = _letters(list(often))
     weights = np.fromiter(often.values(), dtype=np.int64, count=len(often))
 
-    def add(kind: int, values: np.ndarray, those: np.ndarray) -> None:
-        steps, at = np.unique(np.rint(values[those] * STEPS).astype(np.int64), return_inverse=True)
-        out.update(dict(zip(((kind, x) for x in steps.tolist()), np.bincount(at, weights[those], len(steps)).astype(np.int64).tolist())))
-
-    sound = _means(model, _INDEX[letters], n)
-    add(SOUND, sound, n > 0)
+    def add(kind: int, *parts: tuple[np.ndarray, np.ndarray]) -> None:
+        steps = np.concatenate([np.rint(values[those] * STEPS).astype(np.int64) for values, those in parts])
+        if len(steps):
+            low = steps.min()
+            counts = np.bincount(steps - low, np.concatenate([weights[those] for _, those in parts]))
+            at = np.flatnonzero(counts)
+            out.update(dict(zip(((kind, x) for x in (at + low).tolist()), counts[at].astype(np.int64).tolist())))
+
+    places = _INDEX[letters]
+    sound = _means(model, places, n)
+    add(SOUND, (sound, n > 0))
     lost = letters > 255
-    add(LOST, _means(model, np.where(lost, _INDEX[ord("?")], _INDEX[letters]), n), _by_line(lost[2:], n) > 0)
+    add(LOST, (_means(model, np.where(lost, _INDEX[ord("?")], places), n), _by_line(lost[2:], n) > 0))
+    written, gains = _in_utf8(letters, n), []
     for chain in VALIDATED:
-        places, m, changed = garbled_places(letters, n, chain)
-        add(GARBLED, sound - _means(model, places, m), changed)
+        there, m, changed = garbled_places(letters, n, chain, written)
+        gains.append((sound - _means(model, there, m), changed))
+    add(GARBLED, *gains)
     return out
 
 
@@ -462,20 +497,28 @@ def _tcvn3_letters() -> np.ndarray:
     return out
 
 
-def garbled_places(letters: np.ndarray, n: np.ndarray, chain: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(places in the alphabet, lengths, whether changed) of lines as ``garble`` leaves them, by UTF-8 read as single-byte encodings or by TCVN3."""
+def _in_utf8(letters: np.ndarray, n: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """(bytes, lengths) of lines in UTF-8."""
+    width = (letters >= 0x80).astype(np.uint8)
+    width += letters >= 0x800
+    width += letters >= 0x10000
+    return letters.tobytes().decode("utf-32-le").encode("utf-8"), n + _by_line(width[2:], n).astype(np.int64)
+
+
+def garbled_places(letters: np.ndarray, n: np.ndarray, chain: str, written: tuple[bytes, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(places in the alphabet, lengths, whether changed) of lines as ``garble`` leaves them, by UTF-8 read as single-byte encodings or by TCVN3.
+
+    ``written``: the lines in UTF-8, where known.
+    """
     if chain == "tcvn3":
         other = _tcvn3_letters()[letters]
         return _INDEX[other], n, _by_line((other != letters)[2:], n) > 0
-    m = n
-    for page in reversed(chain.split(" as ")[1:]):
-        if m is not n:
-            letters = _page(last)[0][np.frombuffer(raw, dtype=np.uint8)]
-        width = (letters >= 0x80).astype(np.uint8)
-        width += letters >= 0x800
-        width += letters >= 0x10000
-        m = m + _by_line(width[2:], m).astype(np.int64)
-        raw, last = letters.tobytes().decode("utf-32-le").encode("utf-8"), page
+    raw, m = written or _in_utf8(letters, n)
+    *later, first = chain.split(" as ")[1:]
+    last = first
+    for page in reversed(later):
+        raw, m = _in_utf8(_page(last)[0][np.frombuffer(raw, dtype=np.uint8)], m)
+        last = page
     return np.frombuffer(raw.translate(_page(last)[1]), dtype=np.uint8), m, m != n
 
 

@@ -23,11 +23,12 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
-from functools import lru_cache
+from collections.abc import Iterable, Iterator
 
-import ahocorasick
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -83,10 +84,12 @@ LATIN = frozenset((
 LATIN_WORDS, LATIN_SHARE = 4, 1 / 4
 #: A line is filler too if it has so many words and so few different ones: a phrase set again and again.
 REPEATED_WORDS, REPEATED_SHARE = 8, 1 / 3
+#: Letters whose lines are searched at once.
+AT_ONCE = 2_000_000
 
-#: Strings one of which each alternative above contains: only lines with one of them are looked at.
+#: Strings one of which each alternative above contains, but for calls in a stack trace: only lines with one of them, or such a call, are looked at.
 TRIGGERS = (
-    "{", "<", "[", "__", "%%", "@Model.", "«", "$", "(", "undefined/", "/undefined", "System.Data.DataRowView", "#REF!", "#N/A", "#VALUE!", "#NAME?", "#DIV/0!", "#NULL!", "#NUM!", "ORA-", "SQLSTATE",
+    "{", "<", "[", "__", "%%", "@Model.", "«", "$", "(null)", "Warning: ", "Notice: ", "undefined/", "/undefined", "System.Data.DataRowView", "#REF!", "#N/A", "#VALUE!", "#NAME?", "#DIV/0!", "#NULL!", "#NUM!", "ORA-", "SQLSTATE",
     "orem ipsum", "xception: ", "rror", "Traceback", "Object reference", "Bad Request", "nauthori", "orbidden", "ot Found", "ot found", "ot Allowed", "imeout", "ime-out", "Gone", "Too Many", "ot Implemented", "Bad Gateway", "navailable", "ccess Denied", "ccess denied", "HTTP",
     "You don't", "The page you", "hông tìm thấy", "ruy cập bị", "ường dẫn bạn", "rang bạn", "Lỗi", " lỗi", "Quá nhiều yêu", "omething went", "Just a moment", "Checking ", "erify", "xác minh", "Đang tải", "Loading", "đang được cập", "chưa có nội dung",
     "rang web ", "rang này ", "rang đang ", "rang chưa ", "đang bảo trì", "Nhấn F", "Mong quý", "hiên làm", "ession ", "ăng nhập", "lease log", "lease sign", "Mật khẩu", "Quên mật", "Bạn chưa", "hử lại sau", "nder con", "nder Con", "nder main", "nder Main", "Coming", "cript", "tập lệnh", "rình duyệt",
@@ -96,16 +99,10 @@ MARKS = re.compile("|".join((PLACEHOLDERS, PROGRAMS)), re.M)
 NOTICE = re.compile("|".join((STATUS, ERRORS, NOTICES, SCRIPTS)), re.M)
 _SENTENCE = re.compile(r"(?<=[.!?;])\s+")
 
-LINES = "src string, row_key bigint, host string, line string, rest bigint, bare boolean"
-
+#: For Arrow, whose expressions run over the lines of a whole batch: a trigger; a blank that parts words otherwise than one space does.
+_TRIGGER, _ODD_BLANK = "|".join((r"at [^ ]+\(", *map(re.escape, TRIGGERS))), "[\t\v\f\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]|  "
 
-@lru_cache(maxsize=1)
-def _triggers() -> ahocorasick.Automaton:
-    a = ahocorasick.Automaton()
-    for x in TRIGGERS:
-        a.add_word(x, x)
-    a.make_automaton()
-    return a
+LINES = "src string, row_key bigint, host string, line string, rest bigint, bare boolean"
 
 
 def normalise_line(s: str) -> str:
@@ -139,21 +136,55 @@ def notice(line: str, m: re.Match) -> bool:
     return not NORM.search(line[a : b or len(line)])
 
 
+def _maybe_filler(lines: pa.Array) -> np.ndarray:
+    """Of which lines ``filler`` has to look at the words: of all that it holds for, and few others.
+
+    A line has as many different words at least as there are bits among them, where each word has one of 64.
+    """
+    words = pc.split_pattern(lines, " ")
+    starts, n = words.offsets.to_numpy()[:-1], np.diff(words.offsets.to_numpy())
+    bits = np.uint64(1) << (words.flatten().dictionary_encode().indices.to_numpy() & 63).astype(np.uint64)
+    few = (n >= REPEATED_WORDS) & (np.bitwise_count(np.bitwise_or.reduceat(bits, starts)) * 2 <= n + 2)  # a blank at an end parts off an empty word
+    odd = pc.match_substring_regex(lines, _ODD_BLANK).to_numpy(zero_copy_only=False)
+    # a line of few words is no filler
+    return (n >= LATIN_WORDS) & (few | odd | pc.string_is_ascii(lines).to_numpy(zero_copy_only=False))
+
+
+def evidence(texts: Iterable[str | None]) -> list[list[str]]:
+    """For each text its normalised lines that carry evidence."""
+    out: list[list[str]] = []
+    held: list[str] = []
+    size = 0
+    for t in texts:
+        held.append(t or "")
+        size += len(held[-1])
+        if size > AT_ONCE:
+            out += _evidence(held)
+            held, size = [], 0
+    return out + _evidence(held) if held else out
+
+
+def _evidence(texts: list[str]) -> list[list[str]]:
+    out: list[list[str]] = [[] for _ in texts]
+    split = pc.split_pattern(pa.array(texts, pa.large_string()), "\n")
+    lines, ends = split.flatten(), split.offsets.to_numpy()[1:]
+
+    def those(which: np.ndarray) -> Iterator[tuple[int, str]]:
+        at = np.flatnonzero(which)
+        return zip(np.searchsorted(ends, at, side="right").tolist(), lines.take(pa.array(at)).to_pylist())
+
+    for i, line in those(_maybe_filler(lines)):
+        if filler(line):
+            out[i].append(normalise_line(line))
+    for i, line in those(pc.match_substring_regex(lines, _TRIGGER).to_numpy(zero_copy_only=False)):
+        if MARKS.search(line) or any(notice(line, m) for m in NOTICE.finditer(line)):
+            out[i].append(normalise_line(line))
+    return out
+
+
 def evidence_lines(text: str | None) -> list[str]:
     """The normalised lines of a text that carry evidence."""
-    if not text:
-        return []
-    # a line of few words is no filler
-    found = [x for x in text.split("\n") if x.count(" ") >= LATIN_WORDS - 1 and filler(x)]
-    end = -1
-    for last, _ in _triggers().iter(text):
-        if last >= end:
-            a, b = text.rfind("\n", 0, last) + 1, text.find("\n", last)
-            end = b if b >= 0 else len(text)
-            line = text[a:end]
-            if MARKS.search(line) or any(notice(line, m) for m in NOTICE.finditer(line)):
-                found.append(line)
-    return [normalise_line(x) for x in found]
+    return evidence([text])[0]
 
 
 def remainder(text: str, evidence: list[str]) -> str:
@@ -164,8 +195,8 @@ def remainder(text: str, evidence: list[str]) -> str:
 def _scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
         rows = []
-        for s, k, h, t in zip(b["src"], b["row_key"], b["host"], b["text"]):
-            if found := evidence_lines(t):
+        for s, k, h, t, found in zip(b["src"], b["row_key"], b["host"], b["text"], evidence(b["text"])):
+            if found:
                 rest = remainder(t, found)
                 mark = int.from_bytes(hashlib.blake2b(rest.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
                 rows += [(s, k, h, line, mark, not rest) for line in found]

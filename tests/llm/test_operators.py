@@ -136,6 +136,31 @@ def test_every_pattern_has_its_trigger():
         assert residue.evidence_lines(line) == [residue.normalise_line(line)], line
 
 
+@pytest.mark.parametrize("at_once", [0, 1000, residue.AT_ONCE])
+def test_evidence_of_a_batch_equals_brute_force(monkeypatch, at_once):
+    monkeypatch.setattr(residue, "AT_ONCE", at_once)
+    rng = random.Random(8)
+    words = ["a", "b", "lorem", "dolor", "amet", "elit", "\t", "\xa0", " ", "\u3000", "Điều", "{{x}}", "(null)", "a,", "a;", "at x.y$z(e:1)", "Warning: f(", "Notice: g(", "404 Not Found", "\n"]
+    texts = [rng.choice(["", " "]) + " ".join(rng.choice(words[: rng.randint(1, 20)]) for _ in range(rng.randint(0, 40))) for _ in range(2000)]
+    texts += [" a, a. a; a a, a. a; a", "a, a. a; a a, a. a; a ", "", "\n", None, LONG]
+
+    def brute(text):
+        lines = (text or "").split("\n")
+        found = [x for x in lines if x.count(" ") >= residue.LATIN_WORDS - 1 and residue.filler(x)]
+        return [residue.normalise_line(x) for x in found + [x for x in lines if residue.MARKS.search(x) or any(residue.notice(x, m) for m in residue.NOTICE.finditer(x))]]
+
+    want = [brute(t) for t in texts]
+    assert residue.evidence(texts) == want and 500 < sum(map(bool, want)) < 2000
+
+
+def test_ordinary_lines_are_not_looked_at_one_by_one(monkeypatch):
+    """Seven of ten lines of the corpus stand on one page only; split into words in Python they were a seventh of p3_found's time."""
+    asked = []
+    monkeypatch.setattr(residue, "filler", lambda x: asked.append(x))
+    lines = [f"Đơn vị số {i} lưu giữ hồ sơ (bản chính) trong thời hạn {i * 7} ngày kể từ ngày nhận đủ giấy tờ." for i in range(200)]
+    assert residue.evidence_lines("\n".join(lines)) == [] and not asked
+
+
 def test_recurrent_lines_of_a_host_are_boilerplate(spark):
     rows = [("t", i, "h", f"Văn bản {i}.\nTrình duyệt của bạn không hỗ trợ hoặc đã tắt tập lệnh.") for i in range(30)]
     rows += [("t", 100, "other", "Trình duyệt của bạn không hỗ trợ hoặc đã tắt tập lệnh."), ("t", 5, "h", "{{x}}"), ("t", 5, "h", "{{x}}"), ("t", 200, None, None), ("t", 201, None, LONG + "{{x}}")]
@@ -175,6 +200,10 @@ def test_copies_of_one_document_make_no_template(spark):
     assert boilerplate.furniture_lines(frame(spark, [("p", i, "h", text) for i in range(50)], TEXTS)).count() == 0
 
 
+def test_pages_without_text_have_no_furniture(spark):
+    assert boilerplate.furniture_lines(frame(spark, [("p", i, "h", ["", None, " ", "\n"][i % 4]) for i in range(40)], TEXTS).repartition(4, "text")).count() == 0
+
+
 def simple_tree_match(a, b):
     """Size of the largest order-keeping match of two labelled trees that maps root to root."""
     if a[0] != b[0]:
@@ -278,6 +307,22 @@ def test_lost_characters_are_found_not_restored(model):
     assert mojibake.repair_value(model, "Nghò quyeát veà vieäc thi haønh")[2] == "Nghị quyết về việc thi hành"
 
 
+def test_garbled_lines_that_recur_are_tried_once(model, monkeypatch):
+    tried = []
+    best = mojibake.Model.best
+    monkeypatch.setattr(mojibake.Model, "best", lambda self, line: tried.append(line) or best(self, line))
+    fresh = mojibake.Model(model.tri, model.margin, model.floor)
+    menu = mojibake.garble(CLEAN[6], "utf-8 as latin-1")
+    got = [mojibake.repair_value(fresh, f"{menu}\ndòng {i}") for i in range(20)]
+    assert got == [(True, True, f"{CLEAN[6]}\ndòng {i}", ["utf-8 as latin-1"]) for i in range(20)] and tried == [menu]
+
+
+def test_firm_letters_leave_no_chain(monkeypatch):
+    read = []
+    monkeypatch.setattr(mojibake, "_bytes_read_as", lambda page, s: read.append(page))
+    assert not list(mojibake.chains("Trang chủ » Văn bản")) and not read
+
+
 def test_rows_of_garbled_values(spark):
     rows = [(i, s, CLEAN[(i + 1) % 8]) for i, s in enumerate(CLEAN * 12)] + [(500, mojibake.garble(CLEAN[0], "utf-8 as latin-1"), None), (501, None, "")]
     t = frame(spark, rows, "row_id bigint, title string, content_text string").withColumn("value", F.lit("clash"))
