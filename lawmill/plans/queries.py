@@ -720,7 +720,10 @@ def sitemap_documents(spark: SparkSession, d: str) -> DataFrame:
     s = lambda c: _escape(F.coalesce(c, F.lit("")))
     a = F.concat(F.lit("Số hiệu: "), s(F.col("attributes.so_hieu")), F.lit("<br>Tình trạng: "), s(F.col("attributes.tinh_trang")))
     html = F.concat(F.lit("<title>"), s(F.col("title")), F.lit('</title><div id="divThuocTinh">'), a, F.lit('</div><div id="divNoiDung">'), s(F.col("content_text")), F.lit("</div>"))
-    t = read_table(spark, d, "tvpl_documents").select(F.col("row_id").cast("int").alias("document_index"), "url", html.alias("html"))
+    t = read_table(spark, d, "tvpl_documents")
+    # SQL's type while every key fits it; beyond, where SQL fails, the keys' own
+    wide = t.agg(F.bool_or(F.col("row_id").isNotNull() & F.col("row_id").try_cast("int").isNull())).first()[0]
+    t = t.select(F.col("row_id").cast("bigint" if wide else "int").alias("document_index"), "url", html.alias("html"))
     return pipelines.sitemap_documents(t, F.lit("now")).select("document_index", "url", "title", "content_text", "attributes.so_hieu", "attributes.tinh_trang")
 
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from lawmill import dims
 from lawmill.functions import text, urls
 from lawmill.operators import dedupe, discover, graph, metadata, reports, sequences
-from lawmill.plans import pipelines
+from lawmill.plans import pipelines, queries
 from lawmill.sources import http, readers, sinks
 from lawmill.streaming import resume
 
@@ -149,6 +149,16 @@ def test_three_phases(spark):
     assert pipelines.report(done).count() == 3
 
 
+def test_sitemap_documents_keeps_keys_beyond_int(spark, tmp_path):
+    schema = "row_id bigint, url string, title string, attributes struct<so_hieu: string, tinh_trang: string>, content_text string"
+    for name, keys, kind in (("narrow", [1, 2**31 - 1, None], "int"), ("wide", [1, 2**31, -(2**31) - 1, 10**10, None], "bigint")):
+        rows = [(k, f"u{k}", f"T {k}", ("5/NĐ", "Còn hiệu lực: "), f"a <b> {k}") for k in keys]
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}/tvpl_documents.parquet")
+        got = queries.queries()["sitemap_documents"](spark, f"{tmp_path}/{name}")
+        assert got.schema["document_index"].dataType.simpleString() == kind
+        assert {tuple(r) for r in got.collect()} == {(k, f"u{k}", f"T {k}", f"a <b> {k}", "5/NĐ", "Còn hiệu lực") for k in keys}
+
+
 def test_sitemap_and_listing_crawls(spark):
     o = pipelines.Options(base=BASE, sitemap_start=2)
     maps = spark.createDataFrame([(1, "<loc>z</loc>"), (2, "<loc>a</loc><loc>b</loc>")], "sitemap_index int, xml string")
